@@ -82,10 +82,12 @@ def score_all(
     """Every valid request with features, cache state, zone attributes and both predictions.
 
     ``model`` is any transformer that reads feature columns and adds a
-    ``prediction`` column.
+    ``prediction`` column. It comes last, so that the optimizer can merge it
+    with the choice between the two predictions and run it on misses only.
     """
     valid = validate_requests(requests).filter(F.col("reject_reason").isNull()).drop("reject_reason")
-    date = request_date(F.col("date"))
+    # Only dates of the right form are left; the pattern need not be matched again.
+    date = F.col("date").try_cast("date")
     featured = valid.withColumns({
         "day_of_week": day_of_week(date),
         "month": F.month(date),
@@ -94,7 +96,7 @@ def score_all(
         ZONE_KEY: F.col("zone"),
     })
     probed = probe_cache(featured, cache, now, ttl_seconds)
-    return enrich_with_zone(model.transform(probed), zones, "zone")
+    return model.transform(enrich_with_zone(probed, zones, "zone"))
 
 
 def to_response(scored: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

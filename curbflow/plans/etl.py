@@ -36,5 +36,7 @@ def run_etl(
         return None
     ensure_checkpoint_dir(spark)
     audited = audited_demand(trips, spec).checkpoint()
-    write_demand(audited.filter(F.col("reject_reason").isNull()), out_path, single_file)
-    return quality_report(audited).first()
+    report = quality_report(audited).first()
+    demand = audited.filter(F.col("reject_reason").isNull())
+    write_demand(demand, out_path, single_file, report["demand_rows"])
+    return report

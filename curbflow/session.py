@@ -13,28 +13,27 @@ _CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where the setting is absent, a ``local`` master gets a temporary folder
-    (once per session). A cluster without the setting is an error, because a
-    machine-local folder is invisible to the other machines.
+    Where the setting is absent, the checkpoint folder that the context was
+    given serves; failing that a ``local`` master gets a temporary folder
+    for the life of its context. A cluster with neither is an error, because
+    a machine-local folder is invisible to the other machines.
     """
-    configured = spark.conf.get(_CONF, None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    folder = spark.conf.get(_CONF, None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
         raise ValueError(f"set {_CONF} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="curbflow-")
-    spark.conf.set(_CONF, folder)
-    return folder
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Make ``DataFrame.checkpoint`` usable; a directory already set is kept."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    folder = shared_dir(spark)
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="curbflow-"))
+    return context.getCheckpointDir()
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Make ``DataFrame.checkpoint`` usable; a folder already set is kept."""
+    if not spark.sparkContext.getCheckpointDir():
+        folder = shared_dir(spark)
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(folder)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

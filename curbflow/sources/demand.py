@@ -7,8 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.operators.merge import is_aggregated, merge_demand, stream_rows
+from curbflow.session import ensure_checkpoint_dir
 from curbflow.spec import DEMAND_COLS, DEMAND_KEYS, require_columns
 
+FILE_ROWS = 20_000_000
+
 # Spark's error conditions for a path that is absent or holds no files.
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -48,19 +51,27 @@ def load_demand(spark: SparkSession, batch_path: str | None, stream_path: str |
     return merge_demand(read_optional(spark, batch_path), stream)
 
 
-def write_demand(demand: DataFrame, path: str, single_file: bool = False) -> None:
+def write_demand(
+    demand: DataFrame, path: str, single_file: bool = False, row_count: int | None = None
+) -> None:
     """Write a demand table, replacing what is at ``path``.
 
     By default there is a folder per date, so that readers of some dates
-    skip the others. ``single_file`` leaves out the folders and packs rows
-    into as few files as Spark's advisory partition size allows: one for
-    a table that fits, more beyond that, never one task for all.
-    Either way the rows are rebalanced by Spark at run time, which splits a
+    skip the others; Spark rebalances the rows at run time, which splits a
     large date and packs small ones.
+
+    ``single_file`` leaves out the folders and writes one file, or one per
+    ``FILE_ROWS`` rows where the table is longer than that: no task ever
+    holds more. The number of rows is counted on a checkpoint unless the
+    caller knows it.
     """
     require_columns(demand, DEMAND_COLS)
     rows = demand.select(*DEMAND_COLS)
-    if single_file:
-        rows.hint("rebalance").write.mode("overwrite").parquet(path)
-    else:
+    if not single_file:
         rows.hint("rebalance", F.col("date_str")).write.mode("overwrite").partitionBy("date_str").parquet(path)
+        return
+    if row_count is None:
+        ensure_checkpoint_dir(demand.sparkSession)
+        rows = rows.checkpoint()
+        row_count = rows.count()
+    rows.repartition(max(1, -(-row_count // FILE_ROWS))).write.mode("overwrite").parquet(path)

@@ -14,7 +14,10 @@ def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
     Columns are found by name. ``row_order`` follows the lines of the file:
     by block, then by position within the block.
     """
-    lines = spark.read.csv(path, header=True, inferSchema=False)
+    lines = spark.read.csv(
+        path, header=True, inferSchema=False, escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    )
     return lines.select(
         F.col("LocationID").try_cast("double").try_cast("int").alias("location_id"),
         F.col("Zone").alias("zone_name"),

@@ -1,0 +1,172 @@
+"""Cleaning, hourly demand and merging on small frames, one trap per test."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from curbflow.operators import (
+    add_trip_features,
+    audited_demand,
+    clean_trips,
+    demand_by_window,
+    demand_from_trips,
+    merge_demand,
+    normalize_stream_demand,
+    quality_report,
+)
+from curbflow.spec import DEMAND_COLS, DemandSpec
+
+SPEC = DemandSpec()
+SUNDAY = datetime(2025, 1, 5, 16, 30)
+TRIP_DDL = "VendorID int, tpep_pickup_datetime timestamp_ntz, trip_distance double, PULocationID int"
+DEMAND_DDL = "date_str date, pickup_hour int, PULocationID int, trip_count bigint, avg_distance double"
+
+
+def trips(spark, *rows):
+    return spark.createDataFrame(list(rows), TRIP_DDL)
+
+
+def demand(spark, *rows):
+    return spark.createDataFrame(list(rows), DEMAND_DDL)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_clean_drops_null_time_null_zone_and_distances_not_above_zero(spark):
+    df = trips(
+        spark, (1, SUNDAY, 1.5, 7), (1, None, 1.5, 7), (1, SUNDAY, 0.0, 7), (1, SUNDAY, -1.0, 7),
+        (1, SUNDAY, None, 7), (1, SUNDAY, 1.5, None),
+    )
+    assert found(clean_trips(df)) == [(1, SUNDAY, 1.5, 7)]
+
+
+def test_nan_distance_counts_as_above_zero(spark):
+    assert clean_trips(trips(spark, (1, SUNDAY, float("nan"), 7))).count() == 1
+
+
+def test_missing_column_is_named(spark):
+    with pytest.raises(ValueError, match="VendorID"):
+        clean_trips(trips(spark).drop("VendorID"))
+
+
+def test_trip_features_keep_columns_and_count_days_from_sunday(spark):
+    row = add_trip_features(trips(spark, (1, SUNDAY, 1.5, 7))).first()
+    assert row.asDict() == {
+        "VendorID": 1, "tpep_pickup_datetime": SUNDAY, "trip_distance": 1.5, "PULocationID": 7,
+        "pickup_datetime": SUNDAY, "pickup_hour": 16, "pickup_day": 1, "pickup_month": 1,
+        "date_str": date(2025, 1, 5),
+    }
+
+
+def test_trip_count_skips_null_vendors_and_distance_is_a_sum(spark):
+    df = trips(spark, (1, SUNDAY, 1.5, 7), (None, SUNDAY, 2.0, 7), (None, SUNDAY, 3.0, 8))
+    assert found(demand_from_trips(df)) == [
+        (date(2025, 1, 5), 16, 7, 1, 3.5), (date(2025, 1, 5), 16, 8, 0, 3.0),
+    ]
+
+
+def test_zoned_timestamps_are_accepted(spark):
+    df = trips(spark, (1, SUNDAY, 1.5, 7)).withColumn(
+        "tpep_pickup_datetime", F.col("tpep_pickup_datetime").cast("timestamp")
+    )
+    assert found(demand_from_trips(df)) == [(date(2025, 1, 5), 16, 7, 1, 1.5)]
+
+
+def test_audit_counts_every_rule_once_in_order(spark):
+    df = trips(
+        spark, (1, SUNDAY, 1.5, 7), (1, SUNDAY, 1.5, 7), (1, None, -1.0, None), (1, SUNDAY, -1.0, None),
+        (1, SUNDAY, None, 7), (1, SUNDAY, 1.0, None),
+    )
+    audited = audited_demand(df)
+    assert quality_report(audited).first().asDict() == {
+        "input_rows": 6, "missing_time": 1, "bad_distance": 2, "missing_zone": 1,
+        "clean_rows": 2, "removed_rows": 4, "demand_rows": 1,
+    }
+    kept = audited.filter(F.col("reject_reason").isNull()).select(*DEMAND_COLS)
+    assert found(kept) == found(demand_from_trips(df))
+
+
+def test_audit_of_no_trips_is_all_zero(spark):
+    assert set(quality_report(audited_demand(trips(spark))).first()) == {0}
+
+
+def test_window_demand_by_minute(spark):
+    df = trips(spark, (1, SUNDAY, 1.0, 7), (1, SUNDAY.replace(second=59), 2.0, 7), (1, SUNDAY.replace(minute=31), 4.0, 7))
+    rows = found(demand_by_window(df).select("window.start", "window.end", "trip_count", "avg_distance"))
+    assert rows == [
+        (SUNDAY, SUNDAY.replace(minute=31), 2, 3.0),
+        (SUNDAY.replace(minute=31), SUNDAY.replace(minute=32), 1, 4.0),
+    ]
+
+
+LABEL = "[2025-01-05 16:30:00, 2025-01-05 16:31:00)"
+
+
+def test_raw_stream_counts_distances_drops_null_keys_and_sums_nothing_to_zero(spark):
+    df = spark.createDataFrame(
+        [
+            (LABEL, 16, 7, 1.0), (LABEL, 16, 7, None), (LABEL, 16, 7, float("nan")), (LABEL, 16, 7, -3.0),
+            (LABEL, 16, 8, None), (LABEL, 16, None, 1.0), (LABEL, None, 7, 1.0), (None, 16, 7, 1.0),
+            ("no date, at all", 16, 7, 1.0),
+        ],
+        "window string, pickup_hour int, PULocationID int, trip_distance double",
+    )
+    assert found(normalize_stream_demand(df)) == [
+        (date(2025, 1, 5), 16, 7, 2, -2.0), (date(2025, 1, 5), 16, 8, 0, 0.0),
+    ]
+
+
+def test_window_overrides_date_and_struct_windows_work(spark):
+    struct = spark.createDataFrame(
+        [((datetime(2025, 1, 5, 16, 30), datetime(2025, 1, 5, 16, 31)), "2020-01-01", 16, 7, 2, 1.5)],
+        "window struct<start timestamp_ntz, end timestamp_ntz>, date_str string, pickup_hour int,"
+        "PULocationID int, trip_count bigint, avg_distance double",
+    )
+    assert found(normalize_stream_demand(struct)) == [(date(2025, 1, 5), 16, 7, 2, 1.5)]
+
+
+def test_aggregated_stream_passes_and_incomplete_stream_is_skipped(spark):
+    rows = [(date(2025, 1, 5), 16, 7, 2, 1.5), (date(2025, 1, 5), 16, 7, 1, 1.0)]
+    df = demand(spark, *rows)
+    assert found(normalize_stream_demand(df)) == sorted(rows, key=str)
+    assert normalize_stream_demand(df.drop("PULocationID")) is None
+    assert normalize_stream_demand(df.drop("trip_count")) is None
+    assert normalize_stream_demand(df.drop("date_str").withColumn("extra", F.lit(1))) is None
+
+
+def test_merge_adds_overlap_drops_null_keys_and_takes_missing_measures_as_zero(spark):
+    day = date(2025, 1, 5)
+    batch = demand(spark, (day, 16, 7, 2, 1.5), (day, 16, 8, None, None), (None, 16, 7, 9, 9.0), (day, 1, 1, 1, float("nan")))
+    stream = demand(spark, (day, 16, 7, 1, 0.25), (day, 17, 7, 4, 2.0))
+    assert found(merge_demand(batch, stream)) == [
+        (day, 1, 1, 1, 0.0), (day, 16, 7, 3, 1.75), (day, 16, 8, 0, 0.0), (day, 17, 7, 4, 2.0),
+    ]
+
+
+def test_merge_joins_text_dates_with_dates(spark):
+    day = date(2025, 1, 5)
+    batch = demand(spark, (day, 16, 7, 2, 1.5))
+    stream = batch.withColumn("date_str", F.lit("2025-01-05"))
+    assert found(merge_demand(batch, stream)) == [(day, 16, 7, 4, 3.0)]
+
+
+def test_merge_fills_a_measure_the_batch_lacks(spark):
+    day = date(2025, 1, 5)
+    batch = demand(spark, (day, 16, 7, 2, 1.5)).drop("avg_distance")
+    assert found(merge_demand(batch, demand(spark, (day, 16, 7, 1, 0.5)))) == [(day, 16, 7, 3, 0.5)]
+
+
+def test_lone_source_keeps_its_rows(spark):
+    day = date(2025, 1, 5)
+    batch = demand(spark, (day, 16, 7, 2, 1.5), (day, 16, 7, 2, 1.5), (None, 16, 7, 1, 1.0))
+    assert merge_demand(batch, None).count() == 3
+    assert merge_demand(batch.withColumn("more", F.lit(1)), None).columns == list(DEMAND_COLS)
+    assert merge_demand(None, batch).count() == 3
+    assert merge_demand(batch, spark.createDataFrame([(1,)], "nothing int")).count() == 3
+    with pytest.raises(ValueError):
+        merge_demand(None, None)
+    with pytest.raises(ValueError):
+        merge_demand(None, spark.createDataFrame([(1,)], "nothing int"))
