@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.001
+_SALT = "_salt"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -36,15 +37,16 @@ def lookup_join(
     """Left or inner equi-join of ``facts`` to ``dim``, which holds one row per key.
 
     A ``dim`` measured to be small is broadcast, so ``facts`` is not
-    shuffled at all. Beyond the bound both sides are shuffled, except for
-    the facts of hot keys: a key held by more than ``hot_share`` of the
-    facts is looked up in a broadcast of just those keys' ``dim`` rows, of
-    which there can be at most ``1 / hot_share``. Facts with a NULL key match
-    nothing and stay out of the shuffle as well.
+    shuffled at all. Beyond the bound both sides are shuffled by key and
+    salt. The salt is 0 except for hot keys, those held by more than
+    ``hot_share`` of the facts: their facts are spread over all salts and
+    their ``dim`` rows, of which there can be at most ``1 / hot_share``,
+    repeated for each. Facts with a NULL key match nothing and are spread
+    too, so that they do not meet in one task.
 
     ``sized_by`` is a cheaper frame with at least as many rows as ``dim`` to
-    measure in its place. Runs one small job, and one aggregate over the
-    facts' keys where ``dim`` is large.
+    measure in its place. Runs one small job, and one count of the facts per
+    key where ``dim`` is large.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
@@ -52,14 +54,20 @@ def lookup_join(
     if fits_broadcast(dim if sized_by is None else sized_by, max_rows):
         return facts.join(F.broadcast(dim), keys, how)
 
-    hot = hot_keys(facts, keys, hot_share)
+    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(facts, keys, hot_share).withColumn("_hot", F.lit(True))
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    spread_dim = dim.join(F.broadcast(hot), keys, "left").withColumn(
+        _SALT, F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
+    )
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    marked = facts.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
-    aside = no_key | F.col("_hot").isNotNull()
-    hot_dim = dim.join(F.broadcast(hot), keys, "left_semi")
-    spread = marked.filter(~aside).drop("_hot").join(dim, keys, how)
-    local = marked.filter(aside).drop("_hot").join(F.broadcast(hot_dim), keys, how)
-    return spread.unionByName(local)
+    # A function of the row and of its partition: the same again when a task
+    # is repeated, yet different for copies of a row in other partitions.
+    own_salt = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(salts)).cast("int")
+    spread_facts = facts.join(F.broadcast(hot), keys, "left").withColumn(
+        _SALT, F.when(no_key | F.col("_hot"), own_salt).otherwise(0)
+    )
+    return spread_facts.drop("_hot").join(spread_dim.drop("_hot"), [*keys, _SALT], how).drop(_SALT)
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:

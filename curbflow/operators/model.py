@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
@@ -13,6 +14,11 @@ from pyspark.sql import functions as F
 from curbflow.session import ensure_checkpoint_dir
 from curbflow.spec import FEATURES, TARGET, require_columns
 
+# Fitting runs a job per tree level: tasks are sized by rows, since the number
+# of shuffle partitions would make a small table wait for empty tasks.
+ROWS_PER_TASK = 100_000
+_WEIGHT = "weight"
+
 
 def fit_demand_model(
     train: DataFrame,
@@ -26,18 +32,40 @@ def fit_demand_model(
 ) -> PipelineModel:
     """Fit squared-error boosted trees on plain numeric features.
 
+    Rows with equal features are first merged into one row with their mean
+    target and their number as weight. Split gains and leaf values under
+    squared error depend on the rows only through these, so the trees are
+    those of the full table, while the rows that every tree level passes
+    over are bounded by the feature combinations (weekday x month x hour x
+    zone), however many dates there are. Rows without a target or a feature
+    take no part.
+
     Each round depends on the one before, so every tenth is checkpointed in
     the shared folder: a lost executor then costs ten rounds at most.
     """
     require_columns(train, [*features, target])
     ensure_checkpoint_dir(train.sparkSession)
-    assembler = VectorAssembler(inputCols=list(features), outputCol="features")
-    trees = GBTRegressor(
-        featuresCol="features", labelCol=target, predictionCol="prediction", lossType="squared",
-        maxIter=rounds, maxDepth=depth, stepSize=learning_rate, maxBins=bins, seed=seed,
-        cacheNodeIds=True, checkpointInterval=10,
+    combined = combine_equal_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tasks = max(1, -(-combined.count() // ROWS_PER_TASK))
+        assembler = VectorAssembler(inputCols=list(features), outputCol="features")
+        trees = GBTRegressor(
+            featuresCol="features", labelCol=target, predictionCol="prediction", weightCol=_WEIGHT,
+            lossType="squared", maxIter=rounds, maxDepth=depth, stepSize=learning_rate, maxBins=bins,
+            seed=seed, checkpointInterval=10,
+        )
+        return Pipeline(stages=[assembler, trees]).fit(combined.coalesce(tasks))
+    finally:
+        combined.unpersist()
+
+
+def combine_equal_rows(rows: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
+    """One row per combination of features: mean target and number of rows."""
+    return (
+        rows.dropna(subset=[*features, target])
+        .groupBy(*features)
+        .agg(F.avg(target).alias(target), F.count(F.lit(1)).cast("double").alias(_WEIGHT))
     )
-    return Pipeline(stages=[assembler, trees]).fit(train.select(*features, target))
 
 
 def regression_metrics(scored: DataFrame, target: str = TARGET, prediction: str = "prediction") -> DataFrame:

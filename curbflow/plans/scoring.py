@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 
-from curbflow.operators.score import CACHE_TTL_SECONDS, cache_entries, score_all, to_response
+from curbflow.operators.score import CACHE_TTL_SECONDS, cache_entries, score_all, score_requests
 from curbflow.sources.predictions import append_predictions, read_predictions
+from curbflow.spec import REQUEST_COLS
 
 
 def run_scoring(
@@ -24,15 +24,15 @@ def run_scoring(
 ) -> None:
     """Write the responses and, with a ``cache_path``, reuse and extend the prediction table.
 
-    ``now`` is naive and read in the session's time zone, like the stored times.
+    ``requests`` should be a written table: with a cache it is read twice,
+    the second time for its distinct keys alone, which are far fewer than
+    the requests and are all that the new entries need. ``now`` is naive and
+    read in the session's time zone, like the stored times.
     """
-    if cache_path is None:
-        to_response(score_all(requests, model, zones, None, now)).write.mode("overwrite").parquet(out_path)
-        return
-    cache = read_predictions(spark, cache_path, now, ttl_seconds)
-    scored = score_all(requests, model, zones, cache, now, ttl_seconds).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        to_response(scored).write.mode("overwrite").parquet(out_path)
-        append_predictions(cache_entries(scored, now), cache_path)
-    finally:
-        scored.unpersist()
+    cache = None if cache_path is None else read_predictions(spark, cache_path, now, ttl_seconds)
+    responses = score_requests(requests, model, zones, cache, now, ttl_seconds=ttl_seconds)
+    responses.write.mode("overwrite").parquet(out_path)
+    if cache_path is not None:
+        keys = requests.select(*REQUEST_COLS).distinct()
+        entries = cache_entries(score_all(keys, model, None, cache, now, ttl_seconds), now)
+        append_predictions(entries, cache_path)

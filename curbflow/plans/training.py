@@ -32,7 +32,8 @@ def train_demand_model(
     """Add features, split 80/20, fit, measure on the hold-out and save.
 
     The feature table is read by several passes and is therefore kept in
-    memory, or on disk beyond that, until the model is measured.
+    memory, or on disk beyond that, until the model is measured. Rows that
+    lack a feature (no date, say) count in the statistics only.
     """
     columns = dict.fromkeys([*DEMAND_KEYS, *features, TARGET])
     featured = add_date_features(demand).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
@@ -40,7 +41,8 @@ def train_demand_model(
         stats = target_stats(featured).first()
         train, test = holdout_split(featured, seed=seed)
         model = fit_demand_model(train, features, rounds=rounds, seed=seed, **fit_options)
-        metrics = regression_metrics(model.transform(test)).first()
+        scorable = test.dropna(subset=[*features, TARGET])
+        metrics = regression_metrics(model.transform(scorable)).first()
     finally:
         featured.unpersist()
     if model_path is not None:

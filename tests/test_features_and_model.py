@@ -5,6 +5,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from curbflow.operators import model as model_module
+from curbflow.operators.model import combine_equal_rows
 from curbflow.operators import (
     add_date_features,
     feature_matrix,
@@ -93,6 +95,29 @@ def test_model_beats_the_mean_on_demand_with_a_pattern(signal, trained):
     assert trained[0].stats["samples"] == signal.count()
 
 
+def test_merging_equal_rows_leaves_the_trees_as_they_are(signal, monkeypatch):
+    """Noise on the target, so that rows with equal features differ."""
+    noise = (F.xxhash64("date_str", "pickup_hour", "PULocationID") % 7).cast("bigint")
+    rows = add_date_features(signal).withColumn("trip_count", F.col("trip_count") + noise)
+    merged = fit_demand_model(rows, rounds=3)
+    assert combine_equal_rows(rows, FEATURES).count() < rows.count() / 3
+    monkeypatch.setattr(model_module, "combine_equal_rows", lambda df, features, target: df.select(
+        *features, F.col(target).cast("double").alias(target), F.lit(1.0).alias("weight")
+    ))
+    plain = fit_demand_model(rows, rounds=3)
+    pairs = merged.transform(rows).select(*DEMAND_KEYS, F.col("prediction").alias("p")).join(
+        plain.transform(rows), list(DEMAND_KEYS)
+    )
+    assert pairs.filter(F.abs(F.col("p") - F.col("prediction")) > 1e-9).isEmpty()
+
+
+def test_rows_without_a_date_do_not_stop_training(spark, signal):
+    undated = signal.limit(5).withColumn("date_str", F.lit(None).cast("date"))
+    result = train_demand_model(signal.unionByName(undated), rounds=1)
+    assert result.stats["samples"] == signal.count() + 5
+    assert result.metrics["rmse"] > 0
+
+
 def test_same_seed_gives_the_same_metrics(signal, trained):
     again = train_demand_model(signal, rounds=5)
     assert again.metrics["rmse"] == pytest.approx(trained[0].metrics["rmse"], rel=1e-9)

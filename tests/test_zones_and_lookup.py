@@ -99,10 +99,31 @@ def test_large_lookup_equals_the_plain_join(skewed, dim, how, keys):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_only_hot_keys_are_looked_up_by_broadcast(skewed, dim):
+def test_hot_keys_are_those_above_the_share(skewed):
     assert [tuple(r) for r in hot_keys(skewed, ["k"], 0.01).collect()] == [(7,)]
-    plan = lookup_join(skewed, dim, ["k", "j"], max_rows=50)._jdf.queryExecution().executedPlan().toString()
-    assert "Union" in plan and "LeftSemi" in plan
+    assert hot_keys(skewed, ["k"], 0.5).isEmpty()
+
+
+def test_hot_and_missing_keys_are_spread_over_tasks(spark, skewed, dim):
+    """Even where the rows of a key are copies of each other."""
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        copies = skewed.select("k").repartition(16)
+        joined = lookup_join(copies, dim.drop("j"), ["k"], max_rows=50, hot_share=0.01)
+        placed = joined.select("k", F.spark_partition_id().alias("task")).distinct().collect()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    tasks = {k: sum(r.k == k for r in placed) for k in (7, 8, None)}
+    assert tasks[8] == 1 and tasks[7] > 3 and tasks[None] > 3
+
+
+def test_large_lookup_reads_the_facts_once(skewed, dim):
+    plan = lookup_join(skewed, dim.drop("j"), ["k"], max_rows=50)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 30000") == 1
 
 
 def test_small_lookup_does_not_shuffle_the_facts(skewed, dim):
