@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 HOT_SHARE = 0.001
-_SALT = "_salt"
+_SALT, _SALTS = "_salt", "_salts"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -39,10 +39,12 @@ def lookup_join(
     A ``dim`` measured to be small is broadcast, so ``facts`` is not
     shuffled at all. Beyond the bound both sides are shuffled by key and
     salt. The salt is 0 except for hot keys, those held by more than
-    ``hot_share`` of the facts: their facts are spread over all salts and
-    their ``dim`` rows, of which there can be at most ``1 / hot_share``,
-    repeated for each. Facts with a NULL key match nothing and are spread
-    too, so that they do not meet in one task.
+    ``hot_share`` of the facts: a key with a third of the facts is spread
+    over a third as many salts as there are shuffle partitions, and its
+    ``dim`` row is repeated for each. As shares add up to at most 1, the
+    repeated rows number about as many as the partitions, plus one for each
+    of the at most ``1 / hot_share`` hot keys. Facts with a NULL key match
+    nothing and are spread too, so that they do not meet in one task.
 
     ``sized_by`` is a cheaper frame with at least as many rows as ``dim`` to
     measure in its place. Runs one small job, and one count of the facts per
@@ -54,24 +56,29 @@ def lookup_join(
     if fits_broadcast(dim if sized_by is None else sized_by, max_rows):
         return facts.join(F.broadcast(dim), keys, how)
 
-    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, keys, hot_share).withColumn("_hot", F.lit(True))
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(facts, keys, hot_share).select(
+        *keys, F.ceil(F.col("share") * partitions).cast("int").alias(_SALTS)
+    )
     spread_dim = dim.join(F.broadcast(hot), keys, "left").withColumn(
-        _SALT, F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0))))
+        _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SALTS, F.lit(1)) - 1))
     )
     no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    salts = F.when(no_key, partitions).otherwise(F.coalesce(_SALTS, F.lit(1)))
     # A function of the row and of its partition: the same again when a task
     # is repeated, yet different for copies of a row in other partitions.
-    own_salt = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), F.lit(salts)).cast("int")
+    own_salt = F.pmod(F.xxhash64(F.spark_partition_id(), *facts.columns), salts).cast("int")
     spread_facts = facts.join(F.broadcast(hot), keys, "left").withColumn(
-        _SALT, F.when(no_key | F.col("_hot"), own_salt).otherwise(0)
+        _SALT, F.when(salts > 1, own_salt).otherwise(0)
     )
-    return spread_facts.drop("_hot").join(spread_dim.drop("_hot"), [*keys, _SALT], how).drop(_SALT)
+    return spread_facts.drop(_SALTS).join(spread_dim.drop(_SALTS), [*keys, _SALT], how).drop(_SALT)
 
 
 def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys held by more than ``share`` of the rows: at most ``1 / share`` of them (runs a job)."""
+    """Keys held by more than ``share`` of the rows, with their ``share``.
+
+    There are at most ``1 / share`` of them. Runs a job.
+    """
     keys = list(keys)
     counted = Observation()
     top = (
@@ -79,6 +86,7 @@ def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) ->
         .dropna().groupBy(*keys).count()
         .orderBy(F.desc("count")).limit(int(1 / share) + 1).collect()
     )
-    floor = counted.get["rows"] * share
-    schema = T.StructType([facts.schema[k] for k in keys])
-    return facts.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in top if r["count"] > floor], schema)
+    total = counted.get["rows"]
+    hot = [(*[row[k] for k in keys], row["count"] / total) for row in top if row["count"] > total * share]
+    schema = T.StructType([*[facts.schema[k] for k in keys], T.StructField("share", T.DoubleType())])
+    return facts.sparkSession.createDataFrame(hot, schema)

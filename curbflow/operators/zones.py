@@ -59,7 +59,7 @@ def zone_counts(zones: DataFrame, borough: str | None = None, search: str | None
 def lookup_zones(ids: DataFrame, zones: DataFrame, id_col: str = "location_id") -> DataFrame:
     """Zone rows for a table of ids; unknown ids and zones named ``Unknown`` are not found."""
     found = zones.filter(F.col("zone_name") != UNKNOWN)
-    wanted = ids.select(F.col(id_col).cast("int").alias("location_id"))
+    wanted = ids.select(F.col(id_col).try_cast("int").alias("location_id"))
     return lookup_join(wanted, found, ["location_id"], "inner").select(*ZONE_COLS)
 
 

@@ -4,14 +4,26 @@ from datetime import datetime, timedelta
 
 import pytest
 from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from curbflow.functions import cache_key
-from curbflow.operators import cache_entries, probe_cache, score_all, score_requests, validate_requests
+from curbflow.operators import (
+    add_date_features,
+    cache_entries,
+    demand_from_trips,
+    fit_demand_model,
+    probe_cache,
+    score_all,
+    score_requests,
+    validate_requests,
+)
 from curbflow.plans import run_scoring
 from curbflow.sources import read_predictions
-from curbflow.spec import RESPONSE_COLS
+from curbflow.spec import FEATURES, HOUR_ZONE_FEATURES, RESPONSE_COLS
 from test_trips_and_demand import found
+from workload.tables import EVENT_SPEC, trips
+from workload.tables import requests as event_requests
 
 NOW = datetime(2025, 1, 5, 12, 0)
 REQUEST_DDL = "zone int, hour int, date string"
@@ -120,3 +132,22 @@ def test_model_runs_on_misses_only(spark, model):
     )._jdf.queryExecution().executedPlan().toString()
     assert "coalesce(cached" in plan and "BroadcastHashJoin" in plan
     assert " AS prediction" not in plan.split("BroadcastHashJoin")[0]
+
+
+def test_trees_get_the_features_of_the_request_in_their_order(spark, sf_dir):
+    """Each response against the tree model called by hand, on every valid request."""
+    train = add_date_features(demand_from_trips(trips(spark, sf_dir), EVENT_SPEC))
+    for features in (FEATURES, HOUR_ZONE_FEATURES):
+        trees = fit_demand_model(train, features, rounds=2)
+        asked = event_requests(spark, sf_dir)
+        rows = score_requests(asked, trees, None, None, NOW).distinct().collect()
+        assert len(rows) > 100
+        for row in rows:
+            day = datetime.fromisoformat(row.date)
+            known = {
+                "day_of_week": day.weekday(), "month": day.month, "is_weekend": int(day.weekday() >= 5),
+                "pickup_hour": row.hour, "PULocationID": row.zone,
+            }
+            by_hand = trees.stages[-1].predict(Vectors.dense([known[f] for f in features]))
+            assert row.predicted_demand == pytest.approx(by_hand, abs=0.00501)
+            assert (row.day_of_week, row.month, row.is_weekend) == (day.weekday(), day.month, day.weekday() >= 5)

@@ -100,7 +100,8 @@ def test_large_lookup_equals_the_plain_join(skewed, dim, how, keys):
 
 
 def test_hot_keys_are_those_above_the_share(skewed):
-    assert [tuple(r) for r in hot_keys(skewed, ["k"], 0.01).collect()] == [(7,)]
+    (hot,) = hot_keys(skewed, ["k"], 0.01).collect()
+    assert hot.k == 7 and hot.share == pytest.approx(1 / 3, abs=0.01)
     assert hot_keys(skewed, ["k"], 0.5).isEmpty()
 
 
@@ -118,7 +119,7 @@ def test_hot_and_missing_keys_are_spread_over_tasks(spark, skewed, dim):
         for key, value in before.items():
             spark.conf.set(key, value)
     tasks = {k: sum(r.k == k for r in placed) for k in (7, 8, None)}
-    assert tasks[8] == 1 and tasks[7] > 3 and tasks[None] > 3
+    assert tasks[8] == 1 and tasks[7] > 1 and tasks[None] > 3
 
 
 def test_large_lookup_reads_the_facts_once(skewed, dim):

@@ -267,35 +267,30 @@ def regression_metrics(spark, sf_dir):
     return metrics.select(*[F.round(c, 6).alias(c) for c in metrics.columns])
 
 
-def _fit(spark: SparkSession, sf_dir: str, features=FEATURES, **options):
-    return train_demand_model(_hourly(spark, sf_dir), features, rounds=ROUNDS, **options)
-
-
-def _result_row(demand: DataFrame, result, features) -> DataFrame:
-    """What a training run reports, as one row."""
-    report = {**result.stats.asDict(), **result.metrics.asDict(), "features": ",".join(features)}
-    return demand.sparkSession.createDataFrame([report])
+def _trained(spark: SparkSession, sf_dir: str, features=FEATURES) -> tuple[PipelineModel, DataFrame]:
+    """A model of the events' own demand, and the hold-out part with its predictions."""
+    train, test = ops.holdout_split(ops.add_date_features(_hourly(spark, sf_dir)))
+    model = ops.fit_demand_model(train, features, rounds=ROUNDS)
+    return model, model.transform(test).select(*DEMAND_KEYS, "trip_count", "prediction")
 
 
 @query
 def demand_model(spark, sf_dir):
-    demand = _hourly(spark, sf_dir)
-    return _result_row(demand, train_demand_model(demand, rounds=ROUNDS), FEATURES)
+    """Error on the hold-out part."""
+    return ops.regression_metrics(_trained(spark, sf_dir)[1])
 
 
 @query
 def demand_model_hour_zone(spark, sf_dir):
-    """The older model, which knows hour and zone only."""
-    demand = _hourly(spark, sf_dir)
-    result = train_demand_model(demand, HOUR_ZONE_FEATURES, rounds=ROUNDS)
-    return _result_row(demand, result, ops.model_features(result.model))
+    """Hold-out predictions of the older model, which knows hour and zone only."""
+    return _trained(spark, sf_dir, HOUR_ZONE_FEATURES)[1]
 
 
 @query
 def model_roundtrip(spark, sf_dir):
     """Predictions of a model that was saved and loaded again."""
     path = scratch_path(spark, "model")
-    _fit(spark, sf_dir, model_path=path)
+    train_demand_model(_hourly(spark, sf_dir), rounds=ROUNDS, model_path=path)
     demand = ops.add_date_features(_hourly(spark, sf_dir))
     return ops.load_model(path).transform(demand).select(*DEMAND_KEYS, "trip_count", "prediction")
 
@@ -344,7 +339,7 @@ def cache_new_entries(spark, sf_dir):
 @query
 def score_requests_trees(spark, sf_dir):
     """Requests scored by boosted trees fitted on the events' own demand."""
-    model = _fit(spark, sf_dir).model
+    model, _ = _trained(spark, sf_dir)
     return ops.score_requests(
         t.requests(spark, sf_dir), model, t.zones(spark, sf_dir),
         t.stored_predictions(spark, sf_dir), t.NOW, carry=["request_id"],
