@@ -16,12 +16,12 @@ _SALT, _SALTS = "_salt", "_salts"
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` against both bounds (runs a job that reads at most ``max_rows + 1`` rows)."""
+    """Measure ``df`` against both bounds (runs a job: one count, added up per task)."""
     width = F.lit(16 * len(df.columns))
     for field in df.schema:
         if isinstance(field.dataType, (T.StringType, T.BinaryType)):
             width = width + F.coalesce(F.octet_length(field.name), F.lit(0))
-    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
     return rows <= max_rows and (size or 0) <= max_bytes
 
 
@@ -47,8 +47,8 @@ def lookup_join(
     nothing and are spread too, so that they do not meet in one task.
 
     ``sized_by`` is a cheaper frame with at least as many rows as ``dim`` to
-    measure in its place. Runs one small job, and one count of the facts per
-    key where ``dim`` is large.
+    measure in its place. Runs a count of it, and a count of the facts per key
+    where ``dim`` is large.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
