@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import argparse
+import json
 from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from curbflow.operators import load_model, list_zones, lookup_zones
-from curbflow.plans import run_etl, run_scoring, train_demand_model
+from curbflow.operators import list_zones, load_model, lookup_zones, zone_counts
+from curbflow.plans import predict, run_etl, run_scoring, train_demand_model
 from curbflow.sources import explore, load_demand, load_zones
 from curbflow.spec import FEATURES, HOUR_ZONE_FEATURES, REQUEST_COLS, DemandSpec, require_columns
+from curbflow.streaming import start_demand_stream
 
 
 def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -20,6 +22,16 @@ def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
         print(report.asDict())
 
 
+def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
+    spec = DemandSpec(args.time_col, args.zone_col, args.distance_col, args.count_col)
+    schema = spark.read.parquet(args.input).schema
+    trips = spark.readStream.schema(schema).parquet(args.input)
+    trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
+    start_demand_stream(
+        trips, args.output, args.checkpoint, spec, args.width, args.late_after, trigger
+    ).awaitTermination()
+
+
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     features = HOUR_ZONE_FEATURES if args.hour_zone_only else FEATURES
     demand = load_demand(spark, args.batch, args.stream)
@@ -35,6 +47,13 @@ def _score(spark: SparkSession, args: argparse.Namespace) -> None:
     run_scoring(spark, requests, load_model(args.model), zones, args.output, now, args.cache)
 
 
+def _predict(spark: SparkSession, args: argparse.Namespace) -> None:
+    zones = load_zones(spark, args.zones) if args.zones else None
+    now = datetime.fromisoformat(args.now) if args.now else datetime.now()
+    model = load_model(args.model)
+    print(json.dumps(predict(spark, model, zones, args.zone, args.hour, args.date, now, args.cache).asDict()))
+
+
 def _zones(spark: SparkSession, args: argparse.Namespace) -> None:
     zones = load_zones(spark, args.file)
     if args.id:
@@ -42,6 +61,7 @@ def _zones(spark: SparkSession, args: argparse.Namespace) -> None:
         lookup_zones(ids, zones).show(len(args.id), truncate=False)
     else:
         list_zones(zones, args.borough, args.search).show(args.rows, truncate=False)
+        print(zone_counts(zones, args.borough, args.search).first().asDict())
 
 
 def _explore(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -53,17 +73,30 @@ def parser() -> argparse.ArgumentParser:
     jobs = top.add_subparsers(required=True)
     spec = DemandSpec()
 
-    etl = jobs.add_parser("etl", help="raw trips to an hourly demand table")
+    def with_columns(job: argparse.ArgumentParser) -> argparse.ArgumentParser:
+        job.add_argument("--time-col", default=spec.ts_col)
+        job.add_argument("--zone-col", default=spec.zone_col)
+        job.add_argument("--distance-col", default=spec.distance_col)
+        job.add_argument("--count-col", default=spec.count_col)
+        return job
+
+    etl = with_columns(jobs.add_parser("etl", help="raw trips to an hourly demand table"))
     etl.add_argument("--input", nargs="+", required=True)
     etl.add_argument("--output", required=True)
-    etl.add_argument("--time-col", default=spec.ts_col)
-    etl.add_argument("--zone-col", default=spec.zone_col)
-    etl.add_argument("--distance-col", default=spec.distance_col)
-    etl.add_argument("--count-col", default=spec.count_col)
     etl.add_argument("--single-file", action="store_true")
     etl.add_argument("--no-audit", action="store_true")
     etl.set_defaults(job=_etl)
 
+    stream = with_columns(jobs.add_parser("stream", help="a folder of arriving trips to per-minute demand"))
+    stream.add_argument("--input", required=True)
+    stream.add_argument("--output", required=True)
+    stream.add_argument("--checkpoint", required=True)
+    stream.add_argument("--width", default="1 minute")
+    stream.add_argument("--late-after", default="10 minutes")
+    stream.add_argument("--every", default="1 minute")
+    stream.add_argument("--once", action="store_true", help="stop when all present input is read")
+    stream.set_defaults(job=_stream)
+
     train = jobs.add_parser("train", help="demand tables to a saved model")
     train.add_argument("--batch")
     train.add_argument("--stream")
@@ -82,6 +115,16 @@ def parser() -> argparse.ArgumentParser:
     score.add_argument("--now", help="ISO time; the current time if absent")
     score.set_defaults(job=_score)
 
+    one = jobs.add_parser("predict", help="the response to a single request, as JSON")
+    one.add_argument("--zone", type=int, required=True)
+    one.add_argument("--hour", type=int, required=True)
+    one.add_argument("--date", required=True)
+    one.add_argument("--model", required=True)
+    one.add_argument("--zones")
+    one.add_argument("--cache")
+    one.add_argument("--now", help="ISO time; the current time if absent")
+    one.set_defaults(job=_predict)
+
     zones = jobs.add_parser("zones", help="list, search or look up zones")
     zones.add_argument("--file", required=True)
     zones.add_argument("--borough")

@@ -1,5 +1,5 @@
 from curbflow.plans.etl import run_etl
-from curbflow.plans.scoring import run_scoring
+from curbflow.plans.scoring import predict, run_scoring
 from curbflow.plans.training import TrainingResult, train_demand_model
 
-__all__ = ["TrainingResult", "run_etl", "run_scoring", "train_demand_model"]
+__all__ = ["TrainingResult", "predict", "run_etl", "run_scoring", "train_demand_model"]

@@ -1,13 +1,21 @@
-"""A table of requests to a written table of responses."""
+"""Requests to responses: a table at a time, or a single one."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 from pyspark.ml import Transformer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from curbflow.operators.score import CACHE_TTL_SECONDS, cache_entries, score_all, score_requests
+from curbflow.operators.score import (
+    CACHE_TTL_SECONDS,
+    FROM_MODEL,
+    cache_entries,
+    score_all,
+    score_requests,
+    to_response,
+    validate_requests,
+)
 from curbflow.sources.predictions import append_predictions, read_predictions
 from curbflow.spec import REQUEST_COLS
 
@@ -36,3 +44,27 @@ def run_scoring(
         keys = requests.select(*REQUEST_COLS).distinct()
         entries = cache_entries(score_all(keys, model, None, cache, now, ttl_seconds), now)
         append_predictions(entries, cache_path)
+
+
+def predict(
+    spark: SparkSession,
+    model: Transformer,
+    zones: DataFrame | None,
+    zone: int,
+    hour: int,
+    date: str,
+    now: datetime,
+    cache_path: str | None = None,
+    ttl_seconds: int = CACHE_TTL_SECONDS,
+) -> Row:
+    """The response to a single request; ``ValueError`` with the reason if it is invalid."""
+    request = spark.createDataFrame([(zone, hour, date)], "zone int, hour int, date string")
+    reason = validate_requests(request).first()["reject_reason"]
+    if reason is not None:
+        raise ValueError(reason)
+    cache = None if cache_path is None else read_predictions(spark, cache_path, now, ttl_seconds)
+    scored = score_all(request, model, zones, cache, now, ttl_seconds)
+    response = to_response(scored).first()
+    if cache_path is not None and response["source"] == FROM_MODEL:
+        append_predictions(cache_entries(scored, now), cache_path)
+    return response

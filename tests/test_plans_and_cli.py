@@ -1,5 +1,7 @@
 """Physical plans of the hot queries, the shared folder, and the command line."""
 
+import json
+
 import pytest
 
 from curbflow import session
@@ -90,6 +92,9 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
     main(["etl", "--input", f"{tmp_path}/raw", "--output", f"{tmp_path}/demand"], spark)
     assert "'input_rows': 336" in capsys.readouterr().out
     assert read_demand(spark, f"{tmp_path}/demand").count() == 336
+    main(["stream", "--input", f"{tmp_path}/raw", "--output", f"{tmp_path}/minutes", "--checkpoint",
+          f"{tmp_path}/state", "--once"], spark)
+    assert spark.read.parquet(f"{tmp_path}/minutes").count() == 334
     main(["train", "--batch", f"{tmp_path}/demand", "--model", f"{tmp_path}/model", "--rounds", "2"], spark)
     assert "'rmse': 0.0" in capsys.readouterr().out
     spark.createDataFrame([(1, 5, "2025-01-05")], "zone int, hour int, date string").write.parquet(f"{tmp_path}/ask")
@@ -98,6 +103,17 @@ def test_jobs_from_the_command_line(spark, tmp_path, capsys):
           "--zones", f"{tmp_path}/zones.csv", "--cache", f"{tmp_path}/cache"], spark)
     answer = spark.read.parquet(f"{tmp_path}/out").first()
     assert (answer.zone_name, answer.predicted_demand, answer.source) == ("Park", 1.0, "model_inference")
+    capsys.readouterr()
+    single = ["predict", "--zone", "2", "--date", "2025-01-05", "--model", f"{tmp_path}/model",
+              "--cache", f"{tmp_path}/cache", "--zones", f"{tmp_path}/zones.csv"]
+    for source in ("model_inference", "cache_redis"):
+        main([*single, "--hour", "5", "--now", "2025-01-05T10:00:00"], spark)
+        assert json.loads(capsys.readouterr().out) == {
+            "source": source, "zone": 2, "zone_name": "Unknown", "borough": "Unknown", "service_zone": "Unknown",
+            "hour": 5, "date": "2025-01-05", "day_of_week": 6, "month": 1, "is_weekend": True, "predicted_demand": 1.0,
+        }
+    with pytest.raises(ValueError, match="bad_hour"):
+        main([*single, "--hour", "24"], spark)
     main(["zones", "--file", f"{tmp_path}/zones.csv", "--search", "PAR"], spark)
     main(["zones", "--file", f"{tmp_path}/zones.csv", "--id", "1", "2"], spark)
     main(["explore", "--input", f"{tmp_path}/demand"], spark)
