@@ -42,13 +42,13 @@ def _train(spark: SparkSession, args: argparse.Namespace) -> None:
 def _score(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = spark.read.parquet(args.requests)
     require_columns(requests, REQUEST_COLS)
-    zones = load_zones(spark, args.zones) if args.zones else None
+    zones = load_zones(spark, args.zones, optional=True) if args.zones else None
     now = datetime.fromisoformat(args.now) if args.now else datetime.now()
     run_scoring(spark, requests, load_model(args.model), zones, args.output, now, args.cache)
 
 
 def _predict(spark: SparkSession, args: argparse.Namespace) -> None:
-    zones = load_zones(spark, args.zones) if args.zones else None
+    zones = load_zones(spark, args.zones, optional=True) if args.zones else None
     now = datetime.fromisoformat(args.now) if args.now else datetime.now()
     model = load_model(args.model)
     print(json.dumps(predict(spark, model, zones, args.zone, args.hour, args.date, now, args.cache).asDict()))

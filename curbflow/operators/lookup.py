@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
-HOT_SHARE = 0.001
 _SALT, _SALTS = "_salt", "_salts"
 
 
@@ -32,19 +31,18 @@ def lookup_join(
     how: str = "left",
     sized_by: DataFrame | None = None,
     max_rows: int = BROADCAST_ROWS,
-    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Left or inner equi-join of ``facts`` to ``dim``, which holds one row per key.
 
     A ``dim`` measured to be small is broadcast, so ``facts`` is not
     shuffled at all. Beyond the bound both sides are shuffled by key and
-    salt. The salt is 0 except for hot keys, those held by more than
-    ``hot_share`` of the facts: a key with a third of the facts is spread
-    over a third as many salts as there are shuffle partitions, and its
-    ``dim`` row is repeated for each. As shares add up to at most 1, the
-    repeated rows number about as many as the partitions, plus one for each
-    of the at most ``1 / hot_share`` hot keys. Facts with a NULL key match
-    nothing and are spread too, so that they do not meet in one task.
+    salt. The salt is 0 except for hot keys, whose facts are more than an
+    even share of one shuffle partition: a key with a third of the facts is
+    spread over a third as many salts as there are partitions, and its
+    ``dim`` row is repeated for each. There can be no more hot keys than
+    partitions, and no more than twice as many repeated rows. Facts with a
+    NULL key match nothing and are spread too, so that they do not meet in
+    one task.
 
     ``sized_by`` is a cheaper frame with at least as many rows as ``dim`` to
     measure in its place. Runs a count of it, and a count of the facts per key
@@ -57,7 +55,7 @@ def lookup_join(
         return facts.join(F.broadcast(dim), keys, how)
 
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(facts, keys, hot_share).select(
+    hot = hot_keys(facts, keys, 1 / partitions).select(
         *keys, F.ceil(F.col("share") * partitions).cast("int").alias(_SALTS)
     )
     spread_dim = dim.join(F.broadcast(hot), keys, "left").withColumn(
@@ -74,7 +72,7 @@ def lookup_join(
     return spread_facts.drop(_SALTS).join(spread_dim.drop(_SALTS), [*keys, _SALT], how).drop(_SALT)
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(facts: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """Keys held by more than ``share`` of the rows, with their ``share``.
 
     There are at most ``1 / share`` of them. Runs a job.

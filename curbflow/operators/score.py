@@ -86,17 +86,18 @@ def score_all(
     with the choice between the two predictions and run it on misses only.
     """
     valid = validate_requests(requests).filter(F.col("reject_reason").isNull()).drop("reject_reason")
+    # The cache comes first: a shuffled probe then moves no feature columns.
+    probed = probe_cache(valid, cache, now, ttl_seconds)
     # Only dates of the right form are left; the pattern need not be matched again.
     date = F.col("date").try_cast("date")
-    featured = valid.withColumns({
+    featured = probed.withColumns({
         "day_of_week": day_of_week(date),
         "month": F.month(date),
         "is_weekend": is_weekend(date),
         "pickup_hour": F.col("hour"),
         ZONE_KEY: F.col("zone"),
     })
-    probed = probe_cache(featured, cache, now, ttl_seconds)
-    return model.transform(enrich_with_zone(probed, zones, "zone"))
+    return model.transform(enrich_with_zone(featured, zones, "zone"))
 
 
 def to_response(scored: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,12 @@ from curbflow.operators.merge import is_aggregated, merge_demand, stream_rows
 from curbflow.session import ensure_checkpoint_dir
 from curbflow.spec import DEMAND_COLS, DEMAND_KEYS, require_columns
 
+_log = logging.getLogger(__name__)
+
 FILE_ROWS = 20_000_000
 
 # Spark's error conditions for a path that is absent or holds no files.
-_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def read_demand(spark: SparkSession, path: str) -> DataFrame:
@@ -34,10 +38,14 @@ def read_optional(spark: SparkSession, path: str | None) -> DataFrame | None:
     try:
         df = spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() in _ABSENT:
+        if error.getCondition() in ABSENT:
+            _log.warning("nothing to read at %s", path)
             return None
         raise
-    return None if df.isEmpty() else df
+    if df.isEmpty():
+        _log.warning("no rows at %s", path)
+        return None
+    return df
 
 
 def load_demand(spark: SparkSession, batch_path: str | None, stream_path: str | None) -> DataFrame:
@@ -47,6 +55,7 @@ def load_demand(spark: SparkSession, batch_path: str | None, stream_path: str |
         rows = stream_rows(stream)
         # Raw trips none of which has a full key aggregate to nothing.
         if rows is None or rows.dropna(subset=list(DEMAND_KEYS)).isEmpty():
+            _log.warning("skipping the streaming source: it has columns %s", stream.columns)
             stream = None
     return merge_demand(read_optional(spark, batch_path), stream)
 

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.operators.zones import zone_dimension
+from curbflow.sources.demand import ABSENT
+
+_log = logging.getLogger(__name__)
 
 
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -30,9 +36,20 @@ def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def load_zones(spark: SparkSession, path: str) -> DataFrame:
-    """The zone dimension of a lookup file; the last line of an id wins."""
-    return zone_dimension(read_zone_csv(spark, path), "row_order")
+def load_zones(spark: SparkSession, path: str, optional: bool = False) -> DataFrame | None:
+    """The zone dimension of a lookup file; the last line of an id wins.
+
+    With ``optional`` an absent file gives ``None``, with which every zone
+    is ``Unknown``.
+    """
+    try:
+        lines = read_zone_csv(spark, path)
+    except AnalysisException as error:
+        if optional and error.getCondition() in ABSENT:
+            _log.warning("no zone file at %s: zones will be Unknown", path)
+            return None
+        raise
+    return zone_dimension(lines, "row_order")
 
 
 def count_missing_ids(raw_zones: DataFrame) -> DataFrame:

@@ -126,6 +126,12 @@ def test_zone_file_rules(spark, tmp_path):
     assert sources.count_missing_ids(sources.read_zone_csv(spark, path)).first()[0] == 1
 
 
+def test_an_absent_zone_file_is_an_error_unless_optional(spark, tmp_path):
+    assert sources.load_zones(spark, f"{tmp_path}/none.csv", optional=True) is None
+    with pytest.raises(AnalysisException):
+        sources.load_zones(spark, f"{tmp_path}/none.csv")
+
+
 def test_zone_columns_are_found_by_name(spark, tmp_path):
     (tmp_path / "z.csv").write_text("Zone,service_zone,LocationID,Borough\nMidtown,Yellow Zone,5,Manhattan\n")
     assert found(sources.load_zones(spark, f"{tmp_path}/z.csv")) == [(5, "Midtown", "Manhattan", "Yellow Zone")]

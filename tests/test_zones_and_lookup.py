@@ -94,7 +94,7 @@ def test_large_lookup_equals_the_plain_join(skewed, dim, how, keys):
     facts = skewed if len(keys) == 2 else skewed.drop("j")
     side = dim if len(keys) == 2 else dim.drop("j")
     want = facts.join(side, keys, how)
-    got = lookup_join(facts, side, keys, how, max_rows=50, hot_share=0.01)
+    got = lookup_join(facts, side, keys, how, max_rows=50)
     assert got.columns == want.columns
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
@@ -113,7 +113,7 @@ def test_hot_and_missing_keys_are_spread_over_tasks(spark, skewed, dim):
         for key, value in settings.items():
             spark.conf.set(key, value)
         copies = skewed.select("k").repartition(16)
-        joined = lookup_join(copies, dim.drop("j"), ["k"], max_rows=50, hot_share=0.01)
+        joined = lookup_join(copies, dim.drop("j"), ["k"], max_rows=50)
         placed = joined.select("k", F.spark_partition_id().alias("task")).distinct().collect()
     finally:
         for key, value in before.items():
