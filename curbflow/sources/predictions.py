@@ -13,9 +13,13 @@ from curbflow.spec import CACHE_COLS
 
 
 def append_predictions(entries: DataFrame, path: str) -> None:
-    """Append cache rows in a folder per day, so that a probe reads the last days only."""
-    rows = entries.select(*CACHE_COLS, F.col("cached_at").cast("date").alias("cached_on"))
-    rows.write.mode("append").partitionBy("cached_on").parquet(path)
+    """Append cache rows in a folder per day, so that a probe reads the last days only.
+
+    Times without a zone are taken to be in the session's, since a table
+    must not mix the two kinds.
+    """
+    rows = entries.select(*CACHE_COLS).withColumn("cached_at", F.col("cached_at").cast("timestamp"))
+    rows.withColumn("cached_on", F.col("cached_at").cast("date")).write.mode("append").partitionBy("cached_on").parquet(path)
 
 
 def read_predictions(

@@ -75,6 +75,13 @@ scored AS (
               + isodow(d) - 1 + month(d) AS DOUBLE) + CAST(0.125 AS DOUBLE) * (p.zone % 5) AS prediction
   FROM parsed p LEFT JOIN fresh f ON p.zone = f.zone AND p."hour" = f."hour" AND p."date" = f."date")"""
 
+_RESPONSE = """
+       CASE WHEN cached IS NULL THEN 'model_inference' ELSE 'cache_redis' END AS source, zone,
+       coalesce(zone_name, 'Unknown') AS zone_name, coalesce(borough, 'Unknown') AS borough,
+       coalesce(service_zone, 'Unknown') AS service_zone, "hour", "date", day_of_week, month, is_weekend,
+       coalesce(cached, round(prediction, 2)) AS predicted_demand
+FROM scored LEFT JOIN zones ON zone = location_id"""
+
 _BATCH_TYPES = "event_type NOT IN ('view', 'error')"
 _STREAM_TYPES = "event_type IN ('view', 'error')"
 
@@ -162,6 +169,7 @@ SELECT date_str, pickup_hour, zone_id AS PULocationID, count(vendor_id) AS trip_
        CAST(sum(trip_distance) AS DOUBLE) AS avg_distance, 'batch' AS origin
 FROM clean WHERE {_BATCH_TYPES} GROUP BY date_str, pickup_hour, zone_id""",
     "zone_dim": f"WITH {_ZONES} SELECT * FROM zones",
+    "zone_file": f"WITH {_ZONES} SELECT * FROM zones",
     "zones_by_borough": f"WITH {_ZONES} SELECT * FROM zones WHERE lower(borough) = 'asia' ORDER BY location_id",
     "zones_search": f"""WITH {_ZONES}
 SELECT * FROM zones WHERE contains(lower(zone_name), 'nation_1') ORDER BY location_id""",
@@ -195,12 +203,13 @@ SELECT request_id, r.zone, r."hour", r."date", cached,
        CASE WHEN cached IS NULL THEN 'model_inference' ELSE 'cache_redis' END AS source,
        concat_ws(':', 'demand', r.zone, r."hour", r."date") AS key
 FROM requests r LEFT JOIN fresh f ON r.zone = f.zone AND r."hour" = f."hour" AND r."date" = f."date\"""",
-    "score_requests": f"""WITH {_SCORED}
-SELECT request_id, CASE WHEN cached IS NULL THEN 'model_inference' ELSE 'cache_redis' END AS source, zone,
-       coalesce(zone_name, 'Unknown') AS zone_name, coalesce(borough, 'Unknown') AS borough,
-       coalesce(service_zone, 'Unknown') AS service_zone, "hour", "date", day_of_week, month, is_weekend,
-       coalesce(cached, round(prediction, 2)) AS predicted_demand
-FROM scored LEFT JOIN zones ON zone = location_id""",
+    "score_requests": f"WITH {_SCORED} SELECT request_id, {_RESPONSE}",
+    "score_job": f"WITH {_SCORED} SELECT {_RESPONSE}",
+    "cache_after_scoring": f"""WITH {_SCORED}
+SELECT zone, "hour", "date", prediction FROM stored
+UNION ALL
+SELECT zone, "hour", "date", max(prediction) AS prediction FROM scored WHERE cached IS NULL
+GROUP BY zone, "hour", "date\"""",
     "cache_new_entries": f"""WITH {_SCORED}
 SELECT zone, "hour", "date", max(prediction) AS prediction FROM scored WHERE cached IS NULL
 GROUP BY zone, "hour", "date\"""",

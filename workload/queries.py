@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from curbflow import operators as ops
 from curbflow import sources
 from curbflow.functions import cache_key, window_label, window_start_date
-from curbflow.plans import run_etl, train_demand_model
+from curbflow.plans import run_etl, run_scoring, train_demand_model
 from curbflow.session import scratch_path
 from curbflow.spec import DEMAND_KEYS, FEATURES, HOUR_ZONE_FEATURES, ZONE_KEY
 from curbflow.streaming import start_demand_stream
@@ -196,6 +196,17 @@ def zone_dim(spark, sf_dir):
     return t.zones(spark, sf_dir)
 
 
+@query
+def zone_file(spark, sf_dir):
+    """The dimension loaded from a lookup file with a header."""
+    path = scratch_path(spark, "zones")
+    t.raw_zones(spark, sf_dir).select(
+        F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"),
+        F.col("zone_name").alias("Zone"), "service_zone",
+    ).write.csv(path, header=True)
+    return sources.load_zones(spark, path)
+
+
 @query
 def zones_by_borough(spark, sf_dir):
     return ops.list_zones(t.zones(spark, sf_dir), borough=BOROUGH)
@@ -336,6 +347,27 @@ def cache_new_entries(spark, sf_dir):
     return ops.cache_entries(scored, t.NOW).drop("cached_at")
 
 
+def _scoring_job(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Run the whole job on written predictions; paths of the responses and of the predictions."""
+    out, store = scratch_path(spark, "responses"), scratch_path(spark, "predictions")
+    sources.append_predictions(t.stored_predictions(spark, sf_dir), store)
+    run_scoring(
+        spark, t.requests(spark, sf_dir), formula_model(), t.zones(spark, sf_dir), out, t.NOW, cache_path=store
+    )
+    return out, store
+
+
+@query
+def score_job(spark, sf_dir):
+    return spark.read.parquet(_scoring_job(spark, sf_dir)[0])
+
+
+@query
+def cache_after_scoring(spark, sf_dir):
+    """The prediction table once a scoring run has added to it."""
+    return sources.read_predictions(spark, _scoring_job(spark, sf_dir)[1], t.NOW).drop("cached_at")
+
+
 @query
 def score_requests_trees(spark, sf_dir):
     """Requests scored by boosted trees fitted on the events' own demand."""
