@@ -21,7 +21,7 @@ from workload.queries import QUERIES  # noqa: E402
 HEADLINE = (
     "scan_trips", "clean_trips", "trip_features", "quality_report", "demand_hourly", "demand_lineitem",
     "demand_1min", "demand_merge", "demand_merge_raw", "demand_roundtrip", "demand_etl", "zone_enrich",
-    "date_features", "holdout_split", "regression_metrics", "score_validate", "cache_lookup", "score_requests",
+    "date_features", "holdout_split", "regression_metrics", "score_validate", "cache_lookup", "score_requests", "score_job",
     "demand_stream",
 )
 MODEL = ("demand_model", "score_requests_trees")
