@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbflow.llm.mixing import mix_sources
 from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_source_mix(spark, sf_dir):
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), rule_frame(spark, URL_RULES))
