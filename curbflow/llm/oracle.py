@@ -26,3 +26,32 @@ fits AS (
 SELECT u.page_id, u.host, u.path, f.best.rule AS rule, coalesce(f.best.v, 'allow') AS verdict
 FROM urls u LEFT JOIN fits f ON u.page_id = f.page_id AND u.host = f.host AND u.path = f.path
 """
+
+ORACLE["op8_minhash_dedup"] = r"""
+WITH RECURSIVE toks AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE
+      WHEN len(w) = 0 THEN []::VARCHAR[]
+      WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i+3], ' '))) END AS s
+  FROM toks),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY ALL),
+links AS (
+  SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 80 * (p.n + q.n - k)),
+reach(node, root) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.node),
+comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sizes JOIN comp ON node = doc_id
+"""

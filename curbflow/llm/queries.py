@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm.mixing import mix_sources
+from curbflow.llm.near_dedup import near_duplicates
 from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +41,8 @@ def op3_source_mix(spark, sf_dir):
 @query
 def op5_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), rule_frame(spark, URL_RULES))
+
+
+@query
+def op8_minhash_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
