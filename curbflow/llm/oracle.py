@@ -55,3 +55,35 @@ comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node)
 SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sizes JOIN comp ON node = doc_id
 """
+
+ORACLE["op7_warc_archive"] = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (
+  SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
+         max(page_id) OVER (PARTITION BY html) AS keeper
+  FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to
+FROM q
+"""
+
+ORACLE["op4_embedding_dedup"] = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(node, root) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT l.y, r.root FROM reach r JOIN links l ON l.x = r.node),
+comp AS (SELECT node, min(root) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN comp ON node = vec_id LEFT JOIN degree ON x = vec_id
+"""

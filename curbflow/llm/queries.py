@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbflow.llm.common import shared_table_path
+from curbflow.llm.embedding_dedup import near_vectors
 from curbflow.llm.mixing import mix_sources
 from curbflow.llm.near_dedup import near_duplicates
 from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
+from curbflow.llm.warc import read_warc, write_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,11 +41,23 @@ def op3_source_mix(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_embedding_dedup(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op5_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), rule_frame(spark, URL_RULES))
 
 
+@query
+def op7_warc_archive(spark, sf_dir):
+    path = shared_table_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return read_warc(spark, path).drop("url")
+
+
 @query
 def op8_minhash_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
