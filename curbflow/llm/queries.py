@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import shared_table_path
+from curbflow.llm.common import crc_mod, shared_table_path
 from curbflow.llm.embedding_dedup import near_vectors
+from curbflow.llm.language_id import identify_languages
 from curbflow.llm.mixing import mix_sources
 from curbflow.llm.near_dedup import near_duplicates
 from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
@@ -36,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_language_id(spark, sf_dir):
+    return identify_languages(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 4) == 2)
+
+
 @query
 def op3_source_mix(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
