@@ -12,6 +12,7 @@ from curbflow.llm.embedding_dedup import near_vectors
 from curbflow.llm.language_id import identify_languages
 from curbflow.llm.mixing import mix_sources
 from curbflow.llm.near_dedup import near_duplicates
+from curbflow.llm.pii import find_pii
 from curbflow.llm.substring_dedup import remove_repeats
 from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
 from curbflow.llm.warc import read_warc, write_warc
@@ -73,3 +74,8 @@ def op8_minhash_dedup(spark, sf_dir):
 @query
 def op9_repeated_passages(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+@query
+def op10_pii(spark, sf_dir):
+    return find_pii(table(spark, sf_dir, "documents")).drop("all_spans", "text_key")
