@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm.common import crc_mod, shared_table_path
+from curbflow.llm.decontaminate import find_contamination
 from curbflow.llm.embedding_dedup import near_vectors
 from curbflow.llm.language_id import identify_languages
 from curbflow.llm.mixing import mix_sources
@@ -59,6 +60,11 @@ def op5_url_filter(spark, sf_dir):
     return filter_urls(table(spark, sf_dir, "pages"), rule_frame(spark, URL_RULES))
 
 
+@query
+def op6_decontaminate(spark, sf_dir):
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op7_warc_archive(spark, sf_dir):
     path = shared_table_path(spark, "warc")
