@@ -11,6 +11,7 @@ from curbflow.llm.common import crc_mod, shared_table_path
 from curbflow.llm.decontaminate import find_contamination
 from curbflow.llm.embedding_dedup import near_vectors
 from curbflow.llm.language_id import identify_languages
+from curbflow.llm.lm_scoring import score_texts
 from curbflow.llm.mixing import mix_sources
 from curbflow.llm.near_dedup import near_duplicates
 from curbflow.llm.pii import find_pii
@@ -40,6 +41,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_lm_scoring(spark, sf_dir):
+    return score_texts(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5) == 1)
+
+
 @query
 def op2_language_id(spark, sf_dir):
     return identify_languages(table(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 4) == 2)
