@@ -4,20 +4,21 @@ from __future__ import annotations
 
 import argparse
 import json
-from datetime import datetime
+from datetime import date
 
 from pyspark.sql import SparkSession
 
 from curbflow.operators import list_zones, load_model, lookup_zones, zone_counts
 from curbflow.plans import predict, run_etl, run_scoring, train_demand_model
-from curbflow.sources import explore, load_demand, load_zones
+from curbflow.session import session_now, session_time
+from curbflow.sources import expire_predictions, explore, load_demand, load_zones
 from curbflow.spec import FEATURES, HOUR_ZONE_FEATURES, REQUEST_COLS, DemandSpec, require_columns
 from curbflow.streaming import start_demand_stream
 
 
 def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
     spec = DemandSpec(args.time_col, args.zone_col, args.distance_col, args.count_col)
-    report = run_etl(spark, args.input, args.output, spec, not args.no_audit, args.single_file)
+    report = run_etl(spark, args.input, args.output, spec, not args.no_audit, args.files)
     if report is not None:
         print(report.asDict())
 
@@ -28,13 +29,13 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     trips = spark.readStream.schema(schema).parquet(args.input)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
     start_demand_stream(
-        trips, args.output, args.checkpoint, spec, args.width, args.late_after, trigger
+        trips, args.output, args.checkpoint, spec, args.width, args.late_after, trigger, args.files
     ).awaitTermination()
 
 
 def _train(spark: SparkSession, args: argparse.Namespace) -> None:
     features = HOUR_ZONE_FEATURES if args.hour_zone_only else FEATURES
-    demand = load_demand(spark, args.batch, args.stream)
+    demand = load_demand(spark, args.batch, args.stream, args.first_date, args.last_date)
     result = train_demand_model(demand, features, args.model, args.rounds, args.seed)
     print({**result.stats.asDict(), **result.metrics.asDict()})
 
@@ -43,24 +44,31 @@ def _score(spark: SparkSession, args: argparse.Namespace) -> None:
     requests = spark.read.parquet(args.requests)
     require_columns(requests, REQUEST_COLS)
     zones = load_zones(spark, args.zones, optional=True) if args.zones else None
-    now = datetime.fromisoformat(args.now) if args.now else datetime.now()
+    now = session_time(spark, args.now) if args.now else session_now(spark)
     run_scoring(spark, requests, load_model(args.model), zones, args.output, now, args.cache)
 
 
 def _predict(spark: SparkSession, args: argparse.Namespace) -> None:
     zones = load_zones(spark, args.zones, optional=True) if args.zones else None
-    now = datetime.fromisoformat(args.now) if args.now else datetime.now()
+    now = session_time(spark, args.now) if args.now else session_now(spark)
     model = load_model(args.model)
     print(json.dumps(predict(spark, model, zones, args.zone, args.hour, args.date, now, args.cache).asDict()))
 
 
+def _expire(spark: SparkSession, args: argparse.Namespace) -> None:
+    expire_predictions(spark, args.cache, session_time(spark, args.now) if args.now else session_now(spark))
+
+
 def _zones(spark: SparkSession, args: argparse.Namespace) -> None:
     zones = load_zones(spark, args.file)
     if args.id:
         ids = spark.createDataFrame([(i,) for i in args.id], "location_id int")
         lookup_zones(ids, zones).show(len(args.id), truncate=False)
     else:
-        list_zones(zones, args.borough, args.search).show(args.rows, truncate=False)
+        listed = list_zones(zones, args.borough, args.search)
+        print("\t".join(listed.columns))
+        for row in (listed if args.rows is None else listed.limit(args.rows)).toLocalIterator():
+            print("\t".join(str(v) for v in row))
         print(zone_counts(zones, args.borough, args.search).first().asDict())
 
 
@@ -83,7 +91,7 @@ def parser() -> argparse.ArgumentParser:
     etl = with_columns(jobs.add_parser("etl", help="raw trips to an hourly demand table"))
     etl.add_argument("--input", nargs="+", required=True)
     etl.add_argument("--output", required=True)
-    etl.add_argument("--single-file", action="store_true")
+    etl.add_argument("--files", type=int, help="so many files instead of a folder per date")
     etl.add_argument("--no-audit", action="store_true")
     etl.set_defaults(job=_etl)
 
@@ -94,12 +102,15 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--width", default="1 minute")
     stream.add_argument("--late-after", default="10 minutes")
     stream.add_argument("--every", default="1 minute")
+    stream.add_argument("--files", type=int, default=1, help="files per trigger and date")
     stream.add_argument("--once", action="store_true", help="stop when all present input is read")
     stream.set_defaults(job=_stream)
 
     train = jobs.add_parser("train", help="demand tables to a saved model")
     train.add_argument("--batch")
     train.add_argument("--stream")
+    train.add_argument("--first-date", type=date.fromisoformat)
+    train.add_argument("--last-date", type=date.fromisoformat)
     train.add_argument("--model", required=True)
     train.add_argument("--rounds", type=int, default=100)
     train.add_argument("--seed", type=int, default=42)
@@ -125,12 +136,17 @@ def parser() -> argparse.ArgumentParser:
     one.add_argument("--now", help="ISO time; the current time if absent")
     one.set_defaults(job=_predict)
 
+    expire = jobs.add_parser("expire", help="drop stored predictions past their lifetime, compact the others")
+    expire.add_argument("--cache", required=True)
+    expire.add_argument("--now", help="ISO time; the current time if absent")
+    expire.set_defaults(job=_expire)
+
     zones = jobs.add_parser("zones", help="list, search or look up zones")
     zones.add_argument("--file", required=True)
     zones.add_argument("--borough")
     zones.add_argument("--search")
     zones.add_argument("--id", type=int, nargs="+")
-    zones.add_argument("--rows", type=int, default=1000)
+    zones.add_argument("--rows", type=int, help="list so many only; all if absent")
     zones.set_defaults(job=_zones)
 
     look = jobs.add_parser("explore", help="schema and first rows of a Parquet table")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Fixed value: the documented form of a request date.
-REQUEST_DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
+REQUEST_DATE_PATTERN = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
 
 
 def to_calendar_date(col: Column, dtype: T.DataType) -> Column:
@@ -34,7 +34,7 @@ def is_weekend(date: Column) -> Column:
 def window_start_date(window: Column, dtype: T.DataType) -> Column:
     """Date a window begins on.
 
-    Accepts the text form ``[2025-01-04 16:30:00, 2025-01-04 16:31:00)`` and
+    Accepts the text form ``[2023-07-09 08:00:00, 2023-07-09 08:15:00)`` and
     the struct that Spark's own ``window()`` writes.
     """
     if isinstance(dtype, T.StructType):

@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from curbflow.session import ensure_checkpoint_dir
 from curbflow.spec import FEATURES, TARGET, require_columns
 
-# Fitting runs a job per tree level: tasks are sized by rows, since the number
-# of shuffle partitions would make a small table wait for empty tasks.
-ROWS_PER_TASK = 100_000
 _WEIGHT = "weight"
 
 
@@ -29,6 +26,7 @@ def fit_demand_model(
     learning_rate: float = 0.3,
     bins: int = 256,
     seed: int = 42,
+    tasks: int | None = None,
 ) -> PipelineModel:
     """Fit squared-error boosted trees on plain numeric features.
 
@@ -42,19 +40,20 @@ def fit_demand_model(
 
     Each round depends on the one before, so every tenth is checkpointed in
     the shared folder: a lost executor then costs ten rounds at most.
+    Adaptive execution sizes the partitions of the merged rows; ``tasks``
+    fixes their number instead.
     """
     require_columns(train, [*features, target])
     ensure_checkpoint_dir(train.sparkSession)
     combined = combine_equal_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tasks = max(1, -(-combined.count() // ROWS_PER_TASK))
         assembler = VectorAssembler(inputCols=list(features), outputCol="features")
         trees = GBTRegressor(
             featuresCol="features", labelCol=target, predictionCol="prediction", weightCol=_WEIGHT,
             lossType="squared", maxIter=rounds, maxDepth=depth, stepSize=learning_rate, maxBins=bins,
             seed=seed, checkpointInterval=10,
         )
-        return Pipeline(stages=[assembler, trees]).fit(combined.coalesce(tasks))
+        return Pipeline(stages=[assembler, trees]).fit(combined if tasks is None else combined.coalesce(tasks))
     finally:
         combined.unpersist()
 

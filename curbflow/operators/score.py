@@ -38,10 +38,12 @@ def _moment(now: datetime | Column, dtype: T.DataType) -> Column:
 
 
 def fresh_entries(cache: DataFrame, now: datetime | Column, ttl_seconds: int = CACHE_TTL_SECONDS) -> DataFrame:
-    """Cache rows younger than the lifetime, one or more per key."""
+    """Cache rows younger than the lifetime and not later than ``now``, one or more per key."""
     require_columns(cache, CACHE_COLS)
-    oldest = _moment(now, cache.schema["cached_at"].dataType) - F.make_dt_interval(secs=F.lit(ttl_seconds))
-    return cache.filter((F.col("cached_at") > oldest) & F.col("prediction").isNotNull()).select(*CACHE_COLS)
+    newest = _moment(now, cache.schema["cached_at"].dataType)
+    oldest = newest - F.make_dt_interval(secs=F.lit(ttl_seconds))
+    alive = (F.col("cached_at") > oldest) & (F.col("cached_at") <= newest)
+    return cache.filter(alive & F.col("prediction").isNotNull()).select(*CACHE_COLS)
 
 
 def fresh_predictions(cache: DataFrame, now: datetime | Column, ttl_seconds: int = CACHE_TTL_SECONDS) -> DataFrame:

@@ -17,15 +17,14 @@ def zone_dimension(zones: DataFrame, order_col: str | None = None) -> DataFrame:
 
     Missing text becomes ``Unknown`` and rows without an id are dropped.
     Where an id occurs more than once the row with the greatest
-    ``order_col`` wins; without an order the ids have to be unique already.
+    ``order_col`` wins; without an order the one whose texts sort last.
     """
     require_columns(zones, ZONE_COLS)
     named = zones.filter(F.col("location_id").isNotNull()).withColumns(
         {c: known_text(F.col(c)) for c in _TEXT_COLS}
     )
-    if order_col is None:
-        return named.select(*ZONE_COLS)
-    last = named.groupBy("location_id").agg(F.max_by(F.struct(*_TEXT_COLS), order_col).alias("last"))
+    texts = F.struct(*_TEXT_COLS)
+    last = named.groupBy("location_id").agg(F.max_by(texts, texts if order_col is None else F.col(order_col)).alias("last"))
     return last.select("location_id", *[F.col(f"last.{c}").alias(c) for c in _TEXT_COLS])
 
 

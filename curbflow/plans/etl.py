@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Row, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.operators.clean import audited_demand, quality_report
 from curbflow.operators.demand import demand_from_trips
-from curbflow.session import ensure_checkpoint_dir
 from curbflow.sources.demand import write_demand
 from curbflow.sources.trips import read_trips
 from curbflow.spec import DemandSpec
@@ -21,22 +21,23 @@ def run_etl(
     out_path: str,
     spec: DemandSpec = DemandSpec(),
     audit: bool = True,
-    single_file: bool = False,
+    files: int | None = None,
 ) -> Row | None:
     """Read, clean, aggregate and write; return the audit counts.
 
     The trips are scanned once. With ``audit`` the aggregate, which is of
-    the size of the demand table, is checkpointed in the shared folder and
-    both the table and the counts come from there. Without it the cleaning
-    rules reach the Parquet scan as pushed filters.
+    the size of the demand table, is kept by the executors (on disk where
+    memory is short) until both the table and the counts are made from it; a lost
+    part is computed again. Without it the cleaning rules reach the Parquet
+    scan as pushed filters. ``files`` is explained at ``write_demand``.
     """
     trips = read_trips(spark, paths, spec)
     if not audit:
-        write_demand(demand_from_trips(trips, spec), out_path, single_file)
+        write_demand(demand_from_trips(trips, spec), out_path, files)
         return None
-    ensure_checkpoint_dir(spark)
-    audited = audited_demand(trips, spec).checkpoint()
-    report = quality_report(audited).first()
-    demand = audited.filter(F.col("reject_reason").isNull())
-    write_demand(demand, out_path, single_file, report["demand_rows"])
-    return report
+    audited = audited_demand(trips, spec).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        write_demand(audited.filter(F.col("reject_reason").isNull()), out_path, files)
+        return quality_report(audited).first()
+    finally:
+        audited.unpersist()

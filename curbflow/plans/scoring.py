@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, Row, SparkSession
 
+from curbflow.operators.lookup import lookup_join
 from curbflow.operators.score import (
     CACHE_TTL_SECONDS,
     FROM_MODEL,
@@ -17,7 +19,7 @@ from curbflow.operators.score import (
     validate_requests,
 )
 from curbflow.sources.predictions import append_predictions, read_predictions
-from curbflow.spec import REQUEST_COLS
+from curbflow.spec import REQUEST_COLS, RESPONSE_COLS
 
 
 def run_scoring(
@@ -33,17 +35,24 @@ def run_scoring(
     """Write the responses and, with a ``cache_path``, reuse and extend the prediction table.
 
     ``requests`` should be a written table: with a cache it is read twice,
-    the second time for its distinct keys alone, which are far fewer than
-    the requests and are all that the new entries need. ``now`` is naive and
-    read in the session's time zone, like the stored times.
+    the first time for its distinct keys alone, which are far fewer than the
+    requests. Each key is probed and scored once; requests look their key up,
+    so all requests of a key missing from the cache count as misses within a
+    run. ``now`` is naive and read in the session's time zone, like the
+    stored times.
     """
-    cache = None if cache_path is None else read_predictions(spark, cache_path, now, ttl_seconds)
-    responses = score_requests(requests, model, zones, cache, now, ttl_seconds=ttl_seconds)
-    responses.write.mode("overwrite").parquet(out_path)
-    if cache_path is not None:
-        keys = requests.select(*REQUEST_COLS).distinct()
-        entries = cache_entries(score_all(keys, model, None, cache, now, ttl_seconds), now)
-        append_predictions(entries, cache_path)
+    if cache_path is None:
+        score_requests(requests, model, zones, None, now, ttl_seconds=ttl_seconds).write.mode("overwrite").parquet(out_path)
+        return
+    cache = read_predictions(spark, cache_path, now, ttl_seconds)
+    keys = requests.select(*REQUEST_COLS).distinct()
+    scored = score_all(keys, model, zones, cache, now, ttl_seconds).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        responses = lookup_join(requests.select(*REQUEST_COLS), to_response(scored), list(REQUEST_COLS), "inner")
+        responses.select(*RESPONSE_COLS).write.mode("overwrite").parquet(out_path)
+        append_predictions(cache_entries(scored, now), cache_path)
+    finally:
+        scored.unpersist()
 
 
 def predict(

@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 import logging
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.operators.merge import is_aggregated, merge_demand, stream_rows
-from curbflow.session import ensure_checkpoint_dir
-from curbflow.spec import DEMAND_COLS, DEMAND_KEYS, require_columns
+from curbflow.spec import DEMAND_COLS, DEMAND_KEYS, WINDOW_DATE, require_columns
 
 _log = logging.getLogger(__name__)
 
-FILE_ROWS = 20_000_000
-
 # Spark's error conditions for a path that is absent or holds no files.
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
@@ -48,39 +46,47 @@ def read_optional(spark: SparkSession, path: str | None) -> DataFrame | None:
     return df
 
 
-def load_demand(spark: SparkSession, batch_path: str | None, stream_path: str | None) -> DataFrame:
-    """Demand merged from a batch table and a streaming job's output, either of which may be absent."""
-    stream = read_optional(spark, stream_path)
+def _of_dates(table: DataFrame | None, column: str, first: date | None, last: date | None) -> DataFrame | None:
+    """Rows whose date lies in the range; of the date folders only those within it are read."""
+    if table is None or column not in table.columns:
+        return table
+    if first is not None:
+        table = table.filter(F.col(column) >= F.lit(first))
+    return table if last is None else table.filter(F.col(column) <= F.lit(last))
+
+
+def load_demand(
+    spark: SparkSession, batch_path: str | None, stream_path: str | None,
+    first_date: date | None = None, last_date: date | None = None,
+) -> DataFrame:
+    """Demand merged from a batch table and a streaming job's output, either of which may be absent.
+
+    ``first_date`` and ``last_date`` (inclusive) restrict both sources. The
+    folders per date that the writers make let a scan skip the others.
+    """
+    stream = _of_dates(read_optional(spark, stream_path), WINDOW_DATE, first_date, last_date)
     if stream is not None and not is_aggregated(stream):
         rows = stream_rows(stream)
         # Raw trips none of which has a full key aggregate to nothing.
         if rows is None or rows.dropna(subset=list(DEMAND_KEYS)).isEmpty():
             _log.warning("skipping the streaming source: it has columns %s", stream.columns)
             stream = None
-    return merge_demand(read_optional(spark, batch_path), stream)
+    batch = _of_dates(read_optional(spark, batch_path), DEMAND_KEYS[0], first_date, last_date)
+    return _of_dates(merge_demand(batch, stream), DEMAND_KEYS[0], first_date, last_date)
 
 
-def write_demand(
-    demand: DataFrame, path: str, single_file: bool = False, row_count: int | None = None
-) -> None:
+def write_demand(demand: DataFrame, path: str, files: int | None = None) -> None:
     """Write a demand table, replacing what is at ``path``.
 
     By default there is a folder per date, so that readers of some dates
     skip the others; Spark rebalances the rows at run time, which splits a
-    large date and packs small ones.
-
-    ``single_file`` leaves out the folders and writes one file, or one per
-    ``FILE_ROWS`` rows where the table is longer than that: no task ever
-    holds more. The number of rows is counted on a checkpoint unless the
-    caller knows it.
+    large date and packs small ones. ``files`` leaves out the folders and
+    writes that many files of about equal size: equal arguments give an
+    equal layout, and how much a task may hold is the caller's choice.
     """
     require_columns(demand, DEMAND_COLS)
     rows = demand.select(*DEMAND_COLS)
-    if not single_file:
+    if files is None:
         rows.hint("rebalance", F.col("date_str")).write.mode("overwrite").partitionBy("date_str").parquet(path)
-        return
-    if row_count is None:
-        ensure_checkpoint_dir(demand.sparkSession)
-        rows = rows.checkpoint()
-        row_count = rows.count()
-    rows.repartition(max(1, -(-row_count // FILE_ROWS))).write.mode("overwrite").parquet(path)
+    else:
+        rows.repartition(files).write.mode("overwrite").parquet(path)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.operators.score import CACHE_TTL_SECONDS
+from curbflow.session import delete_path, rename_path
 from curbflow.sources.demand import read_optional
 from curbflow.spec import CACHE_COLS
 
@@ -30,4 +32,35 @@ def read_predictions(
     if table is None:
         return None
     first_day = (now - timedelta(seconds=ttl_seconds)).date()
-    return table.filter(F.col("cached_on") >= F.lit(first_day)).select(*CACHE_COLS)
+    return table.filter(F.col("cached_on").between(F.lit(first_day), F.lit(now.date()))).select(*CACHE_COLS)
+
+
+def expire_predictions(
+    spark: SparkSession, path: str, now: datetime, ttl_seconds: int = CACHE_TTL_SECONDS, files_per_day: int = 1
+) -> None:
+    """Drop the entries that are past their lifetime and compact the others.
+
+    What is alive, entries later than ``now`` included, is written anew with
+    ``files_per_day`` files a day beside the table, which it then replaces by
+    renaming; only the days that can hold live entries are read. No job may
+    append meanwhile. An absent table stays absent; a table with nothing
+    alive is removed.
+    """
+    table = read_optional(spark, path)
+    if table is None:
+        return
+    oldest = now - timedelta(seconds=ttl_seconds)
+    alive = table.filter(
+        (F.col("cached_on") >= F.lit(oldest.date())) & (F.col("cached_at") > F.lit(oldest.isoformat(sep=" ")).cast("timestamp"))
+    )
+    mark = uuid.uuid4().hex
+    fresh, old = f"{path.rstrip('/')}-next-{mark}", f"{path.rstrip('/')}-old-{mark}"
+    alive.repartition(files_per_day, "cached_on").write.partitionBy("cached_on").parquet(fresh)
+    kept = read_optional(spark, fresh) is not None
+    rename_path(spark, path, old)
+    if kept:
+        rename_path(spark, fresh, path)
+    else:
+        delete_path(spark, fresh)
+    delete_path(spark, old)
+    spark.catalog.refreshByPath(path)

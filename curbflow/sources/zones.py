@@ -17,11 +17,12 @@ _log = logging.getLogger(__name__)
 def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw zone rows of a CSV with the header LocationID, Borough, Zone, service_zone.
 
-    Columns are found by name. ``row_order`` follows the lines of the file:
-    by block, then by position within the block.
+    Columns are found by name; quoted values may hold line breaks, for which
+    each file is read by one task (a zone list is small). ``row_order``
+    follows the rows of the files.
     """
     lines = spark.read.csv(
-        path, header=True, inferSchema=False, escape='"',
+        path, header=True, inferSchema=False, escape='"', multiLine=True,
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
     return lines.select(

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 ZONE_KEY = "PULocationID"
 DEMAND_KEYS = ("date_str", "pickup_hour", ZONE_KEY)
 DEMAND_COLS = (*DEMAND_KEYS, "trip_count", "avg_distance")
+WINDOW_DATE = "window_date"
 FEATURES = ("day_of_week", "month", "is_weekend", "pickup_hour", ZONE_KEY)
 HOUR_ZONE_FEATURES = ("pickup_hour", ZONE_KEY)
 TARGET = "trip_count"

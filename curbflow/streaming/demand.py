@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from curbflow.operators.demand import demand_by_window
-from curbflow.spec import DemandSpec
+from curbflow.spec import WINDOW_DATE, DemandSpec
 
 
 def start_demand_stream(
@@ -17,16 +18,21 @@ def start_demand_stream(
     width: str = "1 minute",
     late_after: str = "10 minutes",
     trigger: dict | None = None,
+    files_per_trigger: int = 1,
 ) -> StreamingQuery:
     """Count a stream of trips per window x zone and append closed windows to Parquet.
 
     A window is written once, when the watermark has passed its end; trips
     that arrive after that are dropped. ``checkpoint_path`` must be on
     shared storage. ``trigger`` holds arguments of ``DataStreamWriter.trigger``.
+    The output has a folder per date of the window's start, so that readers
+    of some dates skip the others, and a trigger adds at most
+    ``files_per_trigger`` files to each.
     """
     demand = demand_by_window(trips, spec, width, late_after)
+    dated = demand.withColumn(WINDOW_DATE, F.col("window.start").cast("date")).repartition(files_per_trigger)
     writer = (
-        demand.writeStream.format("parquet").outputMode("append")
+        dated.writeStream.format("parquet").outputMode("append").partitionBy(WINDOW_DATE)
         .option("path", out_path).option("checkpointLocation", checkpoint_path)
     )
     return (writer.trigger(**trigger) if trigger else writer).start()

@@ -9,14 +9,16 @@ sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]").appName("curbflow-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
-        .config("spark.sql.warehouse.dir", "/tmp/curbflow-warehouse")
+        .config("spark.sql.warehouse.dir", f"file://{shared}/warehouse")
+        .config("spark.checkpoint.dir", f"file://{shared}/checkpoints")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,6 +1,7 @@
 """Physical plans of the hot queries, the shared folder, and the command line."""
 
 import json
+from datetime import datetime
 
 import pytest
 
@@ -78,12 +79,30 @@ def test_a_context_with_a_checkpoint_folder_keeps_it():
     assert session.shared_dir(cluster) == "hdfs:///given"
 
 
-def test_only_a_local_master_gets_a_temporary_folder():
-    local = FakeSession("local[2]")
-    session.ensure_checkpoint_dir(local)
-    assert local.sparkContext.folder == session.shared_dir(local)
+@pytest.mark.parametrize("master", ["local[2]", "spark://host:7077"])
+def test_without_a_setting_there_is_no_shared_folder(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_dir(FakeSession("spark://host:7077"))
+        session.shared_dir(FakeSession(master))
+
+
+def test_times_are_the_sessions(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        there = spark.sql("SELECT cast(current_timestamp() AS timestamp_ntz) AS now").first().now
+        assert abs((session.session_now(spark) - there).total_seconds()) < 60
+        assert session.session_time(spark, "2025-01-05T10:00:00+00:00") == datetime(2025, 1, 5, 19)
+        assert session.session_time(spark, "2025-01-05T10:00:00") == datetime(2025, 1, 5, 10)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_a_long_zone_listing_is_printed_whole(spark, tmp_path, capsys):
+    lines = "\n".join(f"{i},Queens,Zone {i},Boro Zone" for i in range(1500))
+    (tmp_path / "long.csv").write_text(f"LocationID,Borough,Zone,service_zone\n{lines}\n")
+    main(["zones", "--file", f"{tmp_path}/long.csv"], spark)
+    out = capsys.readouterr().out.splitlines()
+    assert sum("Zone " in line and "Queens" in line for line in out) == 1500
 
 
 def test_jobs_from_the_command_line(spark, tmp_path, capsys):

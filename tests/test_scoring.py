@@ -103,6 +103,12 @@ def test_response_has_the_contract_columns_and_both_sources(spark, model):
     ]
 
 
+def test_entries_from_the_future_are_misses(spark, model):
+    asked = requests(spark, (1, 5, "2025-01-05"))
+    assert score_requests(asked, model, None, cache(spark, (1, 5, "2025-01-05", 3.0, -1)), NOW).first().source == "model_inference"
+    assert score_requests(asked, model, None, cache(spark, (1, 5, "2025-01-05", 3.0, 0)), NOW).first().source == "cache_redis"
+
+
 def test_new_entries_are_unrounded_one_per_missed_key(spark, model):
     asked = requests(spark, (1, 5, "2025-01-05"), (2, 5, "2025-01-06"), (2, 5, "2025-01-06"))
     scored = score_all(asked, model, None, cache(spark, (1, 5, "2025-01-05", 3.0, 5)), NOW)

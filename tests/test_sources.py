@@ -1,6 +1,6 @@
 """Files in, files out."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from glob import glob
 
 import pytest
@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from curbflow import sources
 from curbflow.plans import run_etl
-from curbflow.sources import demand as demand_source
 from curbflow.spec import DEMAND_COLS
 from test_trips_and_demand import SUNDAY, demand, found, trips
 
@@ -50,24 +49,26 @@ def test_explore_prints_schema_and_rows(spark, tmp_path, capsys):
 def test_demand_round_trip_by_date_and_in_one_file(spark, tmp_path):
     rows = [(DAY, h, z, 1, 0.5) for h in range(24) for z in range(50)] + [(None, 1, 1, 1, 1.0)]
     df = demand(spark, *rows).repartition(8)
-    for single in (False, True):
-        path = f"{tmp_path}/d{single}"
-        sources.write_demand(df, path, single_file=single)
-        sources.write_demand(df, path, single_file=single)
+    for files in (None, 1):
+        path = f"{tmp_path}/d{files}"
+        sources.write_demand(df, path, files)
+        sources.write_demand(df, path, files)
         back = sources.read_demand(spark, path)
         assert back.columns == list(DEMAND_COLS)
         assert back.dtypes == df.dtypes
         assert found(back) == sorted(rows, key=str)
-    assert len(glob(f"{tmp_path}/dTrue/*.parquet")) == 1
-    assert sorted(p.rsplit("/", 1)[1] for p in glob(f"{tmp_path}/dFalse/date_str=*")) == [
+    assert len(glob(f"{tmp_path}/d1/*.parquet")) == 1
+    assert sorted(p.rsplit("/", 1)[1] for p in glob(f"{tmp_path}/dNone/date_str=*")) == [
         "date_str=2025-01-05", "date_str=__HIVE_DEFAULT_PARTITION__",
     ]
 
 
-def test_one_file_layout_splits_a_table_beyond_the_row_bound(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(demand_source, "FILE_ROWS", 100)
+def test_equal_arguments_give_an_equal_layout(spark, tmp_path):
     df = demand(spark, *[(DAY, h, z, 1, 0.5) for h in range(24) for z in range(10)])
-    sources.write_demand(df, f"{tmp_path}/d", single_file=True)
+    for size in (24, 240):
+        sources.write_demand(df.limit(size), f"{tmp_path}/n{size}", files=3)
+        assert len(glob(f"{tmp_path}/n{size}/*.parquet")) == 3
+    sources.write_demand(df, f"{tmp_path}/d", files=3)
     assert len(glob(f"{tmp_path}/d/*.parquet")) == 3
     assert sources.read_demand(spark, f"{tmp_path}/d").count() == 240
 
@@ -147,11 +148,36 @@ def test_predictions_are_read_by_day(spark, tmp_path):
     assert sources.read_predictions(spark, f"{tmp_path}/c", now).count() == 2
 
 
+def test_expired_predictions_go_and_the_rest_is_compacted(spark, tmp_path):
+    now = datetime(2025, 1, 5, 0, 5)
+    times = [now - timedelta(seconds=s) for s in (599, 600, 5, 90_000)] + [now + timedelta(seconds=5)]
+    rows = [(i, 2, "2025-01-05", float(i), at) for i, at in enumerate(times)]
+    entries = spark.createDataFrame(rows, "zone int, hour int, date string, prediction double, cached_at timestamp")
+    sources.expire_predictions(spark, f"{tmp_path}/c", now)
+    for _ in range(2):
+        sources.append_predictions(entries, f"{tmp_path}/c")
+    sources.expire_predictions(spark, f"{tmp_path}/c", now)
+    assert sorted(r.zone for r in spark.read.parquet(f"{tmp_path}/c").collect()) == [0, 0, 2, 2, 4, 4]
+    assert len(glob(f"{tmp_path}/c/*/*.parquet")) == 2 and len(glob(f"{tmp_path}/*")) == 1
+    sources.expire_predictions(spark, f"{tmp_path}/c", now + timedelta(days=2))
+    assert glob(f"{tmp_path}/*") == []
+
+
+def test_zone_file_with_quotes_line_breaks_and_repeats(spark, tmp_path):
+    (tmp_path / "z.csv").write_text(
+        'LocationID,Borough,Zone,service_zone\n1,Queens,Old,Boro Zone\n,Queens,Nameless,Boro Zone\n'
+        '1,Queens,"Park ""A"",\nnorth",Yellow Zone\n2,Bronx,Hill,Boro Zone\n'
+    )
+    assert found(sources.load_zones(spark, f"{tmp_path}/z.csv")) == [
+        (1, 'Park "A",\nnorth', "Queens", "Yellow Zone"), (2, "Hill", "Bronx", "Boro Zone"),
+    ]
+
+
 def test_etl_audits_and_writes(spark, tmp_path):
     trips(spark, (1, SUNDAY, 1.5, 7), (1, SUNDAY, -1.5, 7)).write.parquet(f"{tmp_path}/in")
     report = run_etl(spark, f"{tmp_path}/in", f"{tmp_path}/a")
     assert (report["input_rows"], report["removed_rows"], report["demand_rows"]) == (2, 1, 1)
-    assert run_etl(spark, [f"{tmp_path}/in"], f"{tmp_path}/b", audit=False, single_file=True) is None
+    assert run_etl(spark, [f"{tmp_path}/in"], f"{tmp_path}/b", audit=False, files=1) is None
     want = [(DAY, 16, 7, 1, 1.5)]
     assert found(sources.read_demand(spark, f"{tmp_path}/a")) == want
     assert found(sources.read_demand(spark, f"{tmp_path}/b")) == want

@@ -1,5 +1,6 @@
 """The streaming producer against the static operator."""
 
+from pathlib import Path
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -62,6 +63,19 @@ def test_stream_output_merges_with_batch(spark, tmp_path):
     assert found(load_demand(spark, None, out)) == [(day, 16, 7, 3, 3.0)]
 
 
+def test_stream_output_has_date_folders_that_prune(spark, tmp_path):
+    source, out, state = (f"{tmp_path}/{n}" for n in ("in", "out", "state"))
+    _deliver(spark, source, 0, 1, 2, 24 * 60, 48 * 60)
+    _run(spark, source, out, state)
+    folders = sorted(p.name for p in Path(out).glob("window_date=*"))
+    assert len(folders) == 2 and all(len(list((Path(out) / f).glob("*.parquet"))) == 1 for f in folders)
+    second = START.date() + timedelta(days=1)
+    some = load_demand(spark, None, out, first_date=second)
+    assert {r.date_str for r in some.collect()} == {second}
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(window_date" in plan
+
+
 def test_minutes_sum_to_the_hour(spark, sf_dir):
     trips = as_trips(table(spark, sf_dir, "events"))
     rolled = merge_demand(None, demand_by_window(trips, EVENT_SPEC))

@@ -122,6 +122,33 @@ def test_hot_and_missing_keys_are_spread_over_tasks(spark, skewed, dim):
     assert tasks[8] == 1 and tasks[7] > 1 and tasks[None] > 3
 
 
+@pytest.mark.parametrize("kind", ["empty", "no key", "map", "map and no key"])
+def test_large_lookup_of_odd_facts_equals_the_small_one(spark, skewed, dim, kind):
+    facts = skewed.drop("j")
+    if kind == "empty":
+        facts = facts.where("k = -1")
+    if "no key" in kind:
+        facts = facts.withColumn("k", F.lit(None).cast("int"))
+    if "map" in kind:
+        facts = facts.withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    small, large = (lookup_join(facts, dim.drop("j"), ["k"], max_rows=n) for n in (10_000, 0))
+    assert small.columns == large.columns
+    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    assert hot_keys(facts.where("k is null"), ["k"], 0.1).isEmpty()
+
+
+def test_nested_sides_are_measured_and_others_refused(spark):
+    wide = spark.range(100).select("id", F.array_repeat(F.lit(1), 1000).alias("a"))
+    assert fits_broadcast(wide) and not fits_broadcast(wide, max_bytes=100_000)
+    assert not fits_broadcast(spark.range(1).select(F.parse_json(F.lit("{}")).alias("v")))
+
+
+def test_known_hot_keys_spare_the_count(skewed, dim):
+    hot = hot_keys(skewed, ["k"], 0.01)
+    got = lookup_join(skewed, dim.drop("j"), ["k"], max_rows=50, hot=hot)
+    assert got.count() == skewed.count()
+
+
 def test_large_lookup_reads_the_facts_once(skewed, dim):
     plan = lookup_join(skewed, dim.drop("j"), ["k"], max_rows=50)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Range (0, 30000") == 1

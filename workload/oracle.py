@@ -45,7 +45,8 @@ requests AS (
   SELECT event_id AS request_id, CAST(user_id % 30 AS INTEGER) AS zone,
          CAST(CASE WHEN minute(ts) = 59 THEN 24 ELSE hour(ts) END AS INTEGER) AS "hour",
          CASE second(ts) WHEN 0 THEN '2025-02-30' WHEN 1 THEN strftime(ts, '%Y%m%d')
-                         WHEN 2 THEN '' WHEN 3 THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS "date"
+                         WHEN 2 THEN '' WHEN 3 THEN NULL
+                         WHEN 4 THEN strftime(ts, '%Y-%m-%d') || chr(10) ELSE strftime(ts, '%Y-%m-%d') END AS "date"
   FROM events),
 checked AS (
   SELECT *, CASE WHEN zone < 1 THEN 'bad_zone' WHEN "hour" NOT BETWEEN 0 AND 23 THEN 'bad_hour'
@@ -57,12 +58,14 @@ _CACHE = """
 stored AS (
   SELECT CAST(user_id % 30 AS INTEGER) AS zone, CAST(hour(ts) AS INTEGER) AS "hour",
          strftime(ts, '%Y-%m-%d') AS "date", value AS prediction,
-         TIMESTAMP '2024-02-01 00:00:00' - to_seconds(555 + second(ts)) AS cached_at
-  FROM events WHERE event_type = 'purchase'),
+         TIMESTAMP '2024-02-01 00:00:00'
+           - to_seconds(CASE WHEN minute(ts) % 10 = 0 THEN -60 ELSE 555 + second(ts) END) AS cached_at
+  FROM events),
 fresh AS (
   SELECT zone, "hour", "date", prediction AS cached FROM (
     SELECT *, row_number() OVER (PARTITION BY zone, "hour", "date" ORDER BY cached_at DESC, prediction DESC) AS nr
-    FROM stored WHERE cached_at > TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 600 SECOND)
+    FROM stored WHERE cached_at > TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 600 SECOND
+      AND cached_at <= TIMESTAMP '2024-02-01 00:00:00')
   WHERE nr = 1)"""
 
 _SCORED = f"""{_REQUESTS},{_CACHE},{_ZONES},
@@ -141,6 +144,14 @@ FROM reasons GROUP BY 1, 2, 3, 4""",
     "demand_1min": f"WITH {_CLEAN} {_MINUTES} GROUP BY minute_start, pickup_hour, zone_id",
     "demand_roundtrip": f"WITH {_DEMAND} SELECT * FROM demand",
     "demand_etl": _LINE_DEMAND,
+    "demand_one_file": f"WITH {_DEMAND} SELECT * FROM demand",
+    "explore_schema": """SELECT * FROM (
+SELECT 'event_id' AS column_name, count(event_id) AS filled FROM events
+UNION ALL SELECT 'ts', count(ts) FROM events UNION ALL SELECT 'user_id', count(user_id) FROM events
+UNION ALL SELECT 'event_type', count(event_type) FROM events UNION ALL SELECT 'value', count("value") FROM events
+UNION ALL SELECT 'props', count(props) FROM events)""",
+    "required_columns": f"""WITH {_DEMAND}
+SELECT *, 'date_str,pickup_hour,PULocationID,trip_count,avg_distance' AS lacking FROM demand""",
     "demand_stream": f"""WITH {_CLEAN} {_MINUTES}
 WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(pickup_ts) FROM clean) - INTERVAL 10 MINUTE
 GROUP BY minute_start, pickup_hour, zone_id""",
@@ -148,7 +159,7 @@ GROUP BY minute_start, pickup_hour, zone_id""",
 SELECT DISTINCT {_LABEL.format('minute_start')} AS "window", pickup_hour, zone_id AS PULocationID,
        date_str AS date_from_struct, date_str AS date_from_text
 FROM clean""",
-    "stream_raw_demand": f"""WITH {_TRIPS},{_RAW_STREAM}
+    "stream_raw_demand": f"""WITH {_TRIPS},{_RAW_STREAM.replace(_STREAM_TYPES + " AND ", "")}
 SELECT date_str, pickup_hour, PULocationID, trip_count,
        CAST(coalesce(avg_distance, 0) AS DOUBLE) AS avg_distance FROM raw_stream""",
     "stream_window_rollup": f"WITH {_DEMAND} SELECT * FROM demand",
@@ -169,7 +180,9 @@ SELECT date_str, pickup_hour, zone_id AS PULocationID, count(vendor_id) AS trip_
        CAST(sum(trip_distance) AS DOUBLE) AS avg_distance, 'batch' AS origin
 FROM clean WHERE {_BATCH_TYPES} GROUP BY date_str, pickup_hour, zone_id""",
     "zone_dim": f"WITH {_ZONES} SELECT * FROM zones",
-    "zone_file": f"WITH {_ZONES} SELECT * FROM zones",
+    "zone_file": f"""WITH {_ZONES}
+SELECT location_id, CASE WHEN location_id % 3 = 0 THEN zone_name || ' "A", ' || chr(10) || 'north'
+                         ELSE zone_name END AS zone_name, borough, service_zone FROM zones""",
     "zones_by_borough": f"WITH {_ZONES} SELECT * FROM zones WHERE lower(borough) = 'asia' ORDER BY location_id",
     "zones_search": f"""WITH {_ZONES}
 SELECT * FROM zones WHERE contains(lower(zone_name), 'nation_1') ORDER BY location_id""",
@@ -214,3 +227,32 @@ GROUP BY zone, "hour", "date\"""",
 SELECT zone, "hour", "date", max(prediction) AS prediction FROM scored WHERE cached IS NULL
 GROUP BY zone, "hour", "date\"""",
 }
+
+_WEEKDAY = f"""WITH {_DEMAND},{_SPLIT},
+means AS (SELECT isodow(date_str) AS d, avg(trip_count) AS mean FROM split WHERE is_train GROUP BY 1)"""
+
+ORACLE |= {
+    "zone_lookup_large": ORACLE["zone_lookup_ids"],
+    "zone_enrich_large": ORACLE["zone_enrich"],
+    "cache_lookup_large": ORACLE["cache_lookup"],
+    "cache_expired": f"""WITH {_CACHE}
+SELECT zone, "hour", "date", prediction FROM stored
+WHERE cached_at > TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 600 SECOND""",
+    "demand_model_weekday": f"""{_WEEKDAY}
+SELECT date_str, pickup_hour, PULocationID, trip_count, round(mean, 6) AS prediction
+FROM split JOIN means ON d = isodow(date_str) WHERE NOT is_train""",
+    "demand_model_error": f"""{_WEEKDAY}
+SELECT (SELECT count(*) FROM demand) AS samples, (SELECT min(trip_count) FROM demand) AS min_target,
+       (SELECT max(trip_count) FROM demand) AS max_target,
+       (SELECT round(avg(trip_count), 6) FROM demand) AS mean_target,
+       round(sqrt(avg(pow(trip_count - mean, 2))), 6) AS rmse, round(avg(abs(trip_count - mean)), 6) AS mae
+FROM split JOIN means ON d = isodow(date_str) WHERE NOT is_train""",
+    "demand_model_hour_zone": f"""WITH {_DEMAND},{_SPLIT}
+SELECT date_str, pickup_hour, PULocationID, CAST(20 + abs(12 - pickup_hour) AS INTEGER) AS level,
+       CAST(20 + abs(12 - pickup_hour) AS DOUBLE) AS prediction
+FROM split WHERE NOT is_train""",
+    "model_roundtrip": f"WITH {_DEMAND} SELECT date_str, pickup_hour, PULocationID, trip_count, true AS same FROM demand",
+    "score_requests_trees": f"""{_WEEKDAY}, {_SCORED.replace("scored AS (", "formula AS (")},
+scored AS (SELECT f.* REPLACE (mean AS prediction) FROM formula f JOIN means ON d = day_of_week + 1)
+SELECT request_id, {_RESPONSE}""",
+}

@@ -16,13 +16,18 @@ from pyspark.sql import functions as F
 from curbflow import operators as ops
 from curbflow import sources
 from curbflow.functions import cache_key, window_label, window_start_date
+from curbflow.functions.text import UNKNOWN
 from curbflow.plans import run_etl, run_scoring, train_demand_model
 from curbflow.session import scratch_path
-from curbflow.spec import DEMAND_KEYS, FEATURES, HOUR_ZONE_FEATURES, ZONE_KEY
+from curbflow.spec import DEMAND_COLS, DEMAND_KEYS, FEATURES, HOUR_ZONE_FEATURES, WINDOW_DATE, ZONE_COLS, ZONE_KEY, require_columns
 from curbflow.streaming import start_demand_stream
 from workload import tables as t
 
-ROUNDS = 5
+ROUNDS = 100
+# With one feature and room for a leaf per value the first tree holds the training mean of
+# each value, and the later ones add nothing: SQL can repeat such a model.
+WEEKDAY, WEEKDAY_DEPTH = ("day_of_week",), 6
+HOUR_DEPTH = 23
 SEARCH = "nation_1"
 BOROUGH = "asia"
 
@@ -115,12 +120,43 @@ def demand_roundtrip(spark, sf_dir):
 
 @query
 def demand_etl(spark, sf_dir):
-    """The whole job from files to a written table, in the one-file layout."""
+    """The whole job from files to a written table."""
     path = scratch_path(spark, "etl")
-    run_etl(spark, f"{sf_dir}/lineitem.parquet", path, t.LINE_SPEC, single_file=True)
+    run_etl(spark, f"{sf_dir}/lineitem.parquet", path, t.LINE_SPEC)
     return sources.read_demand(spark, path)
 
 
+@query
+def demand_one_file(spark, sf_dir):
+    """Demand of the events in the layout without folders."""
+    path = scratch_path(spark, "one-file")
+    sources.write_demand(_hourly(spark, sf_dir), path, files=1)
+    return _plain(sources.read_demand(spark, path))
+
+
+@query
+def explore_schema(spark, sf_dir):
+    """Names and types of a table, as the exploration of one file shows them."""
+    fields = t.table(spark, sf_dir, "events").schema.fields
+    rows = t.table(spark, sf_dir, "events").agg(*[F.count(f.name).alias(f.name) for f in fields])
+    pairs = [F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("filled")) for f in fields]
+    return rows.select(F.explode(F.array(*pairs)).alias("c")).select("c.*")
+
+
+@query
+def required_columns(spark, sf_dir):
+    """Demand of the events behind the check of its columns, and which of the columns a raw table lacks."""
+    demand, raw = _hourly(spark, sf_dir), t.trips(spark, sf_dir)
+    require_columns(demand, DEMAND_COLS)
+    lacking = []
+    for column in DEMAND_COLS:
+        try:
+            require_columns(raw, [column])
+        except ValueError:
+            lacking.append(column)
+    return _plain(demand).withColumn("lacking", F.lit(",".join(lacking)))
+
+
 @query
 def demand_stream(spark, sf_dir):
     """Structured Streaming over the events until all input is read: the windows closed by then."""
@@ -130,7 +166,7 @@ def demand_stream(spark, sf_dir):
         t.as_trips(events), out, scratch_path(spark, "stream-state"), t.EVENT_SPEC,
         trigger={"availableNow": True},
     ).awaitTermination()
-    return _plain(_labelled(spark.read.parquet(out)))
+    return _plain(_labelled(spark.read.parquet(out).drop(WINDOW_DATE)))
 
 
 # --- merging batch and streaming demand --------------------------------
@@ -150,7 +186,7 @@ def window_label_date(spark, sf_dir):
 
 @query
 def stream_raw_demand(spark, sf_dir):
-    return _plain(ops.normalize_stream_demand(t.labelled_stream(spark, sf_dir)))
+    return _plain(ops.normalize_stream_demand(t.labelled(t.trips(spark, sf_dir))))
 
 
 @query
@@ -171,7 +207,7 @@ def demand_merge(spark, sf_dir):
 def demand_merge_raw(spark, sf_dir):
     """Batch demand merged with raw streamed trips that carry a window label."""
     batch = ops.demand_from_trips(t.batch_trips(spark, sf_dir), t.EVENT_SPEC)
-    return _plain(ops.merge_demand(batch, t.labelled_stream(spark, sf_dir)))
+    return _plain(ops.merge_demand(batch, t.labelled(t.stream_trips(spark, sf_dir))))
 
 
 @query
@@ -200,10 +236,11 @@ def zone_dim(spark, sf_dir):
 def zone_file(spark, sf_dir):
     """The dimension loaded from a lookup file with a header."""
     path = scratch_path(spark, "zones")
-    t.raw_zones(spark, sf_dir).select(
+    lines = t.zone_lines(spark, sf_dir).repartition(1).sortWithinPartitions("line", "location_id")
+    lines.select(
         F.col("location_id").alias("LocationID"), F.col("borough").alias("Borough"),
         F.col("zone_name").alias("Zone"), "service_zone",
-    ).write.csv(path, header=True)
+    ).write.csv(path, header=True, escape='"', quoteAll=True)
     return sources.load_zones(spark, path)
 
 
@@ -233,11 +270,27 @@ def zone_lookup_ids(spark, sf_dir):
     return ops.lookup_zones(t.trips(spark, sf_dir), t.zones(spark, sf_dir), "zone_id")
 
 
+@query
+def zone_lookup_large(spark, sf_dir):
+    """The same with the dimension treated as too large to broadcast."""
+    found = t.zones(spark, sf_dir).filter(F.col("zone_name") != UNKNOWN)
+    wanted = t.trips(spark, sf_dir).select(F.col("zone_id").alias("location_id"))
+    return ops.lookup_join(wanted, found, ["location_id"], "inner", max_rows=0).select(*ZONE_COLS)
+
+
 @query
 def zone_enrich(spark, sf_dir):
     return _plain(ops.enrich_with_zone(_hourly(spark, sf_dir), t.zones(spark, sf_dir), ZONE_KEY))
 
 
+@query
+def zone_enrich_large(spark, sf_dir):
+    """The same with the dimension treated as too large to broadcast."""
+    zones = t.zones(spark, sf_dir).withColumnRenamed("location_id", ZONE_KEY)
+    joined = ops.lookup_join(_hourly(spark, sf_dir), zones, [ZONE_KEY], max_rows=0)
+    return _plain(joined.fillna(UNKNOWN, list(ZONE_COLS[1:])))
+
+
 # --- features and model ------------------------------------------------
 
 
@@ -278,32 +331,58 @@ def regression_metrics(spark, sf_dir):
     return metrics.select(*[F.round(c, 6).alias(c) for c in metrics.columns])
 
 
-def _trained(spark: SparkSession, sf_dir: str, features=FEATURES) -> tuple[PipelineModel, DataFrame]:
+def _trained(spark: SparkSession, sf_dir: str, features=FEATURES, **options) -> tuple[PipelineModel, DataFrame]:
     """A model of the events' own demand, and the hold-out part with its predictions."""
     train, test = ops.holdout_split(ops.add_date_features(_hourly(spark, sf_dir)))
-    model = ops.fit_demand_model(train, features, rounds=ROUNDS)
+    model = ops.fit_demand_model(train, features, rounds=ROUNDS, **options)
     return model, model.transform(test).select(*DEMAND_KEYS, "trip_count", "prediction")
 
 
+def _rounded(scored: DataFrame, *columns: str) -> DataFrame:
+    return scored.withColumns({c: F.round(c, 6) for c in columns})
+
+
 @query
 def demand_model(spark, sf_dir):
     """Error on the hold-out part."""
     return ops.regression_metrics(_trained(spark, sf_dir)[1])
 
 
+@query
+def demand_model_weekday(spark, sf_dir):
+    """Hold-out predictions of a model of the weekday alone."""
+    return _rounded(_trained(spark, sf_dir, WEEKDAY, depth=WEEKDAY_DEPTH)[1], "prediction")
+
+
+@query
+def demand_model_error(spark, sf_dir):
+    """Error of that model on the hold-out part, as the training job reports it."""
+    demand = _hourly(spark, sf_dir)
+    result = train_demand_model(demand, WEEKDAY, rounds=ROUNDS, depth=WEEKDAY_DEPTH)
+    row = {**result.stats.asDict(), **result.metrics.asDict()}
+    frame = spark.createDataFrame([tuple(row.values())], list(row))
+    return _rounded(frame, "rmse", "mae", "mean_target")
+
+
 @query
 def demand_model_hour_zone(spark, sf_dir):
-    """Hold-out predictions of the older model, which knows hour and zone only."""
-    return _trained(spark, sf_dir, HOUR_ZONE_FEATURES)[1]
+    """The older model, which knows hour and zone only, on a target that depends on the hour."""
+    demand = ops.add_date_features(_hourly(spark, sf_dir)).withColumn("level", 20 + F.abs(12 - F.col("pickup_hour")))
+    train, test = ops.holdout_split(demand)
+    model = ops.fit_demand_model(train, HOUR_ZONE_FEATURES, target="level", rounds=ROUNDS, depth=HOUR_DEPTH)
+    return _rounded(model.transform(test), "prediction").select(*DEMAND_KEYS, "level", "prediction")
 
 
 @query
 def model_roundtrip(spark, sf_dir):
-    """Predictions of a model that was saved and loaded again."""
+    """Whether a model that was saved and loaded again predicts the same for each key."""
     path = scratch_path(spark, "model")
-    train_demand_model(_hourly(spark, sf_dir), rounds=ROUNDS, model_path=path)
-    demand = ops.add_date_features(_hourly(spark, sf_dir))
-    return ops.load_model(path).transform(demand).select(*DEMAND_KEYS, "trip_count", "prediction")
+    fresh = train_demand_model(
+        _hourly(spark, sf_dir), WEEKDAY, model_path=path, rounds=ROUNDS, depth=WEEKDAY_DEPTH
+    ).model
+    demand = ops.add_date_features(_hourly(spark, sf_dir)).select(*DEMAND_KEYS, *FEATURES[:1], "trip_count")
+    both = ops.load_model(path).transform(fresh.transform(demand).withColumnRenamed("prediction", "before").drop("features"))
+    return both.select(*DEMAND_KEYS, "trip_count", (F.col("before") == F.col("prediction")).alias("same"))
 
 
 # --- scoring -----------------------------------------------------------
@@ -321,6 +400,24 @@ def cache_lookup(spark, sf_dir):
     return probed.withColumn("key", cache_key(F.col("zone"), F.col("hour"), F.col("date")))
 
 
+@query
+def cache_lookup_large(spark, sf_dir):
+    """The same with the stored predictions treated as too many to broadcast."""
+    fresh = ops.fresh_predictions(t.stored_predictions(spark, sf_dir), t.NOW)
+    probed = ops.lookup_join(t.requests(spark, sf_dir), fresh, ["zone", "hour", "date"], max_rows=0)
+    source = F.when(F.col("cached").isNull(), "model_inference").otherwise("cache_redis")
+    return probed.withColumn("source", source).withColumn("key", cache_key(F.col("zone"), F.col("hour"), F.col("date")))
+
+
+@query
+def cache_expired(spark, sf_dir):
+    """The table of predictions after its old entries were dropped."""
+    store = scratch_path(spark, "expiring")
+    sources.append_predictions(t.stored_predictions(spark, sf_dir), store)
+    sources.expire_predictions(spark, store, t.NOW)
+    return spark.read.parquet(store).select("zone", "hour", "date", "prediction")
+
+
 def formula_model() -> PipelineModel:
     """A scorer whose predictions plain SQL can repeat."""
     statement = (
@@ -371,7 +468,7 @@ def cache_after_scoring(spark, sf_dir):
 @query
 def score_requests_trees(spark, sf_dir):
     """Requests scored by boosted trees fitted on the events' own demand."""
-    model, _ = _trained(spark, sf_dir)
+    model, _ = _trained(spark, sf_dir, WEEKDAY, depth=WEEKDAY_DEPTH)
     return ops.score_requests(
         t.requests(spark, sf_dir), model, t.zones(spark, sf_dir),
         t.stored_predictions(spark, sf_dir), t.NOW, carry=["request_id"],

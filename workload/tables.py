@@ -59,6 +59,17 @@ def raw_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def zone_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a lookup file: each zone twice, of which the later counts, some without an id, with quotes and line breaks."""
+    raw = raw_zones(spark, sf_dir)
+    key = F.col("location_id")
+    early = raw.withColumns({"zone_name": F.lit("early, \"old\""), "line": F.lit(0)})
+    named = F.when(key % 3 == 0, F.concat("zone_name", F.lit(' "A", \nnorth'))).otherwise(F.col("zone_name"))
+    late = raw.withColumns({"zone_name": named, "line": F.lit(1)})
+    nameless = raw.withColumns({"location_id": F.lit(None).cast("int"), "line": F.lit(2)})
+    return early.unionByName(late).unionByName(nameless)
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_dimension(raw_zones(spark, sf_dir))
 
@@ -72,16 +83,17 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 30).cast("int").alias("zone"),
         F.when(F.minute(ts) == 59, 24).otherwise(F.hour(ts)).alias("hour"),
         F.when(second == 0, "2025-02-30").when(second == 1, F.date_format(ts, "yyyyMMdd"))
-        .when(second == 2, "").when(second != 3, F.date_format(ts, "yyyy-MM-dd")).alias("date"),
+        .when(second == 2, "").when(second == 4, F.date_format(ts, "yyyy-MM-dd'\n'"))
+        .when(second != 3, F.date_format(ts, "yyyy-MM-dd")).alias("date"),
     )
 
 
 def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Predictions stored for the purchases' keys, 555 to 614 seconds before ``NOW``."""
+    """A prediction stored for every event's key, 555 to 614 seconds before ``NOW`` or a minute after it."""
     ts = F.col("ts")
-    age = F.make_dt_interval(secs=F.second(ts) + 555)
+    age = F.make_dt_interval(secs=F.when(F.minute(ts) % 10 == 0, -60).otherwise(F.second(ts) + 555))
     now = F.lit(NOW.isoformat(sep=" ")).cast("timestamp_ntz")
-    return table(spark, sf_dir, "events").filter(F.col("event_type") == "purchase").select(
+    return table(spark, sf_dir, "events").select(
         (F.col("user_id") % 30).cast("int").alias("zone"),
         F.hour(ts).alias("hour"),
         F.date_format(ts, "yyyy-MM-dd").alias("date"),
@@ -90,15 +102,15 @@ def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw streamed trips with a window label as text, one row per trip."""
+def labelled(trips_seen: DataFrame) -> DataFrame:
+    """Raw trips with a window label as text, one row per trip."""
     minute = F.date_trunc("minute", "pickup_ts").cast("timestamp_ntz")
     form = "yyyy-MM-dd HH:mm:ss"
     label = F.concat(
         F.lit("["), F.date_format(minute, form), F.lit(", "),
         F.date_format(minute + F.expr("INTERVAL 1 MINUTE"), form), F.lit(")"),
     )
-    return stream_trips(spark, sf_dir).select(
+    return trips_seen.select(
         label.alias("window"), F.hour("pickup_ts").alias("pickup_hour"),
         F.col("zone_id").alias("PULocationID"), "trip_distance",
     )
