@@ -1,0 +1,86 @@
+"""URL rules and source mixing on small tables."""
+
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from curbflow.llm.mixing import apportion, mix_sources, water_fill
+from curbflow.llm.queries import URL_RULES
+from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
+
+PAGE = "page_id long, url string, host string, digest string"
+
+
+def judge(spark, urls, rules=URL_RULES):
+    pages = spark.createDataFrame([(i, u, "x", "y") for i, u in urls], PAGE)
+    return [tuple(r) for r in filter_urls(pages, rule_frame(spark, rules)).orderBy("page_id", "host", "path").collect()]
+
+
+def test_rules_hosts_and_paths(spark):
+    urls = [
+        (1, "http://A.Example.ORG/es/x"), (2, "https://example.org/en/12?q#f"), (3, "http://example.org/en/2"), (4, "http://org"),
+        (5, "http://b.com/fr/"), (6, "http://b.com/de/1"), (7, "http://xorg/en/1"), (8, None), (9, "no scheme/org/"), (10, ""),
+        (11, "http://notexample.org/es/"), (12, "x://y://z.org/"),
+    ]
+    assert judge(spark, urls) == [
+        (1, "a.example.org", "/es/x", "example.org/es/", "block"), (2, "example.org", "/en/12", "example.org/en/1", "block"),
+        (3, "example.org", "/en/2", "org/", "allow"), (4, "org", "", None, "allow"), (5, "b.com", "/fr/", "com/fr/", "allow"),
+        (6, "b.com", "/de/1", "com/de/", "block"), (7, "xorg", "/en/1", None, "allow"), (8, "", "", None, "allow"),
+        (9, "", "", None, "allow"), (10, "", "", None, "allow"), (11, "notexample.org", "/es/", "org/", "allow"),
+        (12, "y:", "//z.org/", None, "allow"),
+    ]
+
+
+def test_repeated_and_null_pages_stay(spark):
+    got = judge(spark, [(None, "http://a.org/"), (1, "http://a.org/"), (1, "http://a.org/"), (1, "http://a.com/de/")])
+    assert len(got) == 4 and [r[4] for r in got] == ["allow", "block", "allow", "allow"]
+
+
+def test_no_pages_no_rules_and_bad_rules(spark):
+    assert judge(spark, []) == []
+    assert judge(spark, [(1, "http://a.org/")], [Rule("", "/", "block"), Rule("org", None, "block")]) == [(1, "a.org", "/", None, "allow")]
+    both = [Rule("org", "/", "allow"), Rule("ORG", "/", "block")]
+    assert judge(spark, [(1, "http://a.org/")], both)[0][3:] == ("org/", "block")
+
+
+def test_apportionment_gives_seats_to_the_highest_quotients(spark):
+    parties = [("g", n, w, 17, 10_000) for n, w in (("a", 53.0), ("b", 24.0), ("c", 23.0), ("d", 0.0))]
+    df = spark.createDataFrame(parties, "g string, p string, w double, seats long, cap long")
+    got = {r.p: r.won for r in apportion(df, ["g"], ["p"], "w", "seats", "cap", "won").collect()}
+    quotients = sorted(((w / (2 * j + 1), p) for _, p, w, _, _ in parties for j in range(17)), key=lambda q: (-q[0], q[1]))[:17]
+    want = defaultdict(int)
+    for _, p in quotients:
+        want[p] += 1
+    assert got == {p: want[p] for p in "abcd"}
+
+
+def test_targets_fill_up_to_three_times_a_source(spark):
+    df = spark.createDataFrame([("a", 10, 1.0), ("b", 1000, 2.0), ("c", 1, 3.0), ("d", 0, 1.0)], "s string, n long, w double")
+    got = {r.s: r.target for r in water_fill(df, ["s"], "n", "w").collect()}
+    assert got == pytest.approx({"a": 30.0, "b": 978.0, "c": 3.0, "d": 0.0})
+
+
+def test_mix_meets_targets_and_agrees_with_itself(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, "hot").otherwise(F.col("source")))
+    rows, again = (sorted(tuple(r) for r in mix_sources(d).collect()) for d in (docs, docs.repartition(7).withColumn("size", F.lit("x"))))
+    assert rows == again and len(rows) == docs.count()
+    source = {r.doc_id: r.source for r in docs.select("doc_id", "source").collect()}
+    taken, target = defaultdict(int), {}
+    for doc, size, whole, goal, words in rows:
+        assert 0 <= words <= 3 * size
+        taken[source[doc]] += words
+        target[source[doc]] = goal
+    assert all(abs(taken[s] - target[s]) <= max(48, 0.01 * target[s]) for s in target)
+
+
+def test_mix_of_odd_rows(spark):
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \t\n ", None), (None, "one two", None), (4, "w " * 5000, "a"), (4, "w " * 5000, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix_sources(docs).collect()
+    assert sorted((r.doc_id or 0, r["size"]) for r in got) == [(0, 2), (1, 0), (2, 0), (3, 0), (4, 5000), (4, 5000)]
+    assert all(r.taken <= 3 * r["size"] for r in got)
+    assert {r.source_size for r in got if r.doc_id in (1, 2, 4)} == {10_000}
+    assert mix_sources(docs.limit(0)).collect() == []
+    assert {r.taken for r in mix_sources(docs.where("doc_id < 3")).collect()} == {0}
