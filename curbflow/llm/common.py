@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,24 +71,65 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-class WordHash(dict):
-    """64-bit hash per word (bytes), remembered while memory allows."""
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+_BYTE_VALUES = np.random.default_rng(97).integers(1, 1 << 63, 256, dtype=np.uint64)
+_PIECE = 1 << 22
 
-    LIMIT = 1 << 18
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+class Powers:
+    """Powers of an odd base modulo 2^64 and of its inverse, grown on demand."""
 
-    def of(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+    def __init__(self, base: int):
+        self.bases = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
+        self.up, self.down = (np.ones(1, dtype=np.uint64) for _ in range(2))
+
+    def to(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < size:
+            grown = max(size, 2 * len(self.up))
+            with np.errstate(over="ignore"):
+                self.up, self.down = (
+                    np.cumprod(np.concatenate([[np.uint64(1)], np.full(grown - 1, b)]), dtype=np.uint64) for b in self.bases
+                )
+        return self.up[:size], self.down[:size]
+
+
+_POWERS = Powers(_BASE)
+
+
+def run_sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
+    """Polynomial hash modulo 2^64 of each run values[start:end], from one running sum."""
+    up, down = powers.to(len(values) + 1)
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(values) + 1, dtype=np.uint64)
+        np.cumsum(values * up[:-1], out=total[1:])
+        return (total[ends] - total[starts]) * down[starts]
+
+
+def word_hashes(data: bytes) -> np.ndarray:
+    """64-bit hash of each word of a text in UTF-8, equal for equal words everywhere."""
+    if len(data) > _PIECE:  # keep the running sums of very long texts small: cut them between words
+        parts = data.split()
+        whole = [b" ".join(parts[s : s + 65536]) for s in range(0, len(parts), 65536)]
+        if len(whole) > 1:
+            return np.concatenate([word_hashes(p) for p in whole])
+    codes = np.frombuffer(data, dtype=np.uint8)
+    edges = np.diff(np.concatenate([[True], _SPACES[codes], [True]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    with np.errstate(over="ignore"):
+        value = run_sums(_BYTE_VALUES[codes], starts, ends, _POWERS)
+        value = (value ^ (value >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93) + (ends - starts).astype(np.uint64)
+        return (value ^ (value >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+
+def utf8(text: str | None) -> bytes:
+    return text.encode("utf-8", "surrogatepass") if text else b""
 
 
 def byte_words(text: str | None) -> list[bytes]:
     """Words of a text in UTF-8; ``bytes.split`` splits at exactly the six characters of SPACE."""
-    return text.encode("utf-8", "surrogatepass").split() if text else []
+    return utf8(text).split()
 
 
 def grouped(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.llm.blocks import Forest, block_members, map_units
-from curbflow.llm.common import WordHash, byte_words, map_arrow, stage
+from curbflow.llm.common import map_arrow, stage, utf8, word_hashes
 from curbflow.llm.components import connected_components
 from curbflow.operators.lookup import fits_broadcast
 
@@ -59,19 +59,18 @@ def minima(shingles: np.ndarray, odd: np.ndarray, add: np.ndarray) -> np.ndarray
     return best
 
 
-def _sets(batch: pa.RecordBatch, size: int, known: WordHash):
+def _sets(batch: pa.RecordBatch, size: int):
     for row, text in enumerate(batch.column("text").to_pylist()):
-        yield row, shingle_set(known.of([w.lower() for w in byte_words(text)]), size)
+        yield row, shingle_set(word_hashes(utf8(text).lower()), size)
 
 
 def signatures(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """(id, n, key, sig) per document; key is a 128-bit digest of the set, null for empty sets."""
     def over(batches):
-        known = WordHash()
         odd, add = _constants(seed, BANDS * ROWS)
         for batch in batches:
             counts, keys, sigs = [], [], []
-            for _, shingles in _sets(batch, size, known):
+            for _, shingles in _sets(batch, size):
                 counts.append(len(shingles))
                 keys.append(xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
                 sigs.append(minima(shingles, odd, add).tobytes() if len(shingles) else None)
@@ -164,10 +163,9 @@ def _sure_links(key: tuple, rows: pa.Table) -> pa.RecordBatch | None:
 def _set_pieces(docs: DataFrame, size: int) -> DataFrame:
     """(id, piece, part) with at most SET_PIECE hashes a row, so long texts keep batches small."""
     def over(batches):
-        known = WordHash()
         for batch in batches:
             ids = batch.column("id").to_pylist()
-            for row, shingles in _sets(batch, size, known):
+            for row, shingles in _sets(batch, size):
                 cut = [shingles[s : s + SET_PIECE].tobytes() for s in range(0, len(shingles), SET_PIECE)]
                 if cut:
                     yield pa.RecordBatch.from_arrays(

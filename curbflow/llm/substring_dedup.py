@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import ahocorasick
 import numpy as np
@@ -10,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import WordHash, bound_batches, byte_words, map_arrow, stage
+from curbflow.llm.common import Powers, bound_batches, byte_words, map_arrow, run_sums, stage, utf8, word_hashes
 from curbflow.operators.lookup import fits_broadcast
 
 WINDOW = 20
@@ -21,76 +22,65 @@ _LAST = (1 << 63) - 1
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
-def _powers(seed: int, count: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+# Odd bases of the phrase hash and of the two window hashes.
+_PHRASE, _WINDOW, _CHECK = (Powers(b) for b in (0xD6E8FEB86659FD93, 0x5851F42D4C957F2D, 0xA0761D6478BD642F))
 
 
-def run_hashes(words: np.ndarray, width: int, seed: int) -> np.ndarray:
+def run_hashes(words: np.ndarray, width: int, powers: Powers) -> np.ndarray:
     """A 64-bit hash of every run of ``width`` words."""
     n = len(words) - width + 1
     if n < 1:
         return np.empty(0, dtype=np.uint64)
-    factor, total = _powers(seed, width), np.zeros(n, dtype=np.uint64)
+    starts = np.arange(n)
+    total = run_sums(words, starts, starts + width, powers)
     with np.errstate(over="ignore"):
-        for j in range(width):
-            total += (words[j : j + n] ^ (words[j : j + n] >> np.uint64(31))) * factor[j]
-        total ^= total >> np.uint64(32)
-        total *= np.uint64(0xD6E8FEB86659FD93)
-    return total
+        return (total ^ (total >> np.uint64(32))) * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
 def anchors(words: np.ndarray, window: int, phrase: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every phrase, position of the least phrase in every window; the first of equal ones).
 
     Equal windows have their least phrase at the same place, so a window that
-    recurs always shows as a recurring phrase.
+    recurs always shows as a recurring phrase. A sliding minimum in doubling steps.
     """
-    hashes = run_hashes(words, phrase, 1)
+    hashes = run_hashes(words, phrase, _PHRASE)
     span = window - phrase + 1
-    if len(hashes) < span:
-        return hashes, np.empty(0, dtype=np.int64)
-    least = hashes[: len(hashes) - span + 1].copy()
-    where = np.arange(len(least))
-    base = where.copy()
-    for j in range(1, span):
-        other = hashes[j : j + len(least)]
-        lower = other < least
-        least[lower] = other[lower]
-        where[lower] = base[lower] + j
-    return hashes, where
-
-
-def _phrase_rows(docs: DataFrame, window: int, phrase: int, texts: bool) -> DataFrame:
-    """One row for each anchor of each document; with ``texts`` one per anchor, shard and batch, with its words."""
+    n = len(hashes) - span + 1
+    if n < 1:
+        return hashes, np.empty(0, dtype=np.int32)
+    least, where, reach = hashes, np.arange(len(hashes), dtype=np.int32), 1
+
+    def lower(shift: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+        right = least[shift : shift + size] < least[:size]
+        return np.where(right, least[shift : shift + size], least[:size]), np.where(right, where[shift : shift + size], where[:size])
+
+    while 2 * reach <= span:
+        least, where = lower(reach, len(least) - reach)
+        reach *= 2
+    return hashes, lower(span - reach, n)[1]
+
+
+def _phrase_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
+    """(hash, shard, n): the anchors of all documents, counted per batch and shard."""
     def over(batches):
-        known = WordHash()
         for batch in batches:
-            shards = batch.column("shard").to_pylist()
-            out, at, seen, strings = [], [], set(), []
-            for row, text in enumerate(batch.column("text").to_pylist()):
-                tokens = byte_words(text)
-                if len(tokens) < window:
-                    continue
-                hashes, where = anchors(known.of(tokens), window, phrase)
-                chosen = np.unique(where)
-                if not texts:
-                    out.append(hashes[chosen])
-                    continue
-                for p, h in zip(chosen.tolist(), hashes[chosen].view(np.int64).tolist()):
-                    if (h, shards[row]) not in seen:
-                        seen.add((h, shards[row]))
-                        out.append(h)
-                        at.append(shards[row])
-                        strings.append(b" ".join(tokens[p : p + phrase]))
-            if not texts:
-                joined = np.concatenate(out) if out else np.empty(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([pa.array(joined.view(np.int64))], names=["hash"])
-            else:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out, pa.int64()), pa.array(at, pa.int32()), pa.array(strings, pa.binary())], names=["hash", "shard", "phrase"]
-                )
-
-    return map_arrow(docs, over, "hash long, shard int, phrase binary" if texts else "hash long")
+            shards = batch.column("shard").to_numpy()
+            found, at = [], []
+            for shard, text in zip(shards.tolist(), batch.column("text").to_pylist()):
+                hashes, where = anchors(word_hashes(utf8(text)), window, phrase)
+                if len(where):
+                    found.append(hashes[np.unique(where)])
+                    at.append(np.full(len(found[-1]), shard, dtype=np.int32))
+            if not found:
+                continue
+            hashes, at = np.concatenate(found).view(np.int64), np.concatenate(at)
+            order = np.lexsort((at, hashes))
+            hashes, at = hashes[order], at[order]
+            first = np.flatnonzero((np.diff(hashes, prepend=hashes[0] ^ 1) != 0) | (np.diff(at, prepend=-1) != 0))
+            n = np.diff(np.append(first, len(hashes))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes[first]), pa.array(at[first]), pa.array(n)], names=["hash", "shard", "n"])
+
+    return map_arrow(docs, over, "hash long, shard int, n int")
 
 
 def _automaton(phrases: list[bytes]):
@@ -104,46 +94,64 @@ def _automaton(phrases: list[bytes]):
 
 def _located(automaton, tokens: list[bytes]) -> np.ndarray:
     """Words at which a phrase of the automaton starts."""
-    words = [t.decode("utf-8", "surrogatepass") for t in tokens]
-    starts = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
-    hits = np.array([end - size + 1 for end, size in automaton.iter(f" {' '.join(words)} ")], dtype=np.int64)
-    marks = np.zeros(len(words), dtype=bool)
-    marks[np.searchsorted(starts, hits)] = True
+    joined = b" ".join(tokens)
+    codes = np.frombuffer(joined, dtype=np.uint8)
+    marks = np.zeros(len(tokens), dtype=bool)
+    ends = [end - size for end, size in automaton.iter(f" {joined.decode('utf-8', 'surrogatepass')} ")]
+    if ends:
+        blanks = np.concatenate([[-1], np.flatnonzero(codes == 32)])
+        letters = np.concatenate([[0], np.cumsum((codes & 0xC0) != 0x80)])  # places in the text, not in its bytes
+        marks[np.searchsorted(letters[blanks + 1], np.array(ends) + 1)] = True
     return marks
 
 
 def _recurring(table: pa.Table, window: int, phrase: int):
-    """(document columns, words, starts of windows that may recur, their hashes) of a shard, document by document."""
+    """(id, salt, words, their hashes, starts of windows that may recur) of a shard, document by document.
+
+    The phrases of the shard that recur somewhere are compiled to one automaton, which then
+    reads every document that holds one of them.
+    """
     kind = table.column("kind").to_numpy()
-    order = np.argsort(kind, kind="stable")
-    phrases = [p for p in table.column("phrase").to_pylist() if p is not None]
-    automaton = _automaton(phrases) if phrases else None
-    known = WordHash()
+    known = table.column("hash").filter(pa.array(kind == 0))  # before numpy: nulls would make them floats
+    recurring = np.unique(known.to_numpy()).view(np.uint64)
     ids, salts = table.column("id").to_pylist(), table.column("salt").to_pylist()
     texts = table.column("text")
-    for row in order[np.count_nonzero(kind == 0) :].tolist():
-        tokens = byte_words(texts[row].as_py())
-        starts, keys = np.empty(0, np.int64), None
-        if automaton is not None and len(tokens) >= window:
+    rows = np.flatnonzero(kind == 1).tolist()
+    phrases: dict[int, bytes] = {}
+    concerned = set()
+    for row in rows:
+        data = utf8(texts[row].as_py())
+        hashes, where = anchors(word_hashes(data), window, phrase)
+        chosen = np.unique(where)
+        chosen = chosen[np.isin(hashes[chosen], recurring)]
+        if len(chosen):
+            concerned.add(row)
+            tokens = data.split()
+            for p, h in zip(chosen.tolist(), hashes[chosen].tolist()):
+                if h not in phrases:
+                    phrases[h] = b" ".join(tokens[p : p + phrase])
+    automaton = _automaton(list(phrases.values())) if phrases else None
+    for row in rows:
+        data = utf8(texts[row].as_py())
+        tokens = data.split()
+        starts, words = np.empty(0, np.int64), None
+        if row in concerned:
             marks = _located(automaton, tokens)
-            if marks.any():
-                words = known.of(tokens)
-                _, where = anchors(words, window, phrase)
-                starts = np.flatnonzero(marks[where])
-                keys = run_hashes(words, window, 2)[starts], run_hashes(words, window, 3)[starts] >> np.uint64(33)
-        yield ids[row], salts[row], tokens, starts, keys
+            words = word_hashes(data)
+            starts = np.flatnonzero(marks[anchors(words, window, phrase)[1]])
+        yield ids[row], salts[row], tokens, words, starts
 
 
 def _windows(window: int, phrase: int):
     def shard(table: pa.Table) -> pa.Table:
         ids, salts, starts, first, second = [], [], [], [], []
-        for id_, salt, _, at, keys in _recurring(table, window, phrase):
+        for id_, salt, _, words, at in _recurring(table, window, phrase):
             if len(at):
                 ids.append(np.full(len(at), id_, np.int64))
                 salts.append(np.full(len(at), salt, np.int64))
                 starts.append(at.astype(np.int32))
-                first.append(keys[0].view(np.int64))
-                second.append(keys[1].astype(np.int32))
+                first.append(run_hashes(words, window, _WINDOW)[at].view(np.int64))
+                second.append((run_hashes(words, window, _CHECK)[at] >> np.uint64(33)).astype(np.int32))
         join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
         return pa.table({
             "key": join(first, np.int64), "check": join(second, np.int32), "id": join(ids, np.int64),
@@ -159,13 +167,13 @@ def _kept(window: int, phrase: int):
         for id_, salt, start in zip(*(firsts.column(c).to_pylist() for c in ("id", "salt", "start"))):
             keep.setdefault((id_, salt), []).append(start)
         ids, salts, sizes, removed, digests, texts = [], [], [], [], [], []
-        for id_, salt, tokens, starts, _ in _recurring(table, window, phrase):
+        for id_, salt, tokens, _, starts in _recurring(table, window, phrase):
             repeated = np.setdiff1d(starts, np.array(keep.get((id_, salt), []), dtype=np.int64))
             step = np.zeros(len(tokens) + window + 1, dtype=np.int32)
             np.add.at(step, repeated, 1)
             np.add.at(step, repeated + window, -1)
             gone = np.cumsum(step)[: len(tokens)] > 0
-            rest = b" ".join(t for t, g in zip(tokens, gone.tolist()) if not g) if gone.any() else b" ".join(tokens)
+            rest = b" ".join(compress(tokens, (~gone).tolist()) if gone.any() else tokens)
             ids.append(id_)
             salts.append(salt)
             sizes.append(len(tokens))
@@ -193,8 +201,8 @@ def remove_repeats(
        window at all, and take no part in the rest.
     2. Each window is anchored by the least hash of its ``phrase``-word phrases, so about one phrase in
        eight words stands for all windows. Anchors that occur twice are the recurring phrases.
-    3. Documents are dealt to shards of about SHARD_BYTES. A shard gets the recurring phrases that some of its
-       documents hold, compiles them to an Aho-Corasick automaton and streams its documents through it. So the
+    3. Documents are dealt to shards of about SHARD_BYTES. A shard learns which of its phrases recur anywhere,
+       compiles them to an Aho-Corasick automaton and streams through it its documents that hold one. So the
        automata together grow with the input, and no document meets an automaton that can't match it.
     4. Windows anchored at located phrases are compared by 95-bit hashes: the first place of each is
        one aggregate. In a second streaming of the shards all other located windows are removed.
@@ -228,14 +236,12 @@ def remove_repeats(
         "shard", F.pmod(F.xxhash64("id", "salt"), F.lit(shards)).cast("int")
     )
 
-    recurring = _phrase_rows(dealt, window, phrase, False).groupBy("hash").count().where("count > 1").select("hash")
-    phrases = _phrase_rows(dealt, window, phrase, True).join(recurring, "hash").select(
-        "shard", F.lit(0).alias("kind"), F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("bigint").alias("salt"),
-        F.lit(None).cast("string").alias("text"), "phrase",
-    )
-    content = phrases.unionByName(dealt.select(
-        "shard", F.lit(1).alias("kind"), "id", "salt", "text", F.lit(None).cast("binary").alias("phrase")
-    ))
+    held = stage(_phrase_rows(dealt, window, phrase), "repeat-phrases")
+    recurring = held.groupBy("hash").agg(F.sum("n").alias("n")).where("n > 1").select("hash")
+    none = lambda kind: F.lit(None).cast(kind)
+    content = held.join(recurring, "hash").select(
+        "shard", F.lit(0).alias("kind"), "hash", none("bigint").alias("id"), none("bigint").alias("salt"), none("string").alias("text")
+    ).unionByName(dealt.select("shard", F.lit(1).alias("kind"), none("bigint").alias("hash"), "id", "salt", "text"))
     found = content.groupBy("shard").applyInArrow(_windows(window, phrase), "key long, check int, id long, salt long, start int")
     firsts = found.groupBy("key", "check").agg(F.min(F.struct("id", "salt", "start")).alias("f")).select("f.*").withColumn(
         "shard", F.pmod(F.xxhash64("id", "salt"), F.lit(shards)).cast("int")
