@@ -170,10 +170,9 @@ def fit_languages(docs: DataFrame, nodes: int = NODES) -> dict[str, ByteTree]:
 
     counts = gram_counts(docs.where("lang is not null and text is not null"))
     ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
-    rows = ranked.where(F.col("r") <= nodes).select("lang", "gram", "n").toPandas()
-    return {
-        lang: ByteTree(part["gram"].to_numpy(np.int64), part["n"].to_numpy(np.float64)) for lang, part in rows.groupby("lang")
-    }
+    rows = ranked.where(F.col("r") <= nodes).select("lang", "gram", "n").toArrow()
+    langs, grams, n = np.array(rows.column("lang").to_pylist()), rows.column("gram").to_numpy(), rows.column("n").to_numpy()
+    return {str(lang): ByteTree(grams[langs == lang], n[langs == lang].astype(np.float64)) for lang in np.unique(langs)}
 
 
 def predict_language(docs: DataFrame, trees: dict[str, ByteTree], keep: list[str]) -> DataFrame:
