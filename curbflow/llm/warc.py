@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-import io
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -156,7 +155,7 @@ class _Shard:
         if self.out is None:
             number = len(self.done)
             self.path = f"{self.root}/_temporary/{self.attempt}-{self._name(number)}"
-            self.out, self.size, self.records, self.sum = self.fs.open_output_stream(self.path), 0, 0, hashlib.sha256()
+            self.out, self.size, self.records, self.sum = self.fs.open_output_stream(self.path, compression=None), 0, 0, hashlib.sha256()
             self._write(_member([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(_NAMES, self._name(number))}>"), ("WARC-Date", _DATE), ("WARC-Filename", self._name(number)), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n", GZIP_LEVEL))
             self.records = 0
         self._write(member)
@@ -313,8 +312,8 @@ def read_warc(spark: SparkSession, path: str, bodies: bool = False) -> DataFrame
             for file in batch.column("file").to_pylist():
                 rows: list[list] = []
                 held = 0
-                with fs.open_input_stream(f"{root}/{file}") as raw:
-                    for fields, block in iter_records(io.BufferedReader(raw, 1 << 20) if isinstance(raw, io.RawIOBase) else raw):
+                with fs.open_input_stream(f"{root}/{file}", compression=None) as raw:
+                    for fields, block in iter_records(raw):
                         if fields["warc-type"] == "warcinfo":
                             continue
                         size, body = _payload(block)
