@@ -122,3 +122,13 @@ def test_scores_of_odd_rows(spark):
     assert all(math.isfinite(r.score) for r in got)
     assert score_texts(docs.limit(0), F.lit(False)).collect() == []
     assert all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in score_texts(docs, F.lit(True)).collect())
+
+
+def test_segment_sums_are_plain_sums():
+    rng = np.random.default_rng(6)
+    keys = np.minimum(rng.geometric(0.02, 3000), 200).astype(np.uint16)
+    values = rng.standard_normal((3000, 5))
+    order = np.argsort(keys, kind="stable")
+    rows, first = np.unique(keys[order], return_index=True)
+    want = np.stack([values[keys == r].sum(axis=0) for r in rows])
+    assert np.allclose(lm_scoring._segment_sums(values, order, first), want)
