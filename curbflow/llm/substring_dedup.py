@@ -123,8 +123,10 @@ def _recurring(table: pa.Table, window: int, phrase: int):
         data = utf8(texts[row].as_py())
         hashes, where = anchors(word_hashes(data), window, phrase)
         chosen = np.unique(where)
-        chosen = chosen[np.isin(hashes[chosen], recurring)]
-        if len(chosen):
+        if len(recurring):
+            place = np.minimum(np.searchsorted(recurring, hashes[chosen]), len(recurring) - 1)
+            chosen = chosen[recurring[place] == hashes[chosen]]
+        if len(chosen) and len(recurring):
             concerned.add(row)
             tokens = data.split()
             for p, h in zip(chosen.tolist(), hashes[chosen].tolist()):
