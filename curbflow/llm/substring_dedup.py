@@ -113,7 +113,7 @@ def _recurring(table: pa.Table, window: int, phrase: int):
     """
     kind = table.column("kind").to_numpy()
     known = table.column("hash").filter(pa.array(kind == 0))  # before numpy: nulls would make them floats
-    recurring = np.unique(known.to_numpy()).view(np.uint64)
+    recurring = np.unique(known.to_numpy().view(np.uint64))
     ids, salts = table.column("id").to_pylist(), table.column("salt").to_pylist()
     texts = table.column("text")
     rows = np.flatnonzero(kind == 1).tolist()
