@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.llm.common import shared_table_path
+from curbflow.llm.common import shared_table_path, stage
 from curbflow.llm.decontaminate import find_contamination
 from curbflow.llm.language_id import UNDETERMINED, fit_languages, predict_language
 from curbflow.llm.mixing import mix_sources
@@ -27,6 +27,7 @@ ORACLE_SQL = None
 
 def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """Rows of ``docs`` whose key isn't in ``gone``: texts stay where they are while the keys are few."""
+    gone = stage(gone, "pipeline-gone")  # measured and joined: computed once
     few = fits_broadcast(gone, BROADCAST_IDS)
     return docs.join(F.broadcast(gone) if few else gone, key, "left_anti")
 
@@ -88,8 +89,8 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; what each keeps is written to the shared folder before the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
+    for name, step in STAGES:
         path = shared_table_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
