@@ -20,25 +20,29 @@ PATTERNS = {
 }
 # What a text must hold for a match to be possible at all.
 HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
-TOKEN = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
+TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
 
 ROUNDS = 3
 MIN_SEEDS = 3
 MIN_SCORE = 0.8
 MIN_CHARS = 5
+CONTEXT = 200
 _SPAN = "array<struct<k:int,s:int,e:int>>"
+_MARK = "array<struct<k:int,s:int,e:int,v:string,left:string,shape:string>>"
 
 
 def found(text: Column, pattern: str) -> Column:
-    """array<struct<before, v, s>>: matches with the text before each (since the last match) and their start."""
+    """array<struct<seen, v, s>>: matches with the CONTEXT characters before each in the text and their start."""
     gaps, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("before"), m.alias("v")))
-    empty = F.array().cast("array<struct<before:string,v:string,s:int>>")
-    state = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    empty = F.array().cast("array<struct<seen:string,v:string,s:int>>")
+    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), empty.alias("out"))
+    last = lambda *parts: F.right(F.concat(*parts), F.lit(CONTEXT))
     step = lambda acc, p: F.struct(
         (acc["at"] + F.length(p["before"]) + F.length(p["v"])).alias("at"),
+        last(acc["tail"], p["before"], p["v"]).alias("tail"),
         F.array_append(acc["out"], F.struct(
-            p["before"].alias("before"), p["v"].alias("v"), (acc["at"] + F.length(p["before"])).alias("s")
+            last(acc["tail"], p["before"]).alias("seen"), p["v"].alias("v"), (acc["at"] + F.length(p["before"])).alias("s")
         )).alias("out"),
     )
     return F.aggregate(pairs, state, step)["out"]
@@ -71,37 +75,55 @@ def _valid(kind: str, v: Column) -> Column:
     return F.lit(True)
 
 
-def base_spans(text: Column) -> Column:
-    """array<struct<k, s, e>> of the four kinds: kinds in order, then starts; code points, end exclusive."""
-    return F.concat(*(_spans_of(text, k, kind) for k, kind in enumerate(KINDS)))
+def _left(seen: Column) -> Column:
+    """The two words before, or what there is at the start of a text; punctuation right before the match is none."""
+    bare = F.regexp_replace(seen, r"(?<!\S)[^\s\p{L}\p{N}+]++\z", "")
+    two = F.regexp_extract(bare, r"(?<!\S)((?:\S++\s++)?\S++)\s*+\z", 1)
+    return lower_ascii(F.regexp_replace(two, r"\s+", " "))
 
 
-def _spans_of(text: Column, k: int, kind: str) -> Column:
-    valid = F.filter(found(text, PATTERNS[kind]), lambda m: _valid(kind, m["v"]))
-    spans = F.transform(valid, lambda m: F.struct(
-        F.lit(k).alias("k"), m["s"].alias("s"), (m["s"] + F.length(m["v"])).alias("e")
+def _shape(v: Column) -> Column:
+    for run, sign in (("[0-9]+", "9"), (r"\p{Lu}+", "A"), (r"\p{Ll}+", "a"), (r"\s+", " ")):
+        v = F.regexp_replace(v, run, sign)
+    return F.substring(v, 1, 24)
+
+
+def _mark(k: Column, s: Column, v: Column, seen: Column) -> Column:
+    return F.struct(
+        k.cast("int").alias("k"), s.cast("int").alias("s"), (s + F.length(v)).cast("int").alias("e"), v.alias("v"),
+        _left(seen).alias("left"), _shape(v).alias("shape"),
+    )
+
+
+def marks(text: Column) -> Column:
+    """array<struct<k, s, e, v, left, shape>>: the base spans, kinds in order, then starts, and after them what
+    may be one (k is null); code points, end exclusive."""
+    return F.concat(*(_marks_of(text, k, kind) for k, kind in enumerate(KINDS)), candidates(text))
+
+
+def _marks_of(text: Column, k: int, kind: str) -> Column:
+    """The valid matches of a kind, and those of several words that fail its check, with k null."""
+    judged = F.transform(found(text, PATTERNS[kind]), lambda m: F.struct(m.alias("m"), F.coalesce(_valid(kind, m["v"]), F.lit(False)).alias("ok")))
+    group = lambda x: F.contains(x["m"]["v"], F.lit(" ")) & (F.length(x["m"]["v"]) >= MIN_CHARS)
+    listed = F.transform(F.filter(judged, lambda x: x["ok"] | group(x)), lambda x: _mark(
+        F.when(x["ok"], F.lit(k)), x["m"]["s"], x["m"]["v"], x["m"]["seen"]
     ))
     hint = F.contains(text, F.lit("@")) if kind == "email" else F.rlike(text, F.lit(HINTS[kind]))
-    return F.when(hint, spans).otherwise(F.array().cast(_SPAN))
+    return F.when(hint, listed).otherwise(F.array().cast(_MARK))
 
 
 def candidates(text: Column) -> Column:
-    """array<struct<s, e, v, left, shape>>: words with a digit, without outer punctuation, and where they stand."""
+    """array<struct<k, s, e, v, left, shape>>: words with a digit or @, without outer punctuation; k is null.
+
+    Shapes of all kinds hold a digit or @, so no other word can have one."""
     def describe(m: Column) -> Column:
         core = F.regexp_extract(m["v"], r"[\p{L}\p{N}+](?:.*[\p{L}\p{N}])?", 0)
         lead = F.length(F.regexp_extract(m["v"], r"^[^\p{L}\p{N}+]*", 0))
-        left = F.regexp_extract(m["before"], r"(\S+\s+\S+)\s+\z", 1)
-        shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(core, "[0-9]+", "9"), r"\p{Lu}+", "A"), r"\p{Ll}+", "a")
-        return F.struct(
-            (m["s"] + lead).cast("int").alias("s"), (m["s"] + lead + F.length(core)).cast("int").alias("e"), core.alias("v"),
-            lower_ascii(F.regexp_replace(left, r"\s+", " ")).alias("left"), F.substring(shape, 1, 24).alias("shape"),
-        )
+        return _mark(F.lit(None), m["s"] + lead, core, m["seen"])
 
-    wanted = lambda c: (F.length(c["v"]) >= MIN_CHARS) & (c["left"] != "")
+    wanted = lambda c: (F.length(c["v"]) >= MIN_CHARS) & F.rlike(c["v"], F.lit("[0-9@]"))
     listed = F.filter(F.transform(found(text, TOKEN), describe), wanted)
-    return F.when(F.rlike(text, F.lit("[0-9]")), listed).otherwise(
-        F.array().cast("array<struct<s:int,e:int,v:string,left:string,shape:string>>")
-    )
+    return F.when(F.rlike(text, F.lit("[0-9@]")), listed).otherwise(F.array().cast(_MARK))
 
 
 def spans_text(spans: Column, names: list[str]) -> Column:
@@ -147,10 +169,12 @@ def find_pii(
     """(id, n_email, n_ip, n_card, n_phone, base_sha256, spans, all_spans, text_key) for every row of ``docs``.
 
     Base spans are the leftmost non-overlapping matches of each kind that pass its check (an ip's parts at
-    most 255, a card's 13 to 19 digits with a right check sum, a phone's 9 to 15 digits). They seed the method:
-    a seed's pattern is the two words before it and its shape (runs of digits, capitals and small letters).
-    Patterns and the values they hold form a graph that ``learn`` scores; words with a digit in a trusted pattern are
-    new spans of kind ``ctx_email`` and so on, unless they touch a base span. Base spans stay as they are; the
+    most 255, a card's 13 to 19 digits with a right check sum, a phone's 9 to 15 digits). All of them seed the method:
+    a seed's pattern is the two words before it (fewer at the start of a text, and as far as they lie in the
+    CONTEXT characters before) and its shape (runs of digits, capitals and small letters).
+    Patterns and the values they hold form a graph that ``learn`` scores. Words with a digit or @ and
+    groups of words that look like a card or phone but fail its check, of MIN_CHARS characters and more, are new
+    spans of kind ``ctx_email`` and so on if their pattern is trusted, unless they touch a base span. Base spans stay as they are; the
     four counts and ``base_sha256`` speak of base spans alone. ``spans`` lists all of them, the new kinds last.
 
     Null texts count as empty. Null ids and repeated rows are kept, each with its own result; an empty table gives
@@ -158,16 +182,16 @@ def find_pii(
     and the graph, which grows with the words that hold digits, is built from that.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    seen = stage(
-        docs.select(F.col(id_col).alias("id"), text.alias("text"))
-        .select("id", F.xxhash64("text").alias("text_key"), base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("words")),
-        "pii-found",
+    every = docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
+        "id", F.xxhash64("text").alias("text_key"), marks(F.col("text")).alias("marks")
     )
-    each = seen.where(F.size("words") > 0).select("id", "text_key", "base", F.explode("words").alias("w"))
-    touched = F.filter("base", lambda b: (b["s"] < F.col("w.e")) & (F.col("w.s") < b["e"]))
-    occurrences = stage(each.select(
+    base = F.transform(F.filter("marks", lambda m: m["k"].isNotNull()), lambda m: F.struct(m["k"].alias("k"), m["s"].alias("s"), m["e"].alias("e")))
+    seen = stage(every.select("id", "text_key", base.alias("base"), F.col("marks").alias("words")), "pii-found")
+    each = seen.where(F.size("words") > 0).select("text_key", "base", F.explode("words").alias("w"))
+    touched = F.exists("base", lambda b: (b["s"] < F.col("w.e")) & (F.col("w.s") < b["e"]))
+    occurrences = stage(each.where(F.col("w.k").isNotNull() | ~touched).select(
         "text_key", F.col("w.s").alias("s"), F.col("w.e").alias("e"), lower_ascii(F.col("w.v")).alias("v"),
-        F.concat_ws("\t", "w.left", "w.shape").alias("pattern"), F.get(touched, F.lit(0))["k"].alias("kind"),
+        F.concat_ws("\t", "w.left", "w.shape").alias("pattern"), F.col("w.k").alias("kind"),
     ).distinct(), "pii-words")
     trusted = learn(occurrences, rounds, min_seeds, min_score)
     new = occurrences.where("kind is null").drop("kind").join(trusted, "pattern")

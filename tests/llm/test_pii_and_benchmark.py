@@ -58,6 +58,27 @@ def test_contexts_find_unseen_identifiers(spark):
     assert spans[99] == "ctx_ip:13:22" and spans[98] == "" and spans[5].count(":") == 2
 
 
+def test_contexts_of_whole_spans(spark):
+    """Digitless emails, grouped phones and cards, starts of texts and words right after other numbers seed and are found."""
+    word = "alpha beta gamma delta omega sigma".split()
+    cards = ["4111 1111 1111 1111", "5500 0000 0000 0004", "3400 0000 0000 009", "6011 0000 0000 0004", "4012 8888 8888 1881", "5105 1051 0510 5100"]
+    rows = []
+    for i, name in enumerate(word):
+        rows += [
+            (i, f"{name} write to {name}@example.com soon"), (10 + i, f"{name} call us +1 (017) 555-77{10 + i} soon"),
+            (20 + i, f"{name} my card {cards[i]} ends"), (30 + i, f"host: 10.0.0.{i} ends"), (40 + i, f"{name} room1 seat22 10.1.0.{i} ends"),
+        ]
+    new = {
+        100: ("please write to clerk@exämple.com soon", "ctx_email:16:33"), 102: ("please call us +1 (017) 555-771234567890 soon", "ctx_phone:15:40"),
+        103: ("so my card 4111 1111 1111 1112 ends", "ctx_card:11:30"),
+        104: ("host: 300.0.0.1 ends", "ctx_ip:6:15"), 105: ("now room1 seat22 300.1.0.1 ends", "ctx_ip:17:26"),
+    }
+    rows += [(k, t) for k, (t, _) in new.items()]
+    got = {r.doc_id: r.spans for r in find_pii(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: got[k] for k in new} == {k: spans for k, (_, spans) in new.items()}
+    assert all("ctx_" not in spans for k, spans in got.items() if k < 100)
+
+
 def test_redaction_joins_overlapping_spans(spark):
     spans = F.array(*[F.struct(F.lit(0).alias("k"), F.lit(s).alias("s"), F.lit(e).alias("e")) for s, e in ((7, 9), (1, 3), (2, 4))])
     row = spark.range(1).select(redact(F.lit("\U0001F600bcdefghij"), spans).alias("a"), redact(F.lit("abc"), F.filter(spans, lambda s: F.lit(False))).alias("b"))
