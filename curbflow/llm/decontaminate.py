@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import ceil, comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.llm.common import lower_ascii, stage
 from curbflow.operators.lookup import fits_broadcast
 
-# Fixed masks: which of eleven consecutive words count (1) and which may differ (0). A passage of 13 words
-# with two substitutions anywhere leaves a hit of one of them in nearly all cases; verification decides.
-MASKS = ("11101100101", "11010011011", "10110111001")
-SPAN = len(MASKS[0])
+# Fixed masks: which of some consecutive words count (1) and which may differ (0). Of 13 words with any two
+# changed, and of 11 or 12 with any one, a mask of the first group hits at some offset; the others are for
+# 10, 9, and 7 or 8 words with one changed. ``masks_for`` proves it before it takes a group.
+GROUPS = (("11101111", "110101111", "11110010011"), ("11011011",), ("1101101",), ("11011",))
+MAX_PROVED = 10_000
 WINDOW = 13
 MIN_EQUAL = 0.84
 MIN_WORDS = 5
@@ -25,29 +29,41 @@ def tokens(text: Column) -> Column:
     return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seed(words: str, at: Column, mask: str, number: int) -> Column:
+def _seed(words: str, at: Column, mask: str) -> Column:
     """Hash of the counted words of a mask from ``at`` on."""
     counted = [F.get(words, at + i) for i, c in enumerate(mask) if c == "1"]
-    return F.xxhash64(F.lit(number), *counted)
+    return F.xxhash64(F.lit(mask), *counted)
+
+
+def covers(masks: tuple[str, ...], width: int, misses: int) -> bool:
+    """Whether, wherever ``misses`` of ``width`` words differ, a mask lies somewhere with all its counted words equal."""
+    laid = [{at + i for i, c in enumerate(m) if c == "1"} for m in masks for at in range(width - len(m) + 1)]
+    return all(any(ones.isdisjoint(gone) for ones in laid) for gone in combinations(range(width), misses))
+
+
+def misses_of(width: int, min_equal: float) -> int:
+    """How many of ``width`` words may differ."""
+    return width - min(width, max(1, ceil(width * min_equal)))
 
 
-def masks_for(lengths: list[int], min_words: int) -> dict[int, tuple[str, ...]]:
-    """Masks by span: the fixed ones, and solid ones for items shorter than they are."""
-    short = {n: ("1" * n,) for n in sorted(set(lengths)) if min_words <= n < SPAN}
-    return {**short, SPAN: MASKS}
+def masks_for(width: int, misses: int) -> tuple[str, ...]:
+    """Masks that find ``width`` words with any ``misses`` of them changed: the first group that does, or else
+    a solid run, which one of misses + 1 parts of the words always holds."""
+    if misses and comb(width, misses) <= MAX_PROVED:
+        for group in GROUPS:
+            if covers(group, width, misses):
+                return group
+    return ("1" * (width // (misses + 1)),)
 
 
-def test_seeds(items: DataFrame, masks: dict[int, tuple[str, ...]], min_words: int) -> DataFrame:
-    """(seed, item_id, item_at, item): every seed of every item with where it starts."""
+def test_seeds(items: DataFrame, masks: dict[int, tuple[str, ...]], window: int) -> DataFrame:
+    """(seed, item_id, item_at, item): every seed of every item with where it starts; ``masks`` by compared words."""
     frames = []
-    number = 0
-    for span, group in masks.items():
-        fit = items.where((F.size("item") >= span) & (F.size("item") >= min_words))
-        fit = fit.where(F.size("item") == span) if span < SPAN else fit
-        places = fit.select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - span)).alias("item_at"))
+    for width, group in masks.items():
+        fit = items.where(F.least(F.size("item"), F.lit(window)) == width)
         for mask in group:
-            frames.append(places.select(_seed("item", F.col("item_at"), mask, number).alias("seed"), "item_id", "item_at", "item"))
-            number += 1
+            places = fit.select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - len(mask))).alias("item_at"))
+            frames.append(places.select(_seed("item", F.col("item_at"), mask).alias("seed"), "item_id", "item_at", "item"))
     out = frames[0]
     for frame in frames[1:]:
         out = out.union(frame)
@@ -74,11 +90,11 @@ def find_contamination(
 
     Words are lower-cased runs of letters and digits. A document contains an item if, laid over it at some shift
     without gaps, some ``window`` consecutive words of the item (all of a shorter one)
-    equal it in at least ``min_equal`` of the places; items under SPAN words must agree wholly, and items
+    equal it in at least ``min_equal`` of the places: one of 7 to 12 words may differ, two of 13. Items
     under ``min_words`` words are not looked for. The best window is returned, once per document and item.
 
-    Every place of a document gives a hash for each fixed mask, which ignores some of eleven words, and meets the
-    hashes of the benchmark by equality. Around each hit the words are compared there and then, so neither
+    Every place of a document gives a hash for each mask, which ignores some words, and meets the hashes of the
+    benchmark by equality; the masks leave a hit in every pair the rule accepts. Around each hit the words are compared there and then, so neither
     texts nor hits that fail are shuffled; only confirmed (document, item) pairs are, combined per task. Benchmark
     hashes are broadcast in blocks of at most ``seed_rows`` rows, one pass over the documents for each.
 
@@ -89,34 +105,32 @@ def find_contamination(
         F.size("item") >= min_words
     )
     items = stage(items, "benchmark-items")
-    lengths = [r[0] for r in items.select(F.size("item")).where(F.size("item") < SPAN).distinct().collect()]
-    masks = masks_for(lengths, min_words)
-    seeds = stage(test_seeds(items, masks, min_words), "benchmark-seeds")
+    widths = [r[0] for r in items.select(F.least(F.size("item"), F.lit(window))).distinct().collect()] or [window]
+    masks = {w: masks_for(w, misses_of(w, min_equal)) for w in sorted(widths)}
+    seeds = stage(test_seeds(items, masks, window), "benchmark-seeds")
     blocks = 1
     while blocks < 1 << 20 and not fits_broadcast(seeds.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == 0), seed_rows):
         blocks *= 2
 
     read = docs.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("words"))
+    used = sorted({mask for group in masks.values() for mask in group})
     pairs = None
     for block in range(blocks):
         part = F.broadcast(seeds.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block) if blocks > 1 else seeds)
-        number = 0
-        for span, group in masks.items():
-            # outer: a plain explode would add a filter that cuts the texts into words a second time
-            every = F.when(F.size("words") >= span, F.sequence(F.lit(0), F.size("words") - span))
-            places = read.select("id", "words", F.explode_outer(every).alias("at")).where("at is not null")
-            keys = F.array(*[_seed("words", F.col("at"), mask, number + i) for i, mask in enumerate(group)])
-            number += len(group)
-            hits = places.select("id", "words", "at", F.explode(keys).alias("seed")).join(part, "seed")
-            shift = F.col("at") - F.col("item_at")
-            checked = hits.select("id", "item_id", shift.alias("shift"), overlap(F.col("words"), shift, F.col("item"), window).alias("o"))
-            # tested after the aggregate: as a join condition it would copy the words of every place
-            best = checked.groupBy("id", "item_id").agg(
-                F.max(F.struct("o.equal", "o.length", "o.at", (-F.col("shift")).alias("shift"))).alias("b")
-            )
-            pairs = best if pairs is None else pairs.union(best)
-    merged = pairs.groupBy("id", "item_id").agg(F.max("b").alias("b")) if len(masks) * blocks > 1 else pairs
-    need = F.when(F.col("b.length") < SPAN, F.col("b.length")).otherwise(F.ceil(F.col("b.length") * min_equal))
+        # outer: a plain explode would add a filter that cuts the texts into words a second time
+        every = F.when(F.size("words") > 0, F.sequence(F.lit(0), F.size("words") - 1))
+        places = read.select("id", "words", F.explode_outer(every).alias("at")).where("at is not null")
+        keys = F.array(*[F.when(F.col("at") + len(mask) <= F.size("words"), _seed("words", F.col("at"), mask)) for mask in used])
+        hits = places.select("id", "words", "at", F.explode(keys).alias("seed")).join(part, "seed")
+        shift = F.col("at") - F.col("item_at")
+        checked = hits.select("id", "item_id", shift.alias("shift"), overlap(F.col("words"), shift, F.col("item"), window).alias("o"))
+        # tested after the aggregate: as a join condition it would copy the words of every place
+        best = checked.groupBy("id", "item_id").agg(
+            F.max(F.struct("o.equal", "o.length", "o.at", (-F.col("shift")).alias("shift"))).alias("b")
+        )
+        pairs = best if pairs is None else pairs.union(best)
+    merged = pairs.groupBy("id", "item_id").agg(F.max("b").alias("b")) if blocks > 1 else pairs
+    need = F.greatest(F.lit(1), F.ceil(F.col("b.length") * min_equal))
     return merged.where(F.col("b.equal") >= need).select(
         F.col("id").alias(id_col), F.col("item_id").alias(item_id_col), F.col("b.equal").alias("equal_words"),
         F.col("b.length").alias("window_words"), (-F.col("b.at")).alias("item_start"), (-F.col("b.shift") - F.col("b.at")).alias("doc_start"),

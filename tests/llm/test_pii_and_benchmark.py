@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+from itertools import combinations
+from math import comb
 
 import pytest
 from pyspark.sql import functions as F
 
-from curbflow.llm.decontaminate import find_contamination
+from curbflow.llm.decontaminate import covers, find_contamination, masks_for, misses_of
 from curbflow.llm.pii import find_pii, redact
 from curbflow.llm.queries import QUERIES
 
@@ -113,6 +115,30 @@ def test_every_pair_of_places_of_two_changes(spark, seed_rows):
     assert len(got) >= 0.6 * len(docs) and all(e == 11 for _, _, e in got)
 
 
+@pytest.mark.parametrize("seed_rows", [200_000, 40])
+def test_every_change_the_rule_admits_is_found(spark, seed_rows):
+    """All items of 5 to 13 words with as many words changed as may differ: every document is found, none with one more."""
+    items, docs, beyond = [], [], []
+    for n in range(5, 14):
+        w = [f"w{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(w)))
+        misses = misses_of(n, 0.84)
+        assert misses == {5: 0, 6: 0, 13: 2}.get(n, 1) and covers(masks_for(n, misses), n, misses)
+        for count, rows in ((misses, docs), (misses + 1, beyond)):
+            for gone in combinations(range(n), count):
+                rows.append((n * 10_000 + 5000 * (rows is beyond) + len(rows), " ".join("zz" if i in gone else x for i, x in enumerate(w))))
+    got = contaminated(spark, docs + beyond, items, seed_rows=seed_rows)
+    assert [d for d, _, _ in got] == sorted(d for d, _ in docs) and len([d for d, i, _ in got if i == 13]) == 78
+    assert all(d // 10_000 == i and e == i - misses_of(i, 0.84) for d, i, e in got)
+
+
+def test_masks_for_other_rules():
+    for width in range(1, 21):
+        for misses in range(width):
+            if comb(width, misses) <= 2000:
+                assert covers(masks_for(width, misses), width, misses), (width, misses)
+
+
 def test_short_items_nulls_and_empty_tables(spark):
     docs = [(1, "a b c d e f"), (2, "a b c d x f"), (None, "q a b c d e f"), (1, "nothing"), (4, "p q r")]
     items = [(7, "a b c d e f"), (8, "p q r"), (None, None), (9, "")]
