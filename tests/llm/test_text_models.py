@@ -132,3 +132,20 @@ def test_segment_sums_are_plain_sums():
     rows, first = np.unique(keys[order], return_index=True)
     want = np.stack([values[keys == r].sum(axis=0) for r in rows])
     assert np.allclose(lm_scoring._segment_sums(values, order, first), want)
+
+
+def test_rows_of_weights_are_averaged_over_their_own_tokens(spark):
+    """A feature that one task alone sees keeps what the task learned, whatever the other tasks read."""
+    rare, common = "the red fox runs home " * 40, "many other words stand here " * 400
+    frame = lambda texts: spark.createDataFrame([(t,) for t in texts], "text string").repartitionByRange(len(texts), "text")
+    words = sorted({t for x in (rare, common) for t in tokens(x)})
+    hashes = np.array(lm_scoring.token_hashes([" ".join(w.decode() for w in words if w)])[0])
+    order = np.argsort(hashes)
+    counts = Counts(2225, len(hashes), hashes[order], np.full(len(hashes), 200), order.astype(np.int64))
+    alone = lm_scoring.train(frame([rare]), MaxEnt(counts))
+    other = lm_scoring.train(frame([common]), MaxEnt(counts))
+    both = lm_scoring.train(frame([rare, common]), MaxEnt(counts))
+    for name in ("class_weights", "word_weights"):
+        a, b, c = (getattr(m, name) for m in (alone, other, both))
+        own = a.any(axis=1) & ~b.any(axis=1)
+        assert own.sum() >= 5 and np.array_equal(c[own], a[own])
