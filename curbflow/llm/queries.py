@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from curbflow.llm.mixing import mix_sources
 from curbflow.llm.near_dedup import near_duplicates
 from curbflow.llm.pii import find_pii
 from curbflow.llm.substring_dedup import remove_repeats
+from curbflow.llm.token_files import read_token_files, write_token_files
 from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
 from curbflow.llm.warc import read_warc, write_warc
 
@@ -91,3 +93,10 @@ def op9_repeated_passages(spark, sf_dir):
 @query
 def op10_pii(spark, sf_dir):
     return find_pii(table(spark, sf_dir, "documents")).drop("all_spans", "text_key")
+
+
+@query
+def op11_token_files(spark, sf_dir):
+    path = shared_table_path(spark, "tokens")
+    write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_files(spark, path)
