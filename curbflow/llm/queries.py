@@ -17,6 +17,7 @@ from curbflow.llm.mixing import mix_sources
 from curbflow.llm.near_dedup import near_duplicates
 from curbflow.llm.pii import find_pii
 from curbflow.llm.substring_dedup import remove_repeats
+from curbflow.llm.token_alignment import align_tokens
 from curbflow.llm.token_files import read_token_files, write_token_files
 from curbflow.llm.url_filter import Rule, filter_urls, rule_frame
 from curbflow.llm.warc import read_warc, write_warc
@@ -100,3 +101,9 @@ def op11_token_files(spark, sf_dir):
     path = shared_table_path(spark, "tokens")
     write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return read_token_files(spark, path)
+
+
+@query
+def op12_token_alignment(spark, sf_dir):
+    files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return align_tokens(table(spark, sf_dir, "documents"), *files)[0]
