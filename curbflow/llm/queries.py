@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm.common import crc_mod, shared_table_path
+from curbflow.llm.conversation_repair import damage_conversations, repair_conversations
 from curbflow.llm.decontaminate import find_contamination
 from curbflow.llm.embedding_dedup import near_vectors
 from curbflow.llm.language_id import identify_languages
@@ -107,3 +108,9 @@ def op11_token_files(spark, sf_dir):
 def op12_token_alignment(spark, sf_dir):
     files = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return align_tokens(table(spark, sf_dir, "documents"), *files)[0]
+
+
+@query
+def op13_conversation_repair(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations")
+    return repair_conversations(rows, damage_conversations(rows))
