@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbflow.llm.common import map_arrow, stage
-from curbflow.llm.tokens import PIECE, PartEncoder, byte_bpe, piece_bpe, pieces
+from curbflow.llm.tokens import PIECE, PartEncoder, byte_bpe, piece_bpe, pieces, shared_encoder
 from curbflow.operators import lookup_join
 
 UNIT_BYTES = 3 << 20
@@ -95,7 +95,7 @@ class Aligner:
     """Aligns stretches of text under two tokenizers."""
 
     def __init__(self, byte_file: str, piece_file: str):
-        self.encode = PartEncoder(byte_bpe(byte_file), piece_bpe(piece_file))
+        self.encode = shared_encoder(("alignment", byte_file, piece_file), lambda: PartEncoder(byte_bpe(byte_file), piece_bpe(piece_file)))
         self.a, self.b = _Side(byte_bpe_bytes(byte_file), ",", "|"), _Side(piece_bpe_bytes(piece_file), ",", ";")
         self.signs = pa.concat_arrays([self.a.signs, self.b.signs])
 

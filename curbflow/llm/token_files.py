@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbflow.llm.common import map_arrow
-from curbflow.llm.tokens import PartEncoder, byte_bpe
+from curbflow.llm.tokens import PartEncoder, byte_bpe, shared_encoder
 from curbflow.llm.wavelet import WaveletFile, wavelet_bytes
 from curbflow.session import delete_path
 from curbflow.sources.commits import commit_next, latest
@@ -24,7 +24,6 @@ from curbflow.sources.commits import commit_next, latest
 SHARD_BYTES = 32 << 20
 FILE_TOKENS = 2 << 20
 RANK_ROWS = 4096
-BATCH_DOCUMENTS = 2048
 
 _MANIFEST = "file string, shard int, roll int, documents long, tokens long, bytes long, sha256 string"
 
@@ -46,10 +45,10 @@ class Folder:
 class _Writer:
     """Files of one shard; each gets its final name only when it is whole."""
 
-    def __init__(self, folder: Folder, bits: int, file_tokens: int):
+    def __init__(self, folder: Folder, file_tokens: int):
         context = TaskContext.get()
         self.fs, self.root = folder.open()
-        self.bits, self.file_tokens = bits, file_tokens
+        self.file_tokens = file_tokens
         self.shard, self.attempt = context.partitionId(), context.taskAttemptId()
         self.roll = 0
         self._clear()
@@ -77,7 +76,7 @@ class _Writer:
         digest, size = hashlib.sha256(), 0
         temp, final = f"{self.root}/_temporary/{name}", f"{self.root}/{name}"
         with self.fs.open_output_stream(temp, compression=None) as out:
-            for part in wavelet_bytes(np.concatenate(self.tokens), self.bits, arrays):
+            for part in wavelet_bytes(np.concatenate(self.tokens), arrays):
                 out.write(part)
                 digest.update(part)
                 size += len(part)
@@ -100,7 +99,7 @@ _MANIFEST_ARROW = [
 
 def write_token_files(
     docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text",
-    vocabulary: int = 50_257, shard_bytes: int = SHARD_BYTES, file_tokens: int = FILE_TOKENS,
+    shard_bytes: int = SHARD_BYTES, file_tokens: int = FILE_TOKENS,
 ) -> DataFrame:
     """Encode every text, append ``end_id`` to each and write the ids to ``path``; returns the manifest.
 
@@ -127,22 +126,20 @@ def write_token_files(
     folder = Folder.at(f"{path.rstrip('/')}/{run}")
     fs, root = folder.open()
     fs.create_dir(f"{root}/_temporary", recursive=True)
-    bits = max(1, (max(vocabulary - 1, end_id)).bit_length())
     end = np.array([end_id], np.int32)
 
     def write(batches):
-        writer, encode = _Writer(folder, bits, file_tokens), PartEncoder(byte_bpe(tokenizer, special_as_text=False), lead=False)
-        for whole in batches:
-            for at in range(0, whole.num_rows, BATCH_DOCUMENTS):
-                batch = whole.slice(at, BATCH_DOCUMENTS)
-                [(ids, sizes)] = encode(batch.column("text").to_pylist())
-                ends = np.cumsum(sizes)
-                done = [
-                    row for doc_id, start, stop in zip(batch.column("id").to_pylist(), (ends - sizes).tolist(), ends.tolist())
-                    for row in writer.add(doc_id, np.concatenate([ids[start:stop], end]))
-                ]
-                if done:
-                    yield _batch(done, _MANIFEST_ARROW)
+        writer = _Writer(folder, file_tokens)
+        encode = shared_encoder(("files", tokenizer), lambda: PartEncoder(byte_bpe(tokenizer, special_as_text=False), lead=False))
+        for batch in batches:
+            [(ids, sizes)] = encode(batch.column("text"))
+            ends = np.cumsum(sizes)
+            done = [
+                row for doc_id, start, stop in zip(batch.column("id").to_pylist(), (ends - sizes).tolist(), ends.tolist())
+                for row in writer.add(doc_id, np.concatenate([ids[start:stop], end]))
+            ]
+            if done:
+                yield _batch(done, _MANIFEST_ARROW)
         if writer.ids:
             yield _batch([writer.close()], _MANIFEST_ARROW)
 

@@ -8,39 +8,89 @@ from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-PARTS = 600_000
+PARTS = 2_000_000
 PIECE = 1 << 21
+_TOGETHER = 200
+
+# White space of any kind, as Python and the tokenizers see it together.
+_WHITE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
 # A blank between two characters that aren't white space: no token of the two kinds of tokenizer
 # used here spans it, for a blank only ever starts a word or belongs to a run of blanks.
 _CUT = re.compile("(?<=[^\\s\u180e]) (?=[^\\s\u180e])")
+# Texts with a blank at which they can't be cut.
+_UNLIKE = rf"[{_WHITE}] | [{_WHITE}]|^ | $|^$"
+
+# Parts that can't stand among others: without a blank first, with another one, with white space at an end.
+_NOT_PLAIN = rf"(?s)^[^ ]|^$|^ [{_WHITE}]|[{_WHITE}]$|. "
+
+# Parts, each with a blank before it or not, to (their ids one after the other, number of ids of each).
+Encoder = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 
-Encoder = Callable[[list[str]], list[list[int]]]
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum())), sizes
 
 
 def byte_bpe(file: str, special_as_text: bool = True) -> Encoder:
-    """Encoder of a byte-level BPE file of the tokenizers library; parts start with a blank."""
+    """Encoder of a byte-level BPE file of the tokenizers library.
+
+    Parts are encoded many in one text, as that is faster, and told apart by the tokens that begin with a blank;
+    parts with blanks inside go one by one.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(file)
     tokenizer.encode_special_tokens = special_as_text
-
-    def encode(parts: list[str]) -> list[list[int]]:
-        return [e.ids for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+    opens = np.zeros(tokenizer.get_vocab_size(), bool)
+    opens[[i for entry, i in tokenizer.get_vocab().items() if entry.startswith("\u0120")]] = True
+
+    def single(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return _flat([e.ids for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
+
+    def encode(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        several = pc.match_substring_regex(parts, _NOT_PLAIN).to_numpy(zero_copy_only=False)
+        plain, texts = np.flatnonzero(~several), parts.to_pylist()
+        groups = [plain[at : at + _TOGETHER].tolist() for at in range(0, len(plain), _TOGETHER)]
+        sizes = np.zeros(len(parts), np.int64)
+        found: list[tuple[list[int], np.ndarray]] = []
+        alone = np.flatnonzero(several).tolist()
+        joined = ["".join([texts[k] for k in g]) for g in groups]
+        for group, encoding in zip(groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
+            ids = np.array(encoding.ids, np.int32)
+            starts = np.flatnonzero(opens[ids])
+            if len(starts) != len(group):
+                alone += group
+                continue
+            sizes[group] = np.diff(np.append(starts, len(ids)))
+            found.append((group, ids))
+        if alone:
+            ids, own = single([texts[k] for k in alone])
+            sizes[alone] = own
+            found.append((alone, ids))
+        out = np.empty(int(sizes.sum()), np.int32)
+        firsts = np.cumsum(sizes) - sizes
+        order = np.concatenate([np.array(group, np.int64) for group, _ in found] or [np.empty(0, np.int64)])
+        own = sizes[order]
+        out[np.repeat(firsts[order] - np.cumsum(own) + own, own) + np.arange(len(out))] = np.concatenate([i for _, i in found] or [np.empty(0, np.int32)])
+        return out, sizes
 
     return encode
 
 
 def piece_bpe(file: str) -> Encoder:
-    """Encoder of a sentencepiece BPE file, which sets a blank before each part by itself."""
+    """Encoder of a sentencepiece BPE file, which sets the blank before each part by itself."""
     from sentencepiece import SentencePieceProcessor
 
     processor = SentencePieceProcessor(model_file=file)
 
-    def encode(parts: list[str]) -> list[list[int]]:
-        return processor.encode([p[1:] for p in parts], num_threads=1)
+    def encode(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return _flat(processor.encode([p[1:] for p in parts.to_pylist()], num_threads=1))
 
     return encode
 
@@ -65,11 +115,9 @@ class _Table:
         self.starts = np.empty(0, np.int64)
         self.sizes = np.empty(0, np.int64)
 
-    def add(self, lists: list[list[int]]) -> None:
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
         starts = len(self.ids) + np.cumsum(sizes) - sizes
-        new = np.fromiter(chain.from_iterable(lists), np.int32, int(sizes.sum()))
-        self.ids, self.starts = np.concatenate([self.ids, new]), np.concatenate([self.starts, starts])
+        self.ids, self.starts = np.concatenate([self.ids, ids]), np.concatenate([self.starts, starts])
         self.sizes = np.concatenate([self.sizes, sizes])
 
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -93,40 +141,103 @@ class PartEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.tables = [_Table() for _ in self.encoders]
 
-    def _codes(self, texts: list[list[str]]) -> list[np.ndarray]:
-        new = list(set(chain.from_iterable(texts)) - self.known.keys())
-        if len(self.known) + len(new) > self.most and self.known:
+    def _coded(self, parts: pa.Array) -> np.ndarray:
+        """Numbers of different parts; the unknown ones are encoded, for which others may be forgotten."""
+        codes = pc.index_in(parts, value_set=self.known)
+        new = parts.filter(pc.is_null(codes)) if codes.null_count else parts.slice(0, 0)
+        if len(self.known) + len(new) > self.most and len(self.known):
             self._clear()
-            new = list(set(chain.from_iterable(texts)))
-        if new:
-            self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
+            return self._coded(parts)
+        if len(new):
+            self.known = pa.concat_arrays([self.known, new])
             # without lead only the first part of a text can start with a blank, set below to tell it apart
-            spaced = [f" {p}" if self.lead or p[:1] != " " else p[1:] for p in new]
+            spaced = pc.binary_join_element_wise("", new, " ") if self.lead else pc.replace_substring_regex(
+                pc.binary_join_element_wise("", new, " "), "^  ", "")
             for table, encode in zip(self.tables, self.encoders):
-                table.add(encode(spaced))
-        return [np.fromiter(map(self.known.__getitem__, t), np.int64, len(t)) for t in texts]
-
-    def __call__(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Per encoder (ids of the texts, one after the other; number of ids of each text)."""
-        cut = [(i, piece) for i, text in enumerate(texts) for piece in pieces(text if self.lead else f" {text}")]
+                table.add(*encode(spaced))
+            codes = pc.index_in(parts, value_set=self.known)
+        return codes.to_numpy().astype(np.int64)
+
+    def _gather(self, codes: np.ndarray, parts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per encoder (ids, number of ids of each text) of texts with so many parts."""
+        out = []
+        bounds = np.concatenate([[0], np.cumsum(parts)])
+        for table in self.tables:
+            ids, sizes = table.of(codes)
+            running = np.concatenate([[0], np.cumsum(sizes)])
+            out.append((ids, running[bounds[1:]] - running[bounds[:-1]]))
+        return out
+
+    def _split(self, flat: pa.Array, parts: np.ndarray, opens: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of texts given by their parts, one after the other, and the number of parts of each; ``opens`` if not all begin a text."""
+        if not self.lead:
+            firsts = np.cumsum(parts) - parts
+            firsts = firsts if opens is None else firsts[opens]
+            marked = pc.binary_join_element_wise("", flat.take(pa.array(firsts)), " ")
+            mask = np.zeros(len(flat), bool)
+            mask[firsts] = True
+            flat = pc.replace_with_mask(flat, pa.array(mask), marked)
+        coded = pc.dictionary_encode(flat)
+        return self._gather(self._coded(coded.dictionary)[coded.indices.to_numpy()], parts)
+
+    def _alike(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Texts that can be cut at every blank."""
+        lists = pc.split_pattern(texts, " ")
+        return self._split(pc.list_flatten(lists), pc.list_value_length(lists).to_numpy().astype(np.int64))
+
+    def _unlike(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Texts with runs of blanks, or long ones: cut piece by piece."""
+        cut = [(i, k == 0, piece) for i, text in enumerate(texts) for k, piece in enumerate(pieces(text))]
         ids: list[list[np.ndarray]] = [[] for _ in self.encoders]
         sizes = [np.zeros(len(texts), np.int64) for _ in self.encoders]
         at = 0
         while at < len(cut):  # about PIECE characters at a time
             stop, held = at, 0
             while stop < len(cut) and held < PIECE:
-                held += len(cut[stop][1])
+                held += len(cut[stop][2])
                 stop += 1
-            parts = [_CUT.split(piece) for _, piece in cut[at:stop]]
-            codes = self._codes(parts)
-            owner = np.repeat(np.array([i for i, _ in cut[at:stop]]), [len(p) for p in parts])
-            joined = np.concatenate(codes)
-            for k, table in enumerate(self.tables):
-                found, each = table.of(joined)
+            parts = [_CUT.split(piece) for _, _, piece in cut[at:stop]]
+            owner = np.array([i for i, _, _ in cut[at:stop]])
+            # the first part of a later piece of a text is like any other
+            opens = np.array([first for _, first, _ in cut[at:stop]])
+            flat = pa.array(list(chain.from_iterable(parts)), pa.string())
+            for k, (found, each) in enumerate(self._split(flat, np.array([len(p) for p in parts]), opens)):
                 ids[k].append(found)
                 np.add.at(sizes[k], owner, each)
             at = stop
         return [(np.concatenate(i) if i else np.empty(0, np.int32), s) for i, s in zip(ids, sizes)]
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per encoder (ids of the texts, one after the other; number of ids of each text)."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        unlike = pc.or_(pc.match_substring_regex(texts, _UNLIKE), pc.greater(pc.binary_length(texts), PIECE))
+        if not pc.any(unlike).as_py():
+            return self._alike(texts) if len(texts) else self._unlike([])
+        other = unlike.to_numpy(zero_copy_only=False)
+        slow = self._unlike(texts.filter(unlike).to_pylist())
+        if other.all():
+            return slow
+        fast = self._alike(texts.filter(pc.invert(unlike)))
+        out = []
+        for (ids_a, sizes_a), (ids_b, sizes_b) in zip(fast, slow):
+            sizes = np.empty(len(texts), np.int64)
+            sizes[~other], sizes[other] = sizes_a, sizes_b
+            mine = np.repeat(other, sizes)
+            ids = np.empty(len(mine), np.int32)
+            ids[~mine], ids[mine] = ids_a, ids_b
+            out.append((ids, sizes))
+        return out
+
+
+_SHARED: dict[tuple, PartEncoder] = {}
+
+
+def shared_encoder(key: tuple, make: Callable[[], PartEncoder]) -> PartEncoder:
+    """One encoder for all tasks of a worker process, which keeps what it knows."""
+    if key not in _SHARED:
+        _SHARED.clear()
+        _SHARED[key] = make()
+    return _SHARED[key]

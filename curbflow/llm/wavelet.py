@@ -1,7 +1,7 @@
 """Wavelet matrix of a token sequence in one compressed file: access, rank, select, occurrences.
 
-The file holds one bit plane per bit of a token, the highest first. A plane is cut into blocks
-of BLOCK bits, each a zstandard frame, with the number of set bits before each block beside it, so a
+Tokens are numbered by falling frequency in the sequence; the file holds one bit plane per bit of
+these numbers, the highest first, so the first planes are nearly empty. A plane is cut into blocks of BLOCK bits, each a zstandard frame, with the number of set bits before each block beside it, so a
 question reads the few blocks it touches. Layout: magic, frames, directory (a zstandard frame of
 JSON and arrays), its length, magic.
 """
@@ -23,13 +23,23 @@ CACHED_BLOCKS = 64
 _TAIL = struct.Struct("<Q8s")
 
 
-def plane_bits(tokens: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    """The bit planes of ``tokens``: after each plane the sequence is split stably, clear bits first."""
-    tokens = tokens.astype(np.uint16 if bits <= 16 else np.uint32)
+def ranked(tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens by falling frequency, then ascending; the number of each place's token in that list)."""
+    counts = np.bincount(tokens) if len(tokens) else np.empty(0, np.int64)
+    alphabet = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
+    number = np.zeros(len(counts), np.uint16 if len(alphabet) <= 1 << 16 else np.uint32)
+    number[alphabet] = np.arange(len(alphabet))
+    return alphabet.astype(np.uint32), number[tokens] if len(tokens) else number
+
+
+def plane_bits(numbers: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """The bit planes of ``numbers``: after each plane the sequence is split stably, clear bits first."""
+    kind = numbers.dtype.type
     for b in reversed(range(bits)):
-        ones = (tokens >> tokens.dtype.type(b)) & tokens.dtype.type(1) != 0
+        ones = numbers & kind(1 << b) != 0
         yield ones
-        tokens = np.concatenate([tokens[~ones], tokens[ones]])
+        if b:
+            numbers = np.concatenate([np.compress(~ones, numbers), np.compress(ones, numbers)])
 
 
 def _frames(ones: np.ndarray, squeeze) -> tuple[list[bytes], np.ndarray, int]:
@@ -41,12 +51,14 @@ def _frames(ones: np.ndarray, squeeze) -> tuple[list[bytes], np.ndarray, int]:
     return [squeeze(packed[s : s + step].tobytes()) for s in range(0, len(packed), step)], before, len(ones) - int(before[-1])
 
 
-def wavelet_bytes(tokens: np.ndarray, bits: int, arrays: dict[str, np.ndarray]) -> Iterator[bytes]:
+def wavelet_bytes(tokens: np.ndarray, arrays: dict[str, np.ndarray]) -> Iterator[bytes]:
     """The file of a token sequence, part by part; ``arrays`` travel in its directory."""
     squeeze = zstandard.ZstdCompressor(level=LEVEL).compress
+    alphabet, numbers = ranked(tokens)
+    bits = max(0, len(alphabet) - 1).bit_length()
     yield MAGIC
     at, offsets, ranks, zeros = len(MAGIC), [], [], []
-    for ones in plane_bits(tokens, bits):
+    for ones in plane_bits(numbers, bits):
         frames, before, clear = _frames(ones, squeeze)
         ends = at + np.cumsum([0, *map(len, frames)], dtype=np.int64)
         offsets.append(ends)
@@ -54,7 +66,8 @@ def wavelet_bytes(tokens: np.ndarray, bits: int, arrays: dict[str, np.ndarray])
         zeros.append(clear)
         at = int(ends[-1])
         yield from frames
-    stored = {f"_offsets{k}": o for k, o in enumerate(offsets)} | {f"_ranks{k}": r for k, r in enumerate(ranks)} | arrays
+    stored = {f"_offsets{k}": o for k, o in enumerate(offsets)} | {f"_ranks{k}": r for k, r in enumerate(ranks)}
+    stored |= {"_alphabet": alphabet} | arrays
     head = json.dumps({"tokens": len(tokens), "bits": bits, "zeros": zeros, "arrays": [[k, str(v.dtype), len(v)] for k, v in stored.items()]}).encode()
     directory = squeeze(struct.pack("<Q", len(head)) + head + b"".join(np.ascontiguousarray(v).tobytes() for v in stored.values()))
     yield directory
@@ -80,6 +93,8 @@ class WaveletFile:
         for name, kind, n in head["arrays"]:
             self.arrays[name] = np.frombuffer(body, np.dtype(kind), n, at)
             at += n * np.dtype(kind).itemsize
+        self.alphabet = self.arrays["_alphabet"]
+        self._sorted = np.argsort(self.alphabet)
         self._blocks: OrderedDict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = OrderedDict()
 
     def _bits(self, plane: int, first: int, last: int) -> np.ndarray:
@@ -142,13 +157,15 @@ class WaveletFile:
             one = after > before
             out = (out << np.uint32(1)) | one.astype(np.uint32)
             at = np.where(one, self.zeros[plane] + before, at - before)
-        return out
+        return self.alphabet[out]
 
-    def _fits(self, token: int) -> bool:
-        return 0 <= token < 1 << self.bits
+    def _number(self, token: int) -> int | None:
+        at = int(np.searchsorted(self.alphabet, token, sorter=self._sorted)) if len(self.alphabet) else 0
+        found = int(self._sorted[at]) if at < len(self.alphabet) else None
+        return found if found is not None and self.alphabet[found] == token else None
 
     def _lowered(self, token: int, at: np.ndarray) -> np.ndarray:
-        """Where each boundary of the sequence lies below the last plane, on the path of ``token``."""
+        """Where each boundary of the sequence lies below the last plane, on the path of a token's number."""
         for plane in range(self.bits):
             before = self._rank1(plane, at)
             at = self.zeros[plane] + before if token >> (self.bits - 1 - plane) & 1 else at - before
@@ -157,9 +174,10 @@ class WaveletFile:
     def rank(self, token: int, at) -> np.ndarray:
         """How often ``token`` stands before each place (0 to the size of the sequence)."""
         at = np.array(at, dtype=np.int64)
-        if not self._fits(token) or not len(at):
+        number = self._number(token)
+        if number is None or not len(at):
             return np.zeros(len(at), np.int64)
-        low = self._lowered(token, np.concatenate([[0], at]))
+        low = self._lowered(number, np.concatenate([[0], at]))
         return low[1:] - low[0]
 
     def count(self, token: int, start: int = 0, stop: int | None = None) -> int:
@@ -173,9 +191,10 @@ class WaveletFile:
             raise IndexError("no such occurrence")
         if not len(which):
             return which
-        at = self._lowered(token, np.zeros(1, np.int64))[0] + which
+        number = self._number(token)
+        at = self._lowered(number, np.zeros(1, np.int64))[0] + which
         for plane in reversed(range(self.bits)):
-            one = bool(token >> (self.bits - 1 - plane) & 1)
+            one = bool(number >> (self.bits - 1 - plane) & 1)
             at = self._select(plane, one, at - self.zeros[plane] if one else at)
         return at
 
@@ -187,12 +206,12 @@ class WaveletFile:
     def tokens(self) -> np.ndarray:
         """The whole sequence, rebuilt from the last plane upwards."""
         kind = np.uint16 if self.bits <= 16 else np.uint32
-        values = np.zeros(self.size, kind)
+        numbers = np.zeros(self.size, kind)
         blocks = -(-self.size // BLOCK)
         for plane in reversed(range(self.bits)):
-            ones = self._bits(plane, 0, blocks) if self.size else np.empty(0, bool)
+            ones = self._bits(plane, 0, blocks)
             raised = np.empty(self.size, kind)
-            raised[~ones] = values[: self.zeros[plane]]
-            raised[ones] = values[self.zeros[plane] :] | kind(1 << (self.bits - 1 - plane))
-            values = raised
-        return values
+            raised[np.flatnonzero(~ones)] = numbers[: self.zeros[plane]]
+            raised[np.flatnonzero(ones)] = numbers[self.zeros[plane] :] | kind(1 << (self.bits - 1 - plane))
+            numbers = raised
+        return self.alphabet[numbers] if self.size else self.alphabet

@@ -19,8 +19,8 @@ FILE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
-def stored(tokens, bits, **arrays):
-    data = b"".join(wavelet_bytes(tokens, bits, arrays))
+def stored(tokens, **arrays):
+    data = b"".join(wavelet_bytes(tokens, arrays))
     return WaveletFile(lambda at, size: data[at : at + size], len(data))
 
 
@@ -28,7 +28,7 @@ def stored(tokens, bits, **arrays):
 def test_questions_equal_a_plain_array(n, bits):
     rng = np.random.default_rng(n)
     tokens = (rng.zipf(1.2, n) % (1 << bits)).astype(np.uint32)
-    file = stored(tokens, bits, extra=np.arange(3))
+    file = stored(tokens, extra=np.arange(3))
     assert (file.tokens() == tokens).all() and list(file.arrays["extra"]) == [0, 1, 2]
     assert file.count(1 << bits) == 0 and list(file.occurrences(1 << bits)) == []
     if not n:
@@ -51,7 +51,7 @@ def test_questions_equal_a_plain_array(n, bits):
 
 def test_a_few_questions_read_a_few_blocks():
     tokens = np.random.default_rng(1).integers(0, 50_000, 1_000_000).astype(np.uint32)
-    data = b"".join(wavelet_bytes(tokens, 16, {}))
+    data = b"".join(wavelet_bytes(tokens, {}))
     read = []
     file = WaveletFile(lambda at, size: (read.append(size), data[at : at + size])[1], len(data))
     file.access([777_777])
