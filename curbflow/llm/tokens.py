@@ -11,9 +11,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PARTS = 2_000_000
+PARTS = 1_000_000
 PIECE = 1 << 21
 _TOGETHER = 200
+_GATHERED = 1 << 18
 
 # White space of any kind, as Python and the tokenizers see it together.
 _WHITE = r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -112,20 +113,26 @@ class _Table:
 
     def __init__(self):
         self.ids = np.empty(0, np.int32)
-        self.starts = np.empty(0, np.int64)
-        self.sizes = np.empty(0, np.int64)
+        self.starts = np.empty(0, np.int32)
+        self.sizes = np.empty(0, np.int32)
 
     def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        starts = (len(self.ids) + np.cumsum(sizes) - sizes).astype(np.int32)
         self.ids, self.starts = np.concatenate([self.ids, ids]), np.concatenate([self.starts, starts])
-        self.sizes = np.concatenate([self.sizes, sizes])
+        self.sizes = np.concatenate([self.sizes, sizes.astype(np.int32)])
 
     def of(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of the parts one after the other, number of ids of each part)."""
+        """(ids of the parts one after the other, number of ids of each part); works through some parts at a time."""
         sizes = self.sizes[codes]
-        total = np.cumsum(sizes)
-        first = np.repeat(self.starts[codes] - total + sizes, sizes)
-        return self.ids[first + np.arange(len(first))], sizes
+        out, at = np.empty(int(sizes.sum(dtype=np.int64)), np.int32), 0
+        for start in range(0, len(codes), _GATHERED):
+            own = sizes[start : start + _GATHERED]
+            total = np.cumsum(own)
+            first = np.repeat(self.starts[codes[start : start + _GATHERED]] - total + own, own)
+            first += np.arange(len(first), dtype=np.int32)
+            out[at : at + len(first)] = self.ids[first]
+            at += len(first)
+        return out, sizes
 
 
 class PartEncoder:
@@ -159,7 +166,7 @@ class PartEncoder:
             for table, encode in zip(self.tables, self.encoders):
                 table.add(*encode(spaced))
             codes = pc.index_in(parts, value_set=self.known)
-        return codes.to_numpy().astype(np.int64)
+        return codes.to_numpy()
 
     def _gather(self, codes: np.ndarray, parts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per encoder (ids, number of ids of each text) of texts with so many parts."""
