@@ -52,7 +52,8 @@ def byte_bpe(file: str, special_as_text: bool = True) -> Encoder:
     opens[[i for entry, i in tokenizer.get_vocab().items() if entry.startswith("\u0120")]] = True
 
     def single(parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return _flat([e.ids for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)])
+        some = (parts[at : at + _TOGETHER] for at in range(0, len(parts), _TOGETHER))
+        return _flat([e.ids for own in some for e in tokenizer.encode_batch_fast(own, add_special_tokens=False)])
 
     def encode(parts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         several = pc.match_substring_regex(parts, _NOT_PLAIN).to_numpy(zero_copy_only=False)
@@ -61,9 +62,8 @@ def byte_bpe(file: str, special_as_text: bool = True) -> Encoder:
         sizes = np.zeros(len(parts), np.int64)
         found: list[tuple[list[int], np.ndarray]] = []
         alone = np.flatnonzero(several).tolist()
-        joined = ["".join([texts[k] for k in g]) for g in groups]
-        for group, encoding in zip(groups, tokenizer.encode_batch_fast(joined, add_special_tokens=False)):
-            ids = np.array(encoding.ids, np.int32)
+        for group in groups:  # an encoding holds far more than its ids, so one at a time
+            ids = np.array(tokenizer.encode_batch_fast(["".join([texts[k] for k in group])], add_special_tokens=False)[0].ids, np.int32)
             starts = np.flatnonzero(opens[ids])
             if len(starts) != len(group):
                 alone += group
