@@ -193,6 +193,7 @@ def _per_file(spark: SparkSession, path: str, fn, schema: str, columns: list[tup
                 for rows in fn(fs, f"{root}/{name}", start, digest):
                     if rows:
                         yield _batch(rows, columns)
+                pa.default_memory_pool().release_unused()
 
     count = max(1, files.count())
     return map_arrow(files.select("file", "start", "sha256").repartition(count, "file"), over, schema)

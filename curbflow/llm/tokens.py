@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 
 PARTS = 1_000_000
 PIECE = 1 << 21
+BLOCK_BYTES = 12 << 20
 _TOGETHER = 200
 _GATHERED = 1 << 18
 
@@ -220,6 +221,13 @@ class PartEncoder:
     def __call__(self, texts: list[str] | pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per encoder (ids of the texts, one after the other; number of ids of each text)."""
         texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        block = np.cumsum(pc.binary_length(texts).to_numpy()) // BLOCK_BYTES if len(texts) else np.zeros(1, np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(texts)]
+        parts = [self._encoded(texts.slice(start, stop - start)) for start, stop in zip(cuts, cuts[1:])]
+        pa.default_memory_pool().release_unused()
+        return [tuple(np.concatenate(arrays) for arrays in zip(*own)) for own in zip(*parts)]
+
+    def _encoded(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         unlike = pc.or_(pc.match_substring_regex(texts, _UNLIKE), pc.greater(pc.binary_length(texts), PIECE))
         if not pc.any(unlike).as_py():
             return self._alike(texts) if len(texts) else self._unlike([])
