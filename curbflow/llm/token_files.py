@@ -143,7 +143,7 @@ def write_token_files(
         if writer.ids:
             yield _batch([writer.close()], _MANIFEST_ARROW)
 
-    keyed = rows.withColumn("digest", F.unhex(F.md5("text"))).withColumn("row", F.monotonically_increasing_id())
+    keyed = rows.withColumn("digest", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
     order = [F.col("id").asc_nulls_last(), F.col("digest").asc(), F.col("row").asc()]
     sorted_rows = keyed.repartitionByRange(shards, *order).sortWithinPartitions(*order).select("id", "text")
     map_arrow(sorted_rows, write, _MANIFEST).write.parquet(f"{path.rstrip('/')}/{run}/manifest")

@@ -7,6 +7,7 @@ from glob import glob
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from curbflow.llm import tokens as parts
@@ -93,11 +94,9 @@ def test_parts_give_the_ids_of_whole_texts(monkeypatch):
 
 def brute(rows):
     """(doc_id, start, n_tokens, crc) with a plain tokenizer, in the order the files have."""
-    import hashlib
-
     tokenizer = Tokenizer.from_file(FILE)
     at, out = 0, []
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, hashlib.md5((r[1] or "").encode()).digest())):
+    for doc_id, text in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, np.uint64(xxhash.xxh64_intdigest((r[1] or "").encode(), 42)).astype(np.int64))):
         ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
         out.append((doc_id, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
