@@ -1,0 +1,111 @@
+"""Trip files whose columns differ in type: grouped by footers, widened by the scan or cast, filters still pushed."""
+
+import re
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from curbflow import operators as ops
+from curbflow import sources
+from curbflow.sources import trips as reading
+from curbflow.spec import DemandSpec
+
+SPEC = DemandSpec()
+WHEN = datetime(2025, 1, 2, 3, 4)
+ROWS = [(1, 5, 2.5), (2, 6, None), (None, 7, 3.0), (3, None, 0.0)]
+
+
+def month(spark, path, name, vendor="int", zone="int", distance="double", time="timestamp_ntz", **extra):
+    df = spark.createDataFrame([(v, WHEN, z, d) for v, z, d in ROWS], "VendorID long, tpep_pickup_datetime timestamp, PULocationID long, trip_distance double")
+    casts = {"VendorID": vendor, "PULocationID": zone, "trip_distance": distance, "tpep_pickup_datetime": time}
+    df = df.withColumns({c: F.col(c).cast(t) for c, t in casts.items()}).withColumns({c: F.lit("7").cast(t) for c, t in extra.items()})
+    df.coalesce(1).write.parquet(f"{path}/{name}")
+
+
+def values(df):
+    return sorted(((r.VendorID, r.PULocationID, r.trip_distance) for r in df.collect()), key=str)
+
+
+def plan(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def scans(df):
+    return re.findall(r"PushedFilters: (\[.*?\])\nReadSchema: (struct<.*?>)\n", plan(df))
+
+
+def test_small_types_are_widened_in_one_scan(spark, tmp_path):
+    month(spark, tmp_path, "m1")
+    month(spark, tmp_path, "m2", vendor="bigint", zone="bigint", passengers="string")
+    month(spark, tmp_path, "m3", zone="double", distance="float", passengers="int")
+    trips = sources.read_trips(spark, f"file://{tmp_path}/*")
+    assert dict(trips.dtypes) == {
+        "VendorID": "bigint", "tpep_pickup_datetime": "timestamp_ntz", "trip_distance": "double", "PULocationID": "double",
+    }
+    want = sorted(3 * [(v, None if z is None else float(z), d) for v, z, d in ROWS], key=str)
+    assert values(trips) == want
+    found = scans(ops.clean_trips(trips))
+    assert len(found) == 2  # a long column can't become a broken number in the scan
+    for pushed, schema in found:
+        assert "IsNotNull(tpep_pickup_datetime)" in pushed and "GreaterThan(trip_distance,0.0)" in pushed
+        assert schema.count(":") == 4 and "passengers" not in schema
+    assert ops.demand_from_trips(trips).count() == len({z for _, z, d in ROWS if z is not None and (d or 0) > 0})
+
+
+def test_whole_numbers_alone_need_no_second_scan(spark, tmp_path):
+    month(spark, tmp_path, "m1")
+    month(spark, tmp_path, "m2", vendor="bigint", zone="smallint")
+    trips = sources.read_trips(spark, [f"{tmp_path}/m1", f"{tmp_path}/m2"])
+    assert dict(trips.dtypes)["VendorID"] == "bigint" and dict(trips.dtypes)["PULocationID"] == "int"
+    ((pushed, schema),) = scans(ops.clean_trips(trips))
+    assert "IsNotNull(PULocationID)" in pushed and schema.count(":") == 4
+    assert values(trips) == sorted(2 * ROWS, key=str)
+
+
+def test_times_decimals_and_columns_without_a_common_type(spark, tmp_path):
+    month(spark, tmp_path / "a", "m1", distance="decimal(5,2)")
+    month(spark, tmp_path / "a", "m2", distance="decimal(8,1)", time="timestamp")
+    trips = sources.read_trips(spark, f"{tmp_path}/a/*")
+    assert dict(trips.dtypes)["trip_distance"] == "decimal(9,2)" and dict(trips.dtypes)["tpep_pickup_datetime"] == "timestamp"
+    assert {r.tpep_pickup_datetime for r in trips.collect()} == {WHEN}
+    month(spark, tmp_path / "b", "m1")
+    month(spark, tmp_path / "b", "m2", zone="string")
+    with pytest.raises(ValueError, match="PULocationID"):
+        sources.read_trips(spark, f"{tmp_path}/b/*")
+    month(spark, tmp_path / "c", "m1")
+    month(spark, tmp_path / "c", "m2", vendor="bigint")
+    spark.read.parquet(f"{tmp_path}/c/m1").drop("trip_distance").withColumn("VendorID", F.lit(1.5)).write.parquet(f"{tmp_path}/c/m3")
+    with pytest.raises(ValueError, match="missing columns.*trip_distance"):
+        sources.read_trips(spark, f"{tmp_path}/c/*")
+
+
+def test_types_that_alternate_are_grouped(spark, tmp_path):
+    for i in range(6):
+        month(spark, tmp_path, f"m{i}", vendor="bigint" if i % 2 else "int")
+    files = reading.list_files(spark, [f"{tmp_path}/*"])
+    groups = reading.schema_groups(spark, files, SPEC.columns)
+    assert sorted(len(f) for _, f in groups) == [3, 3] and sorted(f for _, own in groups for f in own) == files
+    assert sources.read_trips(spark, f"{tmp_path}/*").count() == 6 * len(ROWS)
+
+
+@pytest.mark.parametrize("types,want", [
+    (["int", "int"], "int"), (["int", "smallint", "bigint"], "bigint"), (["bigint", "double"], "double"), (["float", "int"], "double"),
+    (["decimal(10,2)", "int"], "decimal(12,2)"), (["decimal(38,10)", "bigint"], "decimal(38,10)"), (["decimal(38,2)", "decimal(10,8)"], "double"),
+    (["timestamp", "timestamp_ntz"], "timestamp"), (["string", "int"], None), (["date", "timestamp"], None),
+])
+def test_common_types(types, want):
+    parsed = [T.StructType.fromDDL(f"c {t}")["c"].dataType for t in types]
+    kind = reading.common_type(parsed)
+    assert (kind and kind.simpleString()) == want
+
+
+def test_explore_returns_frames(spark, tmp_path):
+    spark.range(40).withColumn("v", F.lit("a")).write.parquet(f"{tmp_path}/t")
+    schema, rows = sources.explore(spark, f"{tmp_path}/t", rows=3, order_by=["id"], show=False)
+    assert [(r.position, r.column_name, r.data_type) for r in schema.collect()] == [(0, "id", "bigint"), (1, "v", "string")]
+    assert [r.id for r in rows.collect()] == [0, 1, 2]
+    assert sources.explore(spark, f"{tmp_path}/t", show=False)[1].count() == 5
+    with pytest.raises(ValueError, match="missing columns"):
+        sources.explore(spark, f"{tmp_path}/t", order_by=["no"], show=False)

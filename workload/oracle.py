@@ -112,6 +112,12 @@ GROUP BY 1, 2, 3"""
 
 ORACLE: dict[str, str] = {
     "scan_trips": "SELECT l_linenumber, l_shipdate, l_quantity, l_suppkey FROM lineitem",
+    "scan_unlike_types": """SELECT CAST(l_linenumber AS DOUBLE) AS l_linenumber, l_shipdate, l_quantity, CAST(l_suppkey AS BIGINT) AS l_suppkey
+FROM lineitem""",
+    "explore_types": """SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+  WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type
+FROM (DESCRIBE SELECT * FROM events)""",
+    "explore_rows": "SELECT * FROM events ORDER BY ts, event_id LIMIT 5",
     "preview_head": "SELECT * FROM events ORDER BY ts, event_id LIMIT 5",
     "clean_trips": f"""WITH {_CLEAN}
 SELECT vendor_id, pickup_ts, CAST(trip_distance AS DOUBLE) AS trip_distance, zone_id FROM clean""",
@@ -131,6 +137,7 @@ SELECT count(*) AS input_rows,
 FROM trips""",
     "demand_hourly": f"WITH {_DEMAND} SELECT * FROM demand",
     "demand_lineitem": _LINE_DEMAND,
+    "demand_unlike_types": _LINE_DEMAND,
     "demand_audited": f"""WITH {_TRIPS},
 reasons AS (
   SELECT *, CASE WHEN pickup_ts IS NULL THEN 'missing_time' WHEN NOT trip_distance > 0 THEN 'bad_distance'

@@ -57,6 +57,34 @@ def scan_trips(spark, sf_dir):
     return sources.read_trips(spark, [f"{sf_dir}/lineitem*.parquet"], t.LINE_SPEC)
 
 
+@query
+def scan_unlike_types(spark, sf_dir):
+    """The scan over files whose columns differ in type."""
+    path = scratch_path(spark, "unlike")
+    t.unlike_lines(spark, sf_dir, path)
+    return sources.read_trips(spark, [f"{path}/kind*/*.parquet"], t.LINE_SPEC)
+
+
+@query
+def demand_unlike_types(spark, sf_dir):
+    """Demand of such files."""
+    path = scratch_path(spark, "unlike")
+    t.unlike_lines(spark, sf_dir, path)
+    return ops.demand_from_trips(sources.read_trips(spark, [f"{path}/kind*"], t.LINE_SPEC), t.LINE_SPEC)
+
+
+@query
+def explore_types(spark, sf_dir):
+    """Names and types of a table, as its exploration returns them."""
+    return sources.explore(spark, f"{sf_dir}/events.parquet", show=False)[0].select("column_name", "data_type")
+
+
+@query
+def explore_rows(spark, sf_dir):
+    """The first rows of a table, as its exploration returns them."""
+    return sources.explore(spark, f"{sf_dir}/events.parquet", order_by=["ts", "event_id"], show=False)[1]
+
+
 @query
 def preview_head(spark, sf_dir):
     return sources.preview(t.table(spark, sf_dir, "events"), 5, ["ts", "event_id"])

@@ -114,3 +114,19 @@ def labelled(trips_seen: DataFrame) -> DataFrame:
         label.alias("window"), F.hour("pickup_ts").alias("pickup_hour"),
         F.col("zone_id").alias("PULocationID"), "trip_distance",
     )
+
+
+def unlike_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The line items under ``path`` as files of three kinds, whose columns differ in type as those of different years do.
+
+    By year of shipping: small whole numbers; long ones; broken numbers, as tools write that hold missing values as such.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_shipdate", "l_quantity", "l_suppkey", "l_extendedprice")
+    kind = F.year("l_shipdate") % 3
+    types = [
+        {"l_linenumber": "int", "l_suppkey": "int", "l_quantity": "double"},
+        {"l_linenumber": "bigint", "l_suppkey": "bigint", "l_quantity": "double"},
+        {"l_linenumber": "double", "l_suppkey": "int", "l_quantity": "float", "l_extendedprice": "string"},
+    ]
+    for i, casts in enumerate(types):
+        lines.where(kind == i).withColumns({c: F.col(c).cast(t) for c, t in casts.items()}).write.parquet(f"{path}/kind{i}")
