@@ -18,7 +18,7 @@ from curbflow.streaming import start_demand_stream
 
 def _etl(spark: SparkSession, args: argparse.Namespace) -> None:
     spec = DemandSpec(args.time_col, args.zone_col, args.distance_col, args.count_col)
-    report = run_etl(spark, args.input, args.output, spec, not args.no_audit, args.files)
+    report = run_etl(spark, args.input, args.output, spec, not args.no_audit, args.files, args.first_date, args.last_date)
     if report is not None:
         print(report.asDict())
 
@@ -91,7 +91,9 @@ def parser() -> argparse.ArgumentParser:
     etl = with_columns(jobs.add_parser("etl", help="raw trips to an hourly demand table"))
     etl.add_argument("--input", nargs="+", required=True)
     etl.add_argument("--output", required=True)
-    etl.add_argument("--files", type=int, help="so many files instead of a folder per date")
+    etl.add_argument("--files", type=int, help="so many files instead of a folder per month")
+    etl.add_argument("--first-date", type=date.fromisoformat, help="replace the dates from here")
+    etl.add_argument("--last-date", type=date.fromisoformat, help="to here, and leave all others")
     etl.add_argument("--no-audit", action="store_true")
     etl.set_defaults(job=_etl)
 

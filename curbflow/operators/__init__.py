@@ -1,4 +1,4 @@
-from curbflow.operators.clean import REJECT_REASONS, audited_demand, clean_trips, quality_report
+from curbflow.operators.clean import REJECT_REASONS, audited_demand, clean_trips, picked_up_between, quality_report
 from curbflow.operators.demand import (
     add_trip_features,
     demand_by_window,
@@ -38,7 +38,7 @@ __all__ = [
     "clean_trips", "demand_by_window", "demand_from_trips", "enrich_with_zone", "feature_matrix",
     "fit_demand_model", "fresh_predictions", "holdout_split", "hourly_demand", "is_train_row",
     "list_zones", "load_model", "lookup_join", "lookup_zones", "merge_demand", "model_features",
-    "normalize_stream_demand", "probe_cache", "quality_report", "regression_metrics", "rollup_demand",
+    "normalize_stream_demand", "picked_up_between", "probe_cache", "quality_report", "regression_metrics", "rollup_demand",
     "save_model", "score_all", "score_requests", "target_stats", "to_response", "validate_requests",
     "zone_counts", "zone_dimension",
 ]

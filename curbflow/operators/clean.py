@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,17 @@ def clean_trips(trips: DataFrame, spec: DemandSpec = DemandSpec()) -> DataFrame:
     )
 
 
+def picked_up_between(trips: DataFrame, first: date, last: date, spec: DemandSpec = DemandSpec()) -> DataFrame:
+    """Trips picked up from the start of ``first`` to the end of ``last``; both bounds reach a Parquet scan.
+
+    Zoned times are compared in the session's zone.
+    """
+    spec.check(trips)
+    kind = trips.schema[spec.ts_col].dataType
+    start, end = (F.lit(d.isoformat()).cast(kind) for d in (first, last + timedelta(days=1)))
+    return trips.filter((F.col(spec.ts_col) >= start) & (F.col(spec.ts_col) < end))
+
+
 def _reject_reason(spec: DemandSpec) -> Column:
     time, distance, zone = REJECT_REASONS
     return (

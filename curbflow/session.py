@@ -57,6 +57,13 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Sorted names in a folder; none where it is absent."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
 def rename_path(spark: SparkSession, path: str, new_path: str) -> None:
     """Rename a folder; ``OSError`` if the file system refuses."""
     make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path

@@ -58,8 +58,8 @@ def test_demand_round_trip_by_date_and_in_one_file(spark, tmp_path):
         assert back.dtypes == df.dtypes
         assert found(back) == sorted(rows, key=str)
     assert len(glob(f"{tmp_path}/d1/*.parquet")) == 1
-    assert sorted(p.rsplit("/", 1)[1] for p in glob(f"{tmp_path}/dNone/date_str=*")) == [
-        "date_str=2025-01-05", "date_str=__HIVE_DEFAULT_PARTITION__",
+    assert sorted(p.rsplit("/", 1)[1] for p in glob(f"{tmp_path}/dNone/demand_month=*")) == [
+        "demand_month=202501", "demand_month=__HIVE_DEFAULT_PARTITION__",
     ]
 
 
@@ -73,12 +73,78 @@ def test_equal_arguments_give_an_equal_layout(spark, tmp_path):
     assert sources.read_demand(spark, f"{tmp_path}/d").count() == 240
 
 
-def test_date_folders_prune(spark, tmp_path):
-    sources.write_demand(demand(spark, (DAY, 1, 1, 1, 1.0), (date(2025, 1, 6), 1, 1, 1, 1.0)), f"{tmp_path}/d")
-    one = sources.read_demand(spark, f"{tmp_path}/d").filter(F.col("date_str") == DAY)
-    plan = one._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date_str" in plan
-    assert one.count() == 1
+def test_month_folders_prune(spark, tmp_path):
+    later = date(2025, 2, 6)
+    sources.write_demand(demand(spark, (DAY, 1, 1, 1, 1.0), (later, 1, 1, 1, 1.0)), f"{tmp_path}/d")
+    for one in (sources.read_demand(spark, f"{tmp_path}/d", DAY, DAY), sources.load_demand(spark, f"{tmp_path}/d", None, DAY, DAY)):
+        plan = one._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(demand_month" in plan and "GreaterThanOrEqual(date_str" in plan
+        assert [r.date_str for r in one.collect()] == [DAY] and len(one.inputFiles()) == 2
+    assert sources.read_demand(spark, f"{tmp_path}/d", DAY).count() == 2
+    assert sources.read_demand(spark, f"{tmp_path}/d", None, DAY).count() == 1
+
+
+def test_dates_within_a_file_are_sorted_and_small_months_share_tasks(spark, tmp_path):
+    rows = [(DAY + timedelta(days=d), h, z, 1, 0.5) for d in range(700) for h in (3, 9) for z in (1, 2)]
+    sources.write_demand(demand(spark, *rows).repartition(8), f"{tmp_path}/d")
+    files = glob(f"{tmp_path}/d/*/*.parquet")
+    assert len(files) == len(glob(f"{tmp_path}/d/demand_month=*")) == 24
+    for file in files[:3]:
+        dates = [r[0] for r in spark.read.parquet(file).select("date_str").collect()]
+        assert dates == sorted(dates)
+
+
+def test_only_the_dates_of_a_run_are_replaced(spark, tmp_path):
+    path = f"{tmp_path}/d"
+    days = [date(2025, 1, 30) + timedelta(days=d) for d in range(40)]  # 30 January to 10 March
+    old = [(d, 1, 1, 1, 1.0) for d in days]
+    first, last = date(2025, 1, 31), date(2025, 3, 2)
+    new = [(d, 2, 2, 5, 2.0) for d in days if first <= d <= last and d.day % 2]
+    sources.replace_dates(demand(spark, *old), path, days[0], days[-1])
+    sources.write_demand(demand(spark, *old), path)
+    untouched = glob(f"{path}/demand_month=202503/*.parquet")
+    sources.replace_dates(demand(spark, *new), path, first, last)
+    assert found(sources.read_demand(spark, path)) == sorted([r for r in old if not first <= r[0] <= last] + new, key=str)
+    sources.replace_dates(demand(spark, (days[1], 7, 7, 7, 7.0)), path, date(2025, 1, 31), date(2025, 2, 28))
+    assert {r.date_str for r in sources.read_demand(spark, path, date(2025, 1, 1), date(2025, 2, 28)).collect()} == {days[0], days[1]}
+    assert glob(f"{path}/demand_month=202502") == []  # nothing is left of it
+    sources.replace_dates(demand(spark), path, date(2025, 1, 1), date(2025, 12, 31))
+    assert glob(f"{path}/demand_month=*") == [] and untouched
+
+
+def test_months_outside_the_range_are_not_touched(spark, tmp_path):
+    path = f"{tmp_path}/d"
+    sources.write_demand(demand(spark, (DAY, 1, 1, 1, 1.0), (date(2025, 2, 5), 1, 1, 1, 1.0)), path)
+    before = {p: open(p, "rb").read() for p in glob(f"{path}/demand_month=202502/*.parquet")}
+    sources.replace_dates(demand(spark, (DAY, 2, 1, 1, 1.0)), path, DAY, DAY)
+    assert {p: open(p, "rb").read() for p in glob(f"{path}/demand_month=202502/*.parquet")} == before
+
+
+def test_rows_outside_the_range_and_other_layouts_are_refused(spark, tmp_path):
+    for day in (date(2025, 2, 5), None):
+        with pytest.raises(Exception, match="demand outside"):
+            sources.replace_dates(demand(spark, (day, 1, 1, 1, 1.0)), f"{tmp_path}/d", DAY, DAY)
+    with pytest.raises(ValueError, match="no dates"):
+        sources.replace_dates(demand(spark), f"{tmp_path}/d", DAY, DAY - timedelta(days=1))
+    sources.write_demand(demand(spark, (DAY, 1, 1, 1, 1.0)), f"{tmp_path}/f", files=1)
+    with pytest.raises(ValueError, match="by months"):
+        sources.replace_dates(demand(spark, (DAY, 1, 1, 1, 1.0)), f"{tmp_path}/f", DAY, DAY)
+
+
+def test_the_job_reads_and_replaces_a_range(spark, tmp_path):
+    monday = SUNDAY + timedelta(days=1)
+    trips(spark, (1, SUNDAY, 1.5, 7), (1, monday, 2.5, 7), (1, monday, -1.0, 7)).write.parquet(f"{tmp_path}/in")
+    trips(spark, (1, SUNDAY, 9.0, 8), (1, monday, 4.0, 8)).write.parquet(f"{tmp_path}/late")
+    run_etl(spark, f"{tmp_path}/in", f"{tmp_path}/d")
+    report = run_etl(spark, f"{tmp_path}/late", f"{tmp_path}/d", first_date=monday.date(), last_date=monday.date())
+    assert (report["input_rows"], report["demand_rows"]) == (1, 1)
+    assert found(sources.read_demand(spark, f"{tmp_path}/d")) == [(DAY, 16, 7, 1, 1.5), (monday.date(), 16, 8, 1, 4.0)]
+    run_etl(spark, f"{tmp_path}/late", f"{tmp_path}/d", audit=False, first_date=DAY, last_date=DAY)
+    assert found(sources.read_demand(spark, f"{tmp_path}/d"))[0] == (DAY, 16, 8, 1, 9.0)
+    with pytest.raises(ValueError, match="first and its last"):
+        run_etl(spark, f"{tmp_path}/in", f"{tmp_path}/d", first_date=DAY)
+    with pytest.raises(ValueError, match="without folders"):
+        run_etl(spark, f"{tmp_path}/in", f"{tmp_path}/d", files=1, first_date=DAY, last_date=DAY)
 
 
 def test_optional_source_is_none_when_absent_or_empty_but_other_errors_are_raised(spark, tmp_path):

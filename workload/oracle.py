@@ -138,6 +138,13 @@ FROM trips""",
     "demand_hourly": f"WITH {_DEMAND} SELECT * FROM demand",
     "demand_lineitem": _LINE_DEMAND,
     "demand_unlike_types": _LINE_DEMAND,
+    "demand_etl_periods": _LINE_DEMAND,
+    "demand_period_again": f"""WITH {_CLEAN}
+SELECT date_str, pickup_hour, zone_id AS PULocationID, count(vendor_id) AS trip_count, CAST(sum(trip_distance) AS DOUBLE) AS avg_distance
+FROM clean
+WHERE date_str NOT BETWEEN DATE '2024-01-11' AND DATE '2024-01-20' OR event_type NOT IN ('view', 'error')
+GROUP BY date_str, pickup_hour, zone_id""",
+    "demand_range": f"SELECT * FROM ({_LINE_DEMAND}) WHERE date_str BETWEEN DATE '1996-02-10' AND DATE '1997-02-09'",
     "demand_audited": f"""WITH {_TRIPS},
 reasons AS (
   SELECT *, CASE WHEN pickup_ts IS NULL THEN 'missing_time' WHEN NOT trip_distance > 0 THEN 'bad_distance'

@@ -7,6 +7,7 @@ not depend on the order of additions.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
@@ -154,6 +155,40 @@ def demand_etl(spark, sf_dir):
     return sources.read_demand(spark, path)
 
 
+@query
+def demand_etl_periods(spark, sf_dir):
+    """The job over two overlapping ranges of dates, in place of a table with a day's shift: equal to one run over all."""
+    path, source = scratch_path(spark, "periods"), f"{sf_dir}/lineitem.parquet"
+    first, last = sources.read_trips(spark, source, t.LINE_SPEC).agg(
+        F.min(F.col("l_shipdate").cast("date")), F.max(F.col("l_shipdate").cast("date"))
+    ).first()
+    stale = ops.demand_from_trips(sources.read_trips(spark, source, t.LINE_SPEC), t.LINE_SPEC)
+    sources.write_demand(stale.withColumn("date_str", F.date_add("date_str", 1)), path)
+    middle = first + (last - first) / 2
+    for start, end in ((middle - timedelta(days=90), last + timedelta(days=1)), (first, middle)):
+        run_etl(spark, source, path, t.LINE_SPEC, first_date=start, last_date=end)
+    return sources.read_demand(spark, path)
+
+
+@query
+def demand_period_again(spark, sf_dir):
+    """Ten days of the table made again from the batch trips alone; the other days stay as they were."""
+    path, everything, batch = (scratch_path(spark, name) for name in ("again", "trips", "trips-batch"))
+    t.trips(spark, sf_dir).write.parquet(everything)
+    t.batch_trips(spark, sf_dir).write.parquet(batch)
+    run_etl(spark, everything, path, t.EVENT_SPEC)
+    run_etl(spark, batch, path, t.EVENT_SPEC, first_date=date(2024, 1, 11), last_date=date(2024, 1, 20))
+    return _plain(sources.read_demand(spark, path))
+
+
+@query
+def demand_range(spark, sf_dir):
+    """A range of dates read from a written table: other months' folders are skipped."""
+    path = scratch_path(spark, "range")
+    run_etl(spark, f"{sf_dir}/lineitem.parquet", path, t.LINE_SPEC, audit=False)
+    return sources.read_demand(spark, path, date(1996, 2, 10), date(1997, 2, 9))
+
+
 @query
 def demand_one_file(spark, sf_dir):
     """Demand of the events in the layout without folders."""
