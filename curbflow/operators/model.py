@@ -8,10 +8,11 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbflow.session import ensure_checkpoint_dir
+from curbflow.operators.lookup import lookup_join
+from curbflow.session import ensure_checkpoint_dir, scratch_path
 from curbflow.spec import FEATURES, TARGET, require_columns
 
 _WEIGHT = "weight"
@@ -76,6 +77,56 @@ def regression_metrics(scored: DataFrame, target: str = TARGET, prediction: str
     )
 
 
+def model_nodes(model: PipelineModel) -> DataFrame:
+    """The trees as a table: (tree, weight, node, left, right, feature, threshold, value), one row per node.
+
+    A leaf has no children and predicts ``value``; another node sends rows whose ``feature`` is at most ``threshold`` to
+    ``left``. The table comes from the model's own saved form, written to the shared folder, and is bounded by the number of rounds
+    and the depth, not by the data.
+    """
+    trees = model.stages[-1]
+    spark = SparkSession.active()
+    path = scratch_path(spark, "model-nodes")
+    trees.write().save(path)
+    weights = spark.read.parquet(f"{path}/treesMetadata")
+    number, _, weight = weights.columns
+    node = F.col("nodeData")
+    names = F.array(*[F.lit(name) for name in model_features(model)])
+    inner = node["leftChild"] >= 0
+    return spark.read.parquet(f"{path}/data").withColumnRenamed("treeID", "tree").join(
+        F.broadcast(weights.select(F.col(number).cast("int").alias("tree"), F.col(weight).cast("double").alias("weight"))), "tree"
+    ).select(
+        "tree", "weight", node["id"].alias("node"), F.when(inner, node["leftChild"]).alias("left"), F.when(inner, node["rightChild"]).alias("right"),
+        F.when(inner, F.get(names, node["split"]["featureIndex"])).alias("feature"),
+        F.when(inner, F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0))).alias("threshold"), node["prediction"].alias("value"),
+    )
+
+
+def predict_by_nodes(rows: DataFrame, nodes: DataFrame, features: Sequence[str], depth: int) -> DataFrame:
+    """``rows`` with the ``prediction`` of the trees in ``nodes``, by joins alone: no model object is needed.
+
+    Each combination of features walks down all trees at once, a level a join with the broadcast nodes; rows then look
+    their combination up. Rows that lack a feature get no prediction.
+    """
+    require_columns(rows, features)
+    held = stage_nodes(nodes)
+    trees = [row[0] for row in held.select("tree").distinct().collect()]
+    place = rows.select(*features).dropna().distinct().withColumn("tree", F.explode(F.lit(trees))).withColumn("at", F.lit(0))
+    at_node = F.broadcast(held.withColumnRenamed("node", "at"))
+    own = F.coalesce(*[F.when(F.col("feature") == name, F.col(name).cast("double")) for name in features])
+    down = F.when(F.col("left").isNull(), F.col("at")).when(own <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
+    for _ in range(depth):
+        place = place.join(at_node, ["tree", "at"]).select(*features, "tree", down.alias("at"))
+    ends = place.join(at_node, ["tree", "at"])
+    totals = ends.groupBy(*features).agg(F.sum(F.col("weight") * F.col("value")).alias("prediction"))
+    return lookup_join(rows, totals, list(features))
+
+
+def stage_nodes(nodes: DataFrame) -> DataFrame:
+    """The node table as plain rows: its size is bounded by the model, and every level reads it."""
+    return nodes.sparkSession.createDataFrame(nodes.collect(), nodes.schema)
+
+
 def model_features(model: PipelineModel) -> list[str]:
     """Ordered input columns, as stored in the model's assembler stage."""
     return list(model.stages[0].getInputCols())

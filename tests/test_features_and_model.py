@@ -2,6 +2,7 @@
 
 from datetime import date, datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from curbflow.operators import (
     is_train_row,
     load_model,
     model_features,
+    model_nodes,
+    predict_by_nodes,
     regression_metrics,
     save_model,
     target_stats,
@@ -139,3 +142,54 @@ def test_older_model_uses_hour_and_zone_only(signal):
     model = fit_demand_model(holdout_split(signal)[0], HOUR_ZONE_FEATURES, rounds=2)
     assert model_features(model) == ["pickup_hour", "PULocationID"]
     assert "prediction" in model.transform(signal).columns
+
+
+def test_the_node_table_predicts_what_the_model_does(signal, trained):
+    model = trained[0].model
+    nodes = model_nodes(model)
+    assert nodes.select("tree").distinct().count() == 5
+    assert nodes.where("left is null and (feature is not null or threshold is not null)").isEmpty()
+    rows = add_date_features(signal).unionByName(add_date_features(signal.limit(3)).withColumn("month", F.lit(None).cast("int")))
+    pairs = predict_by_nodes(rows, nodes, FEATURES, depth=6)
+    assert pairs.where("month is null and prediction is null").count() == 3
+    own = model.transform(rows.dropna()).select(*DEMAND_KEYS, F.col("prediction").alias("p"))
+    both = own.join(pairs.dropna(), list(DEMAND_KEYS))
+    assert both.count() >= signal.count() and both.where(F.abs(F.col("p") - F.col("prediction")) > 1e-9).isEmpty()
+
+
+def test_the_first_cut_is_the_best_of_all_cuts(signal):
+    """The splits of a fit against a plain search over every cut of every feature, level by level."""
+    rows = combine_equal_rows(add_date_features(signal).withColumn("trip_count", F.col("trip_count") + F.xxhash64("pickup_hour", "month") % 5), FEATURES)
+    table = rows.toPandas()
+    model = fit_demand_model(add_date_features(signal).withColumn("trip_count", F.col("trip_count") + F.xxhash64("pickup_hour", "month") % 5), rounds=1, depth=2)
+    nodes = {r.node: r for r in model_nodes(model).collect()}
+
+    def best(part):
+        def spread(p):
+            mean = np.average(p["trip_count"], weights=p["weight"])
+            return float((p["weight"] * (p["trip_count"] - mean) ** 2).sum())
+
+        found = []
+        for feature in FEATURES:
+            values = sorted(table[feature].unique())
+            for low, high in zip(values, values[1:]):
+                cut = (low + high) / 2
+                left, right = part[part[feature] <= cut], part[part[feature] > cut]
+                if len(left) and len(right):
+                    found.append((spread(part) - spread(left) - spread(right), feature, cut))
+        return max(found)[0], spread(part)
+
+    def check(node, part):
+        own = nodes[node]
+        assert own.value == pytest.approx(np.average(part["trip_count"], weights=part["weight"]))
+        if own.left is None:
+            return
+        left, right = part[part[own.feature] <= own.threshold], part[part[own.feature] > own.threshold]
+        mean = lambda p: np.average(p["trip_count"], weights=p["weight"])
+        fall = sum(float((p["weight"] * (p["trip_count"] - mean(p)) ** 2).sum()) for p in (left, right))
+        gain, whole = best(part)
+        assert whole - fall == pytest.approx(gain)
+        check(own.left, left)
+        check(own.right, right)
+
+    check(0, table)

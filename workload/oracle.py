@@ -242,6 +242,49 @@ SELECT zone, "hour", "date", max(prediction) AS prediction FROM scored WHERE cac
 GROUP BY zone, "hour", "date\"""",
 }
 
+_FIVE = "[dow, mon, wend, pickup_hour, PULocationID]"
+
+
+def _boosted(rounds: int, depth: int, rate: float) -> str:
+    """Boosted trees of squared error fitted in SQL: ``preds`` has a prediction ``p`` per combination of the five features.
+
+    Each level takes, per node, the cut with the greatest fall of the variance; cuts lie halfway between neighbouring values
+    of the training part. The first tree has weight 1; later ones fit twice the error and have weight ``rate``.
+    """
+    parts = [f"""WITH {_DEMAND},{_SPLIT},
+featured AS (
+  SELECT *, CAST(isodow(date_str) - 1 AS INTEGER) AS dow, CAST(month(date_str) AS INTEGER) AS mon,
+         CASE WHEN isodow(date_str) > 5 THEN 1 ELSE 0 END AS wend FROM split),
+combos AS MATERIALIZED (
+  SELECT dow, mon, wend, pickup_hour, PULocationID, CAST(count(*) FILTER (is_train) AS DOUBLE) AS w,
+         avg(trip_count) FILTER (is_train) AS y FROM featured GROUP BY ALL),
+cuts AS MATERIALIZED (
+  SELECT f, v, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2.0 AS cut
+  FROM (SELECT DISTINCT unnest([0, 1, 2, 3, 4]) AS f, unnest({_FIVE}) AS v FROM combos WHERE w > 0)),
+r0_0 AS MATERIALIZED (SELECT *, y AS r, 0.0::DOUBLE AS p, 1 AS node FROM combos)"""]
+    for k in range(rounds):
+        for level in range(depth):
+            parts.append(f"""best{k}_{level} AS MATERIALIZED (
+  SELECT node, f, cut FROM (
+    SELECT node, f, cut, row_number() OVER (PARTITION BY node ORDER BY round(gain, 10) DESC, f, v) AS place FROM (
+      SELECT node, f, v, cut, (tq - ts * ts / tw) / tw - (lq - ls * ls / lw) / tw - ((tq - lq) - (ts - ls) * (ts - ls) / (tw - lw)) / tw AS gain
+      FROM (
+        SELECT node, f, v, sum(w) OVER upto AS lw, sum(s) OVER upto AS ls, sum(q) OVER upto AS lq,
+               sum(w) OVER whole AS tw, sum(s) OVER whole AS ts, sum(q) OVER whole AS tq
+        FROM (SELECT node, f, v, sum(w) AS w, sum(w * r) AS s, sum(w * r * r) AS q
+              FROM (SELECT node, w, r, unnest([0, 1, 2, 3, 4]) AS f, unnest({_FIVE}) AS v FROM r{k}_{level} WHERE w > 0) GROUP BY node, f, v)
+        WINDOW upto AS (PARTITION BY node, f ORDER BY v), whole AS (PARTITION BY node, f))
+      JOIN cuts USING (f, v) WHERE lw < tw) WHERE gain > 0) WHERE place = 1),
+r{k}_{level + 1} AS MATERIALIZED (
+  SELECT a.* REPLACE (CASE WHEN b.f IS NULL THEN a.node ELSE a.node * 2 + CASE WHEN {_FIVE}[b.f + 1] > b.cut THEN 1 ELSE 0 END END AS node)
+  FROM r{k}_{level} a LEFT JOIN best{k}_{level} b USING (node))""")
+        weight = 1.0 if k == 0 else rate
+        parts.append(f"""leaf{k} AS MATERIALIZED (SELECT node, sum(w * r) / sum(w) AS value FROM r{k}_{depth} WHERE w > 0 GROUP BY node),
+r{k + 1}_0 AS MATERIALIZED (
+  SELECT a.* REPLACE (2 * (y - (p + {weight} * value)) AS r, p + {weight} * value AS p, 1 AS node) FROM r{k}_{depth} a JOIN leaf{k} USING (node))""")
+    return ",\n".join(parts) + f",\npreds AS (SELECT * FROM r{rounds}_0)"
+
+
 _WEEKDAY = f"""WITH {_DEMAND},{_SPLIT},
 means AS (SELECT isodow(date_str) AS d, avg(trip_count) AS mean FROM split WHERE is_train GROUP BY 1)"""
 
@@ -252,6 +295,11 @@ ORACLE |= {
     "cache_expired": f"""WITH {_CACHE}
 SELECT zone, "hour", "date", prediction FROM stored
 WHERE cached_at > TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 600 SECOND""",
+    "demand_model_features": f"""{_boosted(3, 3, 0.3)}
+SELECT date_str, pickup_hour, PULocationID, trip_count, round(p, 6) AS prediction
+FROM featured JOIN preds USING (dow, mon, wend, pickup_hour, PULocationID) WHERE NOT is_train""",
+    "demand_model_nodes": f"""WITH {_DEMAND},{_SPLIT}
+SELECT date_str, pickup_hour, PULocationID, trip_count, true AS same FROM split WHERE NOT is_train""",
     "demand_model_weekday": f"""{_WEEKDAY}
 SELECT date_str, pickup_hour, PULocationID, trip_count, round(mean, 6) AS prediction
 FROM split JOIN means ON d = isodow(date_str) WHERE NOT is_train""",

@@ -29,6 +29,8 @@ ROUNDS = 100
 # each value, and the later ones add nothing: SQL can repeat such a model.
 WEEKDAY, WEEKDAY_DEPTH = ("day_of_week",), 6
 HOUR_DEPTH = 23
+# Rounds and depth that the SQL of the five-feature model repeats.
+SQL_ROUNDS, SQL_DEPTH = 3, 3
 SEARCH = "nation_1"
 BOROUGH = "asia"
 
@@ -394,11 +396,11 @@ def regression_metrics(spark, sf_dir):
     return metrics.select(*[F.round(c, 6).alias(c) for c in metrics.columns])
 
 
-def _trained(spark: SparkSession, sf_dir: str, features=FEATURES, **options) -> tuple[PipelineModel, DataFrame]:
+def _trained(spark: SparkSession, sf_dir: str, features=FEATURES, rounds: int = ROUNDS, **options) -> tuple[PipelineModel, DataFrame]:
     """A model of the events' own demand, and the hold-out part with its predictions."""
     train, test = ops.holdout_split(ops.add_date_features(_hourly(spark, sf_dir)))
-    model = ops.fit_demand_model(train, features, rounds=ROUNDS, **options)
-    return model, model.transform(test).select(*DEMAND_KEYS, "trip_count", "prediction")
+    model = ops.fit_demand_model(train, features, rounds=rounds, **options)
+    return model, model.transform(test).select(*dict.fromkeys([*DEMAND_KEYS, *FEATURES]), "trip_count", "prediction")
 
 
 def _rounded(scored: DataFrame, *columns: str) -> DataFrame:
@@ -411,10 +413,26 @@ def demand_model(spark, sf_dir):
     return ops.regression_metrics(_trained(spark, sf_dir)[1])
 
 
+@query
+def demand_model_features(spark, sf_dir):
+    """Hold-out predictions of a few rounds over all five features, which SQL fits again."""
+    scored = _trained(spark, sf_dir, rounds=SQL_ROUNDS, depth=SQL_DEPTH)[1]
+    return _rounded(scored.select(*DEMAND_KEYS, "trip_count", "prediction"), "prediction")
+
+
+@query
+def demand_model_nodes(spark, sf_dir):
+    """Whether the table of nodes, joined to the hold-out rows, predicts what the model does."""
+    model, scored = _trained(spark, sf_dir, rounds=20)
+    again = ops.predict_by_nodes(scored.withColumnRenamed("prediction", "own"), ops.model_nodes(model), FEATURES, depth=6)
+    return again.select(*DEMAND_KEYS, "trip_count", (F.abs(F.col("own") - F.col("prediction")) < 1e-9).alias("same"))
+
+
 @query
 def demand_model_weekday(spark, sf_dir):
     """Hold-out predictions of a model of the weekday alone."""
-    return _rounded(_trained(spark, sf_dir, WEEKDAY, depth=WEEKDAY_DEPTH)[1], "prediction")
+    scored = _trained(spark, sf_dir, WEEKDAY, depth=WEEKDAY_DEPTH)[1]
+    return _rounded(scored.select(*DEMAND_KEYS, "trip_count", "prediction"), "prediction")
 
 
 @query
