@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.llm.common import map_arrow
+from curbflow.session import list_names
 
 MIN_REVISIT_BYTES = 1000
 ROLL_BYTES = 32 << 20
@@ -176,13 +177,9 @@ class _Shard:
             self._close()
         for entry in self.done:
             final = f"{self.root}/{entry['file']}"
-            there = self.fs.get_file_info(final)
-            if there.type == pafs.FileType.File and there.size != entry["bytes"]:
-                self.fs.delete_file(final)
-            if there.type == pafs.FileType.File and there.size == entry["bytes"]:
-                self.fs.delete_file(entry["temp"])  # an earlier attempt wrote the same bytes
-            else:
-                self.fs.move(entry["temp"], final)
+            if self.fs.get_file_info(final).type == pafs.FileType.File:
+                self.fs.delete_file(final)  # of an earlier run, or of an attempt that wrote the same bytes
+            self.fs.move(entry["temp"], final)
         return self.done
 
 
@@ -227,7 +224,7 @@ def write_warc(
     and a new file starts before it would pass ``roll_bytes`` compressed. Files are written under
     ``_temporary`` with the number of the attempt and renamed when their shard is whole; a repeated
     task writes the same bytes again. The manifest (file, records, bytes, sha256), a Parquet
-    table written last, says which files count. Equal pages and parameters give
+    table written last, says which files count; those of an earlier run that it doesn't list go. Equal pages and parameters give
     equal files, whatever the partitions.
 
     Of records with equal payloads (SHA-256) of ``min_revisit_bytes`` or more the one with the
@@ -254,11 +251,24 @@ def write_warc(
     both = _members(rows, level).unionByName(_decisions(rows, min_revisit_bytes))
     placed = map_arrow(both, with_shard, MEMBERS + ", shard int")
     order = ["shard", F.col("id").asc_nulls_first(), "sha256", "kind", F.col("url").asc_nulls_first()]
-    sorted_rows = placed.repartitionByRange(len(bounds) + 1, "shard").sortWithinPartitions(*order)
+    sorted_rows = placed.repartitionById(len(bounds) + 1, F.col("shard")).sortWithinPartitions(*order)
     written = map_arrow(sorted_rows, _writer(target, roll_bytes, level), "file string, records long, bytes long, sha256 string")
+    earlier = list_names(spark, path)
     written.write.mode("overwrite").parquet(f"{path}/{MANIFEST}")
     fs.delete_dir(f"{root}/_temporary")
-    return spark.read.parquet(f"{path}/{MANIFEST}")
+    manifest = spark.read.parquet(f"{path}/{MANIFEST}")
+    _clear(spark, target, [n for n in earlier if n.endswith(".warc.gz")], manifest)
+    return manifest
+
+
+def _clear(spark: SparkSession, target: _Target, names: list[str], manifest: DataFrame) -> None:
+    """Delete files of an earlier run that the manifest doesn't list."""
+    if not names:
+        return
+    left = spark.createDataFrame([(n,) for n in names], "file string").join(manifest.select("file"), "file", "left_anti")
+    fs, root = target.open()
+    for row in left.toLocalIterator():
+        fs.delete_file(f"{root}/{row[0]}")
 
 
 def _fields(head: bytes) -> dict[str, str]:
@@ -287,6 +297,18 @@ def iter_records(stream) -> Iterator[tuple[dict[str, str], bytes]]:
             raw, parts = zlib.decompressobj(31), []
 
 
+class _Summed:
+    """An open file whose bytes are digested as they are read."""
+
+    def __init__(self, stream):
+        self.stream, self.sum = stream, hashlib.sha256()
+
+    def read(self, size: int) -> bytes:
+        data = self.stream.read(size)
+        self.sum.update(data)
+        return data
+
+
 def _payload(block: bytes) -> tuple[int, bytes]:
     head, _, body = block.partition(b"\r\n\r\n")
     return int(_fields(head)["content-length"]), body
@@ -297,7 +319,7 @@ def read_warc(spark: SparkSession, path: str, bodies: bool = False) -> DataFrame
 
     Files are streamed record by record. The digest and size of a response are computed
     from its body and must agree with its headers; a revisit's come from its headers.
-    ``bodies`` adds the payload itself (null for revisits).
+    A file whose bytes differ from its digest in the manifest is an error. ``bodies`` adds the payload itself (null for revisits).
     """
     target = _Target(path if "://" in path or not path.startswith("/") else f"file://{path}")
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"]
@@ -309,10 +331,12 @@ def read_warc(spark: SparkSession, path: str, bodies: bool = False) -> DataFrame
     def over(batches):
         fs, root = target.open()
         for batch in batches:
-            for file in batch.column("file").to_pylist():
+            digests = dict(zip(batch.column("file").to_pylist(), batch.column("sha256").to_pylist()))
+            for file in digests:
                 rows: list[list] = []
                 held = 0
-                with fs.open_input_stream(f"{root}/{file}", compression=None) as raw:
+                with fs.open_input_stream(f"{root}/{file}", compression=None) as opened:
+                    raw = _Summed(opened)
                     for fields, block in iter_records(raw):
                         if fields["warc-type"] == "warcinfo":
                             continue
@@ -328,9 +352,11 @@ def read_warc(spark: SparkSession, path: str, bodies: bool = False) -> DataFrame
                         if len(rows) >= 5000 or held > 8 << 20:
                             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
                             rows, held = [], 0
+                if raw.sum.hexdigest() != digests[file]:
+                    raise ValueError(f"{file} differs from the manifest")
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    files = spark.read.parquet(f"{path}/{MANIFEST}").select("file")
+    files = spark.read.parquet(f"{path}/{MANIFEST}").select("file", "sha256")
     count = max(1, files.count())
     return map_arrow(files.repartition(count, "file"), over, schema)

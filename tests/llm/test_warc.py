@@ -81,3 +81,22 @@ def test_bounds_cut_evenly(spark):
 
 def test_query_on_the_given_pages(spark, sf_dir):
     assert QUERIES["op7_warc_archive"](spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/pages.parquet").count()
+
+
+def test_a_path_written_again_holds_the_new_pages_only(spark, tmp_path):
+    path = f"file://{tmp_path}/again"
+    write_warc(pages(spark, [(i, "u", "b" * 900) for i in range(40)]), path, shards=4, roll_bytes=2000)
+    write_warc(pages(spark, [(1, "u", "b" * 1000)]), path)
+    write_warc(pages(spark, [(1, "u", "c" * 1000)]), path)
+    (row,) = read_warc(spark, path, bodies=True).collect()
+    assert bytes(row.payload) == b"c" * 1000
+    assert len(glob(f"{tmp_path}/again/*.warc.gz")) == 1
+
+
+def test_a_file_that_differs_from_the_manifest_is_noticed(spark, tmp_path):
+    write_warc(pages(spark, [(1, "u", "b" * 1000)]), f"file://{tmp_path}/m1")
+    write_warc(pages(spark, [(1, "u", "c" * 1000)]), f"file://{tmp_path}/m2")
+    (one,), (two,) = glob(f"{tmp_path}/m1/*.warc.gz"), glob(f"{tmp_path}/m2/*.warc.gz")
+    open(one, "wb").write(open(two, "rb").read())
+    with pytest.raises(Exception, match="differs from the manifest"):
+        read_warc(spark, f"file://{tmp_path}/m1").collect()
