@@ -106,85 +106,94 @@ def _located(automaton, tokens: list[bytes]) -> np.ndarray:
 
 
 def _recurring(table: pa.Table, window: int, phrase: int):
-    """(id, salt, words, their hashes, starts of windows that may recur) of a shard, document by document.
+    """(id, salt, hashes of the words, starts of windows that may recur) of a shard's documents that have such windows.
 
     The phrases of the shard that recur somewhere are compiled to one automaton, which then
-    reads every document that holds one of them.
+    reads every document that holds one of them. Each document is hashed once.
     """
     kind = table.column("kind").to_numpy()
     known = table.column("hash").filter(pa.array(kind == 0))  # before numpy: nulls would make them floats
     recurring = np.unique(known.to_numpy().view(np.uint64))
+    if not len(recurring):
+        return
     ids, salts = table.column("id").to_pylist(), table.column("salt").to_pylist()
     texts = table.column("text")
-    rows = np.flatnonzero(kind == 1).tolist()
     phrases: dict[int, bytes] = {}
-    concerned = set()
-    for row in rows:
+    concerned: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for row in np.flatnonzero(kind == 1).tolist():
         data = utf8(texts[row].as_py())
-        hashes, where = anchors(word_hashes(data), window, phrase)
-        chosen = np.unique(where)
-        if len(recurring):
-            place = np.minimum(np.searchsorted(recurring, hashes[chosen]), len(recurring) - 1)
-            chosen = chosen[recurring[place] == hashes[chosen]]
-        if len(chosen) and len(recurring):
-            concerned.add(row)
-            tokens = data.split()
-            for p, h in zip(chosen.tolist(), hashes[chosen].tolist()):
-                if h not in phrases:
-                    phrases[h] = b" ".join(tokens[p : p + phrase])
-    automaton = _automaton(list(phrases.values())) if phrases else None
-    for row in rows:
-        data = utf8(texts[row].as_py())
-        tokens = data.split()
-        starts, words = np.empty(0, np.int64), None
-        if row in concerned:
-            marks = _located(automaton, tokens)
-            words = word_hashes(data)
-            starts = np.flatnonzero(marks[anchors(words, window, phrase)[1]])
-        yield ids[row], salts[row], tokens, words, starts
+        words = word_hashes(data)
+        hashes, where = anchors(words, window, phrase)
+        chosen = where[np.flatnonzero(np.diff(where, prepend=-1))]  # places only rise
+        place = np.minimum(np.searchsorted(recurring, hashes[chosen]), len(recurring) - 1)
+        chosen = chosen[recurring[place] == hashes[chosen]]
+        if len(chosen):
+            concerned.append((row, words, where))
+            new = [(p, h) for p, h in zip(chosen.tolist(), hashes[chosen].tolist()) if h not in phrases]
+            tokens = data.split() if new else []
+            for p, h in new:
+                phrases[h] = b" ".join(tokens[p : p + phrase])
+    if not concerned:
+        return
+    automaton = _automaton(list(phrases.values()))
+    for row, words, where in concerned:
+        marks = _located(automaton, utf8(texts[row].as_py()).split())
+        yield ids[row], salts[row], words, np.flatnonzero(marks[where])
 
 
 def _windows(window: int, phrase: int):
     def shard(table: pa.Table) -> pa.Table:
+        own = table.column("shard")[0].as_py()
         ids, salts, starts, first, second = [], [], [], [], []
-        for id_, salt, _, words, at in _recurring(table, window, phrase):
+        for id_, salt, words, at in _recurring(table, window, phrase):
             if len(at):
-                ids.append(np.full(len(at), id_, np.int64))
-                salts.append(np.full(len(at), salt, np.int64))
+                ids.append(id_)
+                salts.append(salt)
                 starts.append(at.astype(np.int32))
                 first.append(run_hashes(words, window, _WINDOW)[at].view(np.int64))
                 second.append((run_hashes(words, window, _CHECK)[at] >> np.uint64(33)).astype(np.int32))
-        join = lambda parts, kind: np.concatenate(parts) if parts else np.empty(0, kind)
+        sizes = np.array([len(s) for s in starts], np.int64)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        lists = lambda parts, kind: pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(parts) if parts else np.empty(0, kind)))
         return pa.table({
-            "key": join(first, np.int64), "check": join(second, np.int32), "id": join(ids, np.int64),
-            "salt": join(salts, np.int64), "start": join(starts, np.int32),
+            "shard": pa.array([own] * len(ids), pa.int32()), "id": pa.array(ids, pa.int64()), "salt": pa.array(salts, pa.int64()),
+            "starts": lists(starts, np.int32), "keys": lists(first, np.int64), "checks": lists(second, np.int32),
         })
 
     return shard
 
 
-def _kept(window: int, phrase: int):
+def _kept(window: int):
     def shard(table: pa.Table, firsts: pa.Table) -> pa.Table:
         keep: dict[tuple, list[int]] = {}
         for id_, salt, start in zip(*(firsts.column(c).to_pylist() for c in ("id", "salt", "start"))):
             keep.setdefault((id_, salt), []).append(start)
-        ids, salts, sizes, removed, digests, texts = [], [], [], [], [], []
-        for id_, salt, tokens, _, starts in _recurring(table, window, phrase):
-            repeated = np.setdiff1d(starts, np.array(keep.get((id_, salt), []), dtype=np.int64))
-            step = np.zeros(len(tokens) + window + 1, dtype=np.int32)
-            np.add.at(step, repeated, 1)
-            np.add.at(step, repeated + window, -1)
-            gone = np.cumsum(step)[: len(tokens)] > 0
-            rest = b" ".join(compress(tokens, (~gone).tolist()) if gone.any() else tokens)
-            ids.append(id_)
-            salts.append(salt)
+        kind = table.column("kind").to_numpy()
+        ids, salts = table.column("id").to_numpy(), table.column("salt").to_numpy()
+        texts, lists = table.column("text"), table.column("starts")
+        located = {(ids[row], salts[row]): row for row in np.flatnonzero(kind == 2).tolist()}
+        rows = np.flatnonzero(kind == 1).tolist()
+        sizes, removed, digests, rests = [], [], [], []
+        for row in rows:
+            tokens = utf8(texts[row].as_py()).split()
+            found = located.get((ids[row], salts[row]))
+            gone = None
+            if found is not None:
+                starts = lists[found].values.to_numpy()
+                repeated = np.setdiff1d(starts, np.array(keep.get((ids[row], salts[row]), []), dtype=np.int64))
+                step = np.zeros(len(tokens) + window + 1, dtype=np.int32)
+                np.add.at(step, repeated, 1)
+                np.add.at(step, repeated + window, -1)
+                gone = np.cumsum(step)[: len(tokens)] > 0
+            some = gone is not None and gone.any()
+            rest = b" ".join(compress(tokens, (~gone).tolist()) if some else tokens)
             sizes.append(len(tokens))
-            removed.append(int(gone.sum()))
+            removed.append(int(gone.sum()) if some else 0)
             digests.append(hashlib.sha256(rest).hexdigest())
-            texts.append(rest.decode("utf-8", "surrogatepass") if gone.any() else None)
+            rests.append(rest.decode("utf-8", "surrogatepass") if some else None)
         return pa.table({
-            "id": pa.array(ids, pa.int64()), "salt": pa.array(salts, pa.int64()), "n_words": pa.array(sizes, pa.int64()),
-            "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string()), "kept_text": pa.array(texts, pa.string()),
+            "id": pa.array(ids[rows], pa.int64()), "salt": pa.array(salts[rows], pa.int64()), "n_words": pa.array(sizes, pa.int64()),
+            "n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string()), "kept_text": pa.array(rests, pa.string()),
         })
 
     return shard
@@ -207,7 +216,8 @@ def remove_repeats(
        compiles them to an Aho-Corasick automaton and streams through it its documents that hold one. So the
        automata together grow with the input, and no document meets an automaton that can't match it.
     4. Windows anchored at located phrases are compared by 95-bit hashes: the first place of each is
-       one aggregate. In a second streaming of the shards all other located windows are removed.
+       one aggregate. The places located are kept with their document, and in a second streaming of the shards all
+       but the first are removed, without locating again.
 
     Null or blank texts have no words; texts under ``window`` words stay whole. A null id counts as larger
     than all others. Different texts under one id are ordered by a checksum of the text; of equal rows one stays.
@@ -244,12 +254,18 @@ def remove_repeats(
     content = held.join(recurring, "hash").select(
         "shard", F.lit(0).alias("kind"), "hash", none("bigint").alias("id"), none("bigint").alias("salt"), none("string").alias("text")
     ).unionByName(dealt.select("shard", F.lit(1).alias("kind"), none("bigint").alias("hash"), "id", "salt", "text"))
-    found = content.groupBy("shard").applyInArrow(_windows(window, phrase), "key long, check int, id long, salt long, start int")
-    firsts = found.groupBy("key", "check").agg(F.min(F.struct("id", "salt", "start")).alias("f")).select("f.*").withColumn(
+    found = stage(content.groupBy("shard").applyInArrow(
+        _windows(window, phrase), "shard int, id long, salt long, starts array<int>, keys array<long>, checks array<int>"
+    ), "repeat-windows")
+    each = found.select("id", "salt", F.explode(F.arrays_zip("starts", "keys", "checks")).alias("w")).select("id", "salt", "w.*")
+    firsts = each.groupBy("keys", "checks").agg(F.min(F.struct("id", "salt", F.col("starts").alias("start"))).alias("f")).select("f.*").withColumn(
         "shard", F.pmod(F.xxhash64("id", "salt"), F.lit(shards)).cast("int")
     )
-    result = content.groupBy("shard").cogroup(firsts.groupBy("shard")).applyInArrow(
-        _kept(window, phrase), "id long, salt long, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    texts = dealt.select("shard", F.lit(1).alias("kind"), "id", "salt", "text", none("array<int>").alias("starts")).unionByName(
+        found.select("shard", F.lit(2).alias("kind"), "id", "salt", none("string").alias("text"), "starts")
+    )
+    result = texts.groupBy("shard").cogroup(firsts.groupBy("shard")).applyInArrow(
+        _kept(window), "id long, salt long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     )
     result = stage(result, "repeat-kept")
     # every row of the input finds its class; only one row of the first id keeps its words
