@@ -20,6 +20,7 @@ from curbflow.operators.model import (
     load_model,
     model_features,
     model_nodes,
+    model_versions,
     predict_by_nodes,
     regression_metrics,
     save_model,
@@ -39,7 +40,7 @@ __all__ = [
     "REJECT_REASONS", "add_date_features", "add_trip_features", "audited_demand", "cache_entries",
     "clean_trips", "demand_by_window", "demand_from_trips", "enrich_with_zone", "feature_matrix",
     "fit_demand_model", "fresh_predictions", "holdout_split", "hourly_demand", "is_train_row",
-    "list_zones", "load_model", "lookup_join", "lookup_zones", "merge_demand", "model_features", "model_nodes",
+    "list_zones", "load_model", "lookup_join", "lookup_zones", "merge_demand", "model_features", "model_nodes", "model_versions",
     "normalize_stream_demand", "picked_up_between", "predict_by_nodes", "probe_cache", "quality_report", "regression_metrics", "rollup_demand",
     "save_model", "score_all", "score_requests", "target_stats", "to_response", "validate_requests",
     "zone_counts", "zone_dimension",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbflow.operators.lookup import lookup_join
-from curbflow.session import ensure_checkpoint_dir, scratch_path
+from curbflow.session import delete_path, ensure_checkpoint_dir, scratch_path
 from curbflow.spec import FEATURES, TARGET, require_columns
 
 _WEIGHT = "weight"
@@ -132,9 +133,40 @@ def model_features(model: PipelineModel) -> list[str]:
     return list(model.stages[0].getInputCols())
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel, path: str, about: dict | None = None, keep: int = 2) -> int:
+    """Save a model as the next version under ``path`` and return the version's number.
 
+    The files are written to a folder of their own; a numbered commit then makes it the current version, so a
+    reader gets the version before or this one, whole, at any time. ``about`` (metrics, dates, anything JSON can
+    hold) is stored with it. Files of versions before the last ``keep`` are deleted.
+    """
+    from curbflow.sources.commits import commit_next, numbers, prune, read_commit
+
+    spark = SparkSession.active()
+    folder = f"versions/{uuid.uuid4().hex}"
+    model.write().save(f"{path.rstrip('/')}/{folder}")
+    content = {"model": folder, "features": model_features(model), "about": about or {}}
+    number, _ = commit_next(spark, path, lambda old: content)
+    for past in numbers(spark, path)[:-keep]:
+        delete_path(spark, f"{path.rstrip('/')}/{read_commit(spark, path, past)['model']}")
+    prune(spark, path, keep)
+    return number
+
+
+def model_versions(path: str) -> list[dict]:
+    """The versions on disk, oldest first: number, features and what was stored about each."""
+    from curbflow.sources.commits import numbers, read_commit
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+    spark = SparkSession.active()
+    return [{"version": n, **read_commit(spark, path, n)} for n in numbers(spark, path)]
+
+
+def load_model(path: str, version: int | None = None) -> PipelineModel:
+    """The current version of a saved model, or the one with the given number."""
+    from curbflow.sources.commits import latest, read_commit
+
+    spark = SparkSession.active()
+    found = latest(spark, path) if version is None else (version, read_commit(spark, path, version))
+    if found is None:
+        raise ValueError(f"no model at {path}")
+    return PipelineModel.load(f"{path.rstrip('/')}/{found[1]['model']}")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 from curbflow.operators.features import add_date_features, holdout_split, target_stats
 from curbflow.operators.model import fit_demand_model, regression_metrics, save_model
@@ -29,7 +30,9 @@ def train_demand_model(
     seed: int = 42,
     **fit_options,
 ) -> TrainingResult:
-    """Add features, split 80/20, fit, measure on the hold-out and save.
+    """Add features, split 80/20, fit, measure on the hold-out and save as the next version of ``model_path``.
+
+    Target statistics, hold-out errors and the dates of the demand are stored with the version.
 
     The feature table is read by several passes and is therefore kept in
     memory, or on disk beyond that, until the model is measured. Rows that
@@ -39,6 +42,7 @@ def train_demand_model(
     featured = add_date_features(demand).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = target_stats(featured).first()
+        dates = featured.agg(F.min("date_str").cast("string").alias("first_date"), F.max("date_str").cast("string").alias("last_date")).first()
         train, test = holdout_split(featured, seed=seed)
         model = fit_demand_model(train, features, rounds=rounds, seed=seed, **fit_options)
         scorable = test.dropna(subset=[*features, TARGET])
@@ -46,5 +50,6 @@ def train_demand_model(
     finally:
         featured.unpersist()
     if model_path is not None:
-        save_model(model, model_path)
+        about = {"rounds": rounds, "seed": seed, **{k: v for row in (stats, metrics, dates) for k, v in row.asDict().items()}}
+        save_model(model, model_path, about)
     return TrainingResult(model, stats, metrics)

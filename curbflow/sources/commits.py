@@ -113,3 +113,10 @@ def commit_next(spark: SparkSession, path: str, change: Callable[[dict | None],
         except CommitConflict:
             continue
     raise CommitConflict(f"{path}: {_ATTEMPTS} attempts met other writers")
+
+
+def prune(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all but the newest ``keep`` commits."""
+    for number in numbers(spark, path)[:-keep]:
+        file, fs = _hadoop(spark, f"{path.rstrip('/')}/{LOG}/{_name(number)}")
+        fs.delete(file, False)

@@ -1,6 +1,7 @@
 """Files in, files out."""
 
 from datetime import date, datetime, timedelta
+from concurrent.futures import ThreadPoolExecutor
 from glob import glob
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from curbflow import sources
+from curbflow.sources import commits, predictions
 from curbflow.plans import run_etl
 from curbflow.spec import DEMAND_COLS
 from test_trips_and_demand import SUNDAY, demand, found, trips
@@ -223,10 +225,46 @@ def test_expired_predictions_go_and_the_rest_is_compacted(spark, tmp_path):
     for _ in range(2):
         sources.append_predictions(entries, f"{tmp_path}/c")
     sources.expire_predictions(spark, f"{tmp_path}/c", now)
-    assert sorted(r.zone for r in spark.read.parquet(f"{tmp_path}/c").collect()) == [0, 0, 2, 2, 4, 4]
-    assert len(glob(f"{tmp_path}/c/*/*.parquet")) == 2 and len(glob(f"{tmp_path}/*")) == 1
+    alive = lambda: sorted(r.zone for r in sources.stored_predictions(spark, f"{tmp_path}/c").collect())
+    assert alive() == [0, 0, 2, 2, 4, 4]
+    sources.expire_predictions(spark, f"{tmp_path}/c", now)
+    assert alive() == [0, 0, 2, 2, 4, 4] and len(glob(f"{tmp_path}/c/data/*")) == 2  # the batch before stays for its readers
     sources.expire_predictions(spark, f"{tmp_path}/c", now + timedelta(days=2))
-    assert glob(f"{tmp_path}/*") == []
+    assert alive() == [] and sources.read_predictions(spark, f"{tmp_path}/c", now).count() == 0
+
+
+def test_appends_while_the_table_expires_are_kept_and_readers_are_not_disturbed(spark, tmp_path, monkeypatch):
+    now, path = datetime(2025, 1, 5, 0, 5), f"file://{tmp_path}/c"
+    batch = lambda zone, age: spark.createDataFrame(
+        [(zone, 2, "2025-01-05", 1.0, now - timedelta(seconds=age))], "zone int, hour int, date string, prediction double, cached_at timestamp"
+    )
+    sources.append_predictions(batch(1, 5), path)
+    sources.append_predictions(batch(2, 5000), path)
+    pinned = sources.stored_predictions(spark, path)
+    write = predictions._write_batch
+
+    def append_too(rows, where):
+        monkeypatch.setattr(predictions, "_write_batch", write)
+        sources.append_predictions(batch(3, 1), path)
+        return write(rows, where)
+
+    monkeypatch.setattr(predictions, "_write_batch", append_too)
+    sources.expire_predictions(spark, path, now)
+    assert sorted(r.zone for r in sources.stored_predictions(spark, path).collect()) == [1, 3]
+    assert sorted(r.zone for r in pinned.collect()) == [1, 2]
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda z: sources.append_predictions(batch(z, 1), path), range(10, 18)))
+    assert sorted(r.zone for r in sources.stored_predictions(spark, path).collect()) == [1, 3, *range(10, 18)]
+
+    def expire_too(rows, where):
+        monkeypatch.setattr(predictions, "_write_batch", write)
+        sources.expire_predictions(spark, path, now)
+        return write(rows, where)
+
+    monkeypatch.setattr(predictions, "_write_batch", expire_too)
+    with pytest.raises(RuntimeError, match="another job"):
+        sources.expire_predictions(spark, path, now)
+    assert sources.stored_predictions(spark, path).count() == 10
 
 
 def test_zone_file_with_quotes_line_breaks_and_repeats(spark, tmp_path):

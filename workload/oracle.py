@@ -300,6 +300,13 @@ SELECT date_str, pickup_hour, PULocationID, trip_count, round(p, 6) AS predictio
 FROM featured JOIN preds USING (dow, mon, wend, pickup_hour, PULocationID) WHERE NOT is_train""",
     "demand_model_nodes": f"""WITH {_DEMAND},{_SPLIT}
 SELECT date_str, pickup_hour, PULocationID, trip_count, true AS same FROM split WHERE NOT is_train""",
+    "cache_batches": f"""WITH {_CACHE}
+SELECT zone, "hour", "date", prediction FROM stored
+WHERE cached_at > TIMESTAMP '2024-02-01 00:00:00' - INTERVAL 600 SECOND""",
+    "model_published": f"""{_WEEKDAY}
+SELECT date_str, pickup_hour, PULocationID, trip_count, round(mean, 6) AS prediction, 2 AS version,
+       (SELECT max(date_str) FROM demand) AS last_date, (SELECT count(*) FROM demand) AS samples
+FROM split JOIN means ON d = isodow(date_str) WHERE NOT is_train""",
     "demand_model_weekday": f"""{_WEEKDAY}
 SELECT date_str, pickup_hour, PULocationID, trip_count, round(mean, 6) AS prediction
 FROM split JOIN means ON d = isodow(date_str) WHERE NOT is_train""",

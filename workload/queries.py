@@ -466,6 +466,21 @@ def model_roundtrip(spark, sf_dir):
     return both.select(*DEMAND_KEYS, "trip_count", (F.col("before") == F.col("prediction")).alias("same"))
 
 
+@query
+def model_published(spark, sf_dir):
+    """Hold-out predictions of the current version, after an older one was replaced, with what is stored about it."""
+    path = scratch_path(spark, "published")
+    demand = _hourly(spark, sf_dir)
+    train_demand_model(demand.withColumn("trip_count", F.col("trip_count") + 7), WEEKDAY, model_path=path, rounds=2, depth=WEEKDAY_DEPTH)
+    train_demand_model(demand, WEEKDAY, model_path=path, rounds=2, depth=WEEKDAY_DEPTH)
+    about = ops.model_versions(path)[-1]
+    test = ops.holdout_split(ops.add_date_features(demand))[1]
+    scored = ops.load_model(path).transform(test).select(*DEMAND_KEYS, "trip_count", "prediction")
+    return _rounded(scored, "prediction").withColumns({
+        "version": F.lit(about["version"]), "last_date": F.lit(about["about"]["last_date"]).cast("date"), "samples": F.lit(about["about"]["samples"]).cast("bigint"),
+    })
+
+
 # --- scoring -----------------------------------------------------------
 
 
@@ -496,7 +511,20 @@ def cache_expired(spark, sf_dir):
     store = scratch_path(spark, "expiring")
     sources.append_predictions(t.stored_predictions(spark, sf_dir), store)
     sources.expire_predictions(spark, store, t.NOW)
-    return spark.read.parquet(store).select("zone", "hour", "date", "prediction")
+    return sources.stored_predictions(spark, store).select("zone", "hour", "date", "prediction")
+
+
+@query
+def cache_batches(spark, sf_dir):
+    """The table after two appends, an expiry, a third append and a second expiry: what of all three is alive."""
+    store = scratch_path(spark, "batches")
+    entries = t.stored_predictions(spark, sf_dir)
+    sources.append_predictions(entries.where("zone % 2 = 0"), store)
+    sources.append_predictions(entries.where("zone % 2 = 1 and hour < 12"), store)
+    sources.expire_predictions(spark, store, t.NOW)
+    sources.append_predictions(entries.where("zone % 2 = 1 and hour >= 12"), store)
+    sources.expire_predictions(spark, store, t.NOW)
+    return sources.stored_predictions(spark, store).select("zone", "hour", "date", "prediction")
 
 
 def formula_model() -> PipelineModel:
