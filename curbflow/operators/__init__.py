@@ -8,6 +8,7 @@ from curbflow.operators.demand import (
 )
 from curbflow.operators.features import (
     add_date_features,
+    exact_holdout,
     feature_matrix,
     holdout_split,
     is_train_row,
@@ -38,7 +39,7 @@ from curbflow.operators.zones import enrich_with_zone, list_zones, lookup_zones,
 
 __all__ = [
     "REJECT_REASONS", "add_date_features", "add_trip_features", "audited_demand", "cache_entries",
-    "clean_trips", "demand_by_window", "demand_from_trips", "enrich_with_zone", "feature_matrix",
+    "clean_trips", "demand_by_window", "demand_from_trips", "enrich_with_zone", "exact_holdout", "feature_matrix",
     "fit_demand_model", "fresh_predictions", "holdout_split", "hourly_demand", "is_train_row",
     "list_zones", "load_model", "lookup_join", "lookup_zones", "merge_demand", "model_features", "model_nodes", "model_versions",
     "normalize_stream_demand", "picked_up_between", "predict_by_nodes", "probe_cache", "quality_report", "regression_metrics", "rollup_demand",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -132,7 +133,6 @@ def replace_dates(demand: DataFrame, path: str, first_date: date, last_date: dat
     refused = F.raise_error(F.concat(F.lit(f"demand outside {first_date} to {last_date}: "), F.coalesce(day.cast("string"), F.lit("no date"))))
     rows = rows.withColumn("date_str", F.when(outside, refused.cast("date")).otherwise(day))
     months = _months(first_date, last_date)
-    before = {}
     table = read_optional(spark, path)
     if table is not None:
         require_columns(table, DEMAND_COLS)
@@ -141,10 +141,16 @@ def replace_dates(demand: DataFrame, path: str, first_date: date, last_date: dat
         inside = F.col(MONTH).between(months[0], months[-1])
         others = table.filter(inside & ~day.between(F.lit(first_date), F.lit(last_date)))
         rows = rows.unionByName(others.select(*DEMAND_COLS))
-        before = {m: list_names(spark, f"{path.rstrip('/')}/{MONTH}={m}") for m in months}
-    _by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
-    for month, names in before.items():  # a folder the run did not swap holds cleared dates only
-        folder = f"{path.rstrip('/')}/{MONTH}={month}"
+    replace_months(spark, rows, path, months)
+
+
+def replace_months(spark: SparkSession, rows: DataFrame | None, path: str, months: Sequence[int]) -> None:
+    """Make ``rows``, which must lie in ``months``, the content of these months' folders; a month without rows goes."""
+    folders = [f"{path.rstrip('/')}/{MONTH}={m}" for m in months]
+    before = {folder: list_names(spark, folder) for folder in folders}
+    if rows is not None:
+        _by_month(rows).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+    for folder, names in before.items():  # a folder the run did not swap holds nothing that counts
         if names and list_names(spark, folder) == names:
             delete_path(spark, folder)
     spark.catalog.refreshByPath(path)

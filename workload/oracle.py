@@ -177,6 +177,7 @@ FROM clean""",
 SELECT date_str, pickup_hour, PULocationID, trip_count,
        CAST(coalesce(avg_distance, 0) AS DOUBLE) AS avg_distance FROM raw_stream""",
     "stream_window_rollup": f"WITH {_DEMAND} SELECT * FROM demand",
+    "demand_merge_increment": f"WITH {_DEMAND} SELECT * FROM demand",
     "demand_merge": f"WITH {_DEMAND} SELECT * FROM demand",
     "demand_merge_raw": f"""WITH {_CLEAN},{_RAW_STREAM},
 both_sources AS (
@@ -215,6 +216,10 @@ FROM demand d LEFT JOIN zones ON PULocationID = location_id""",
     "feature_matrix": f"WITH {_DEMAND} SELECT {_CALENDAR}, pickup_hour, PULocationID, trip_count FROM demand",
     "holdout_split": f"""WITH {_DEMAND},{_SPLIT}
 SELECT * REPLACE (CAST(is_train AS INTEGER) AS is_train) FROM split""",
+    "holdout_exact": f"""WITH {_DEMAND}
+SELECT date_str, pickup_hour, PULocationID, trip_count, CAST(row_number() OVER (
+  ORDER BY ('0x' || substr(md5('42|' || date_str || '|' || pickup_hour || '|' || PULocationID), 1, 15))::BIGINT DESC
+) > ceil(count(*) OVER () / 5.0) AS INTEGER) AS is_train FROM demand""",
     "target_stats": f"""WITH {_DEMAND}
 SELECT count(*) AS samples, min(trip_count) AS min_target, max(trip_count) AS max_target,
        avg(trip_count) AS mean_target FROM demand""",

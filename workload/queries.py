@@ -18,7 +18,7 @@ from curbflow import operators as ops
 from curbflow import sources
 from curbflow.functions import cache_key, window_label, window_start_date
 from curbflow.functions.text import UNKNOWN
-from curbflow.plans import run_etl, run_scoring, train_demand_model
+from curbflow.plans import merge_increment, run_etl, run_scoring, train_demand_model
 from curbflow.session import scratch_path
 from curbflow.spec import DEMAND_COLS, DEMAND_KEYS, FEATURES, HOUR_ZONE_FEATURES, WINDOW_DATE, ZONE_COLS, ZONE_KEY, require_columns
 from curbflow.streaming import start_demand_stream
@@ -289,6 +289,19 @@ def demand_merge_files(spark, sf_dir):
     )
 
 
+@query
+def demand_merge_increment(spark, sf_dir):
+    """The merge kept up to date while the stream's table grows, late windows of past days included."""
+    batch_path, stream_path, out = (scratch_path(spark, name) for name in ("batch", "stream", "merged"))
+    sources.write_demand(ops.demand_from_trips(t.batch_trips(spark, sf_dir), t.EVENT_SPEC), batch_path)
+    windows = ops.demand_by_window(t.stream_trips(spark, sf_dir), t.EVENT_SPEC).withColumn(WINDOW_DATE, F.col("window.start").cast("date"))
+    early = (F.dayofmonth(WINDOW_DATE) <= 15) & (F.col(ZONE_KEY) % 3 != 0)
+    for part in (early, ~early):
+        windows.where(part).write.mode("append").partitionBy(WINDOW_DATE).parquet(stream_path)
+        merge_increment(spark, batch_path, stream_path, out)
+    return _plain(sources.read_demand(spark, out))
+
+
 # --- zones -------------------------------------------------------------
 
 
@@ -375,6 +388,13 @@ def holdout_split(spark, sf_dir):
     return demand.withColumn("is_train", ops.is_train_row().cast("int"))
 
 
+@query
+def holdout_exact(spark, sf_dir):
+    """The hold-out part of exactly a fifth of the rows, rounded up."""
+    train, test = ops.exact_holdout(_hourly(spark, sf_dir).select(*DEMAND_KEYS, "trip_count"))
+    return train.withColumn("is_train", F.lit(1)).unionByName(test.withColumn("is_train", F.lit(0)))
+
+
 @query
 def target_stats(spark, sf_dir):
     return ops.target_stats(_hourly(spark, sf_dir))
