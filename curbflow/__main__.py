@@ -29,7 +29,7 @@ def _stream(spark: SparkSession, args: argparse.Namespace) -> None:
     trips = spark.readStream.schema(schema).parquet(args.input)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.every}
     start_demand_stream(
-        trips, args.output, args.checkpoint, spec, args.width, args.late_after, trigger, args.files
+        trips, args.output, args.checkpoint, spec, args.width, args.late_after, trigger, args.files, args.trip_id
     ).awaitTermination()
 
 
@@ -104,7 +104,8 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--width", default="1 minute")
     stream.add_argument("--late-after", default="10 minutes")
     stream.add_argument("--every", default="1 minute")
-    stream.add_argument("--files", type=int, default=1, help="files per trigger and date")
+    stream.add_argument("--files", type=int, help="tasks that write a trigger; by default by the size of the cluster")
+    stream.add_argument("--trip-id", help="column by which a trip sent twice counts once")
     stream.add_argument("--once", action="store_true", help="stop when all present input is read")
     stream.set_defaults(job=_stream)
 

@@ -1,3 +1,3 @@
-from curbflow.streaming.demand import start_demand_stream
+from curbflow.streaming.demand import append_late_windows, late_windows, start_demand_stream, unique_trips
 
-__all__ = ["start_demand_stream"]
+__all__ = ["append_late_windows", "late_windows", "start_demand_stream", "unique_trips"]

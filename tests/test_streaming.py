@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from curbflow.operators import demand_by_window, demand_from_trips, merge_demand
 from curbflow.sources import load_demand
-from curbflow.streaming import start_demand_stream
+from curbflow.streaming import append_late_windows, start_demand_stream, unique_trips
 from test_trips_and_demand import DEMAND_DDL, TRIP_DDL, found
 from workload.tables import EVENT_SPEC, as_trips, table
 
@@ -81,3 +81,57 @@ def test_minutes_sum_to_the_hour(spark, sf_dir):
     rolled = merge_demand(None, demand_by_window(trips, EVENT_SPEC))
     hourly = demand_from_trips(trips, EVENT_SPEC)
     assert rolled.exceptAll(hourly).isEmpty() and hourly.exceptAll(rolled).isEmpty()
+
+
+def _late(spark, source, out, late, **options):
+    return append_late_windows(spark.read.schema(options.pop("schema", TRIP_DDL)).parquet(source), out, late, **options)
+
+
+def test_trips_that_came_too_late_are_found_once(spark, tmp_path):
+    source, out, state, late = (f"{tmp_path}/{n}" for n in ("in", "out", "state", "late"))
+    assert _late_absent(spark, tmp_path) == (0, 0)
+    _deliver(spark, source, 0, 0, 5, 30)
+    _run(spark, source, out, state)
+    assert _late(spark, source, out, late) == (0, 0)
+    _deliver(spark, source, 0, 1, 1, 25, 60)  # minutes 0 and 1 are closed by now
+    _run(spark, source, out, state)
+    assert _late(spark, source, out, late) == (2, 3)
+    assert _late(spark, source, out, late) == (0, 0)
+    both = spark.read.parquet(out).unionByName(spark.read.parquet(late))
+    static = demand_by_window(spark.read.parquet(source))
+    want = static.where(F.col("window.end") <= START + timedelta(minutes=31)).selectExpr("cast(window.start as timestamp) s", "trip_count", "avg_distance")
+    got = both.groupBy("window", "pickup_hour", "PULocationID").agg(F.sum("trip_count").alias("n"), F.sum("avg_distance").alias("d"))
+    assert found(got.selectExpr("window.start", "n", "d")) == found(want)
+
+
+def _late_absent(spark, tmp_path):
+    trips = spark.createDataFrame([], TRIP_DDL)
+    return append_late_windows(trips, f"{tmp_path}/no-stream", f"{tmp_path}/no-late")
+
+
+def test_a_trip_sent_twice_counts_once(spark, tmp_path):
+    source, out, state, late = (f"{tmp_path}/{n}" for n in ("in", "out", "state", "late"))
+    ddl = TRIP_DDL + ", trip string"
+    rows = [(1, START + timedelta(minutes=m), 1.0, 7, k) for m, k in ((0, "a"), (0, "a"), (0, "b"), (1, "c"), (1, None), (40, "d"))]
+
+    def run(part):
+        spark.createDataFrame(part, ddl).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(ddl).parquet(source)
+        start_demand_stream(stream, out, state, trigger={"availableNow": True}, trip_id="trip").awaitTermination()
+
+    run(rows[:4])
+    run(rows[2:])  # b and c come again, in another batch
+    written = {r.start: r.trip_count for r in spark.read.parquet(out).select("window.start", "trip_count").collect()}
+    assert written == {START: 2, START + timedelta(minutes=1): 1}
+    assert _late(spark, source, out, late, schema=ddl, trip_id="trip") == (0, 0)
+    assert unique_trips(spark.read.schema(ddl).parquet(source), "trip").count() == 4
+
+
+def test_more_partitions_are_written_by_more_tasks(spark, tmp_path):
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        _deliver(spark, f"{tmp_path}/in", *range(0, 600, 3))
+        _run(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert 1 < len(list(Path(f"{tmp_path}/out").glob("*/*.parquet"))) <= 8

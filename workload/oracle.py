@@ -168,6 +168,12 @@ UNION ALL SELECT 'props', count(props) FROM events)""",
 SELECT *, 'date_str,pickup_hour,PULocationID,trip_count,avg_distance' AS lacking FROM demand""",
     "demand_stream": f"""WITH {_CLEAN} {_MINUTES}
 WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(pickup_ts) FROM clean) - INTERVAL 10 MINUTE
+GROUP BY minute_start, pickup_hour, zone_id""",
+    "demand_stream_late": f"""WITH {_CLEAN} {_MINUTES}
+WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(pickup_ts) FROM clean) - INTERVAL 10 MINUTE
+GROUP BY minute_start, pickup_hour, zone_id""",
+    "demand_stream_repeats": f"""WITH {_CLEAN} {_MINUTES}
+WHERE minute_start + INTERVAL 1 MINUTE <= (SELECT max(pickup_ts) FROM clean) - INTERVAL 10 MINUTE
 GROUP BY minute_start, pickup_hour, zone_id""",
     "window_label_date": f"""WITH {_CLEAN}
 SELECT DISTINCT {_LABEL.format('minute_start')} AS "window", pickup_hour, zone_id AS PULocationID,

@@ -21,7 +21,7 @@ from curbflow.functions.text import UNKNOWN
 from curbflow.plans import merge_increment, run_etl, run_scoring, train_demand_model
 from curbflow.session import scratch_path
 from curbflow.spec import DEMAND_COLS, DEMAND_KEYS, FEATURES, HOUR_ZONE_FEATURES, WINDOW_DATE, ZONE_COLS, ZONE_KEY, require_columns
-from curbflow.streaming import start_demand_stream
+from curbflow.streaming import append_late_windows, start_demand_stream
 from workload import tables as t
 
 ROUNDS = 100
@@ -234,6 +234,35 @@ def demand_stream(spark, sf_dir):
     return _plain(_labelled(spark.read.parquet(out).drop(WINDOW_DATE)))
 
 
+@query
+def demand_stream_late(spark, sf_dir):
+    """A stream whose second half comes too late, and the windows found for it afterwards: together, all closed windows."""
+    source, out, late, state = (scratch_path(spark, f"stream-{name}") for name in ("in", "out", "late", "state"))
+    events = t.table(spark, sf_dir, "events")
+    for part in (F.dayofmonth("ts") > 15, F.dayofmonth("ts") <= 15):
+        events.where(part).write.mode("append").parquet(source)
+        trips = t.as_trips(spark.readStream.schema(events.schema).parquet(source))
+        start_demand_stream(trips, out, state, t.EVENT_SPEC, trigger={"availableNow": True}).awaitTermination()
+    for _ in range(2):  # the second time there is nothing left to add
+        append_late_windows(t.trips(spark, sf_dir), out, late, t.EVENT_SPEC)
+    both = spark.read.parquet(out).unionByName(spark.read.parquet(late))
+    return _plain(_labelled(both.drop(WINDOW_DATE)))
+
+
+@query
+def demand_stream_repeats(spark, sf_dir):
+    """A stream in which every trip is sent twice."""
+    source = scratch_path(spark, "stream-in")
+    events = t.table(spark, sf_dir, "events")
+    events.unionByName(events).write.parquet(source)
+    stream = spark.readStream.schema(events.schema).parquet(source)
+    out = scratch_path(spark, "stream-out")
+    start_demand_stream(
+        t.as_trips(stream, "event_id"), out, scratch_path(spark, "stream-state"), t.EVENT_SPEC, trigger={"availableNow": True}, trip_id="event_id"
+    ).awaitTermination()
+    return _plain(_labelled(spark.read.parquet(out).drop(WINDOW_DATE)))
+
+
 # --- merging batch and streaming demand --------------------------------
 
 

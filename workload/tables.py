@@ -26,9 +26,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def as_trips(events: DataFrame) -> DataFrame:
-    """Events as trips, static or streaming."""
+def as_trips(events: DataFrame, *carry: str) -> DataFrame:
+    """Events as trips, static or streaming, with the columns to carry."""
     return events.select(
+        *carry,
         F.when(F.col("event_type") != "signup", F.col("event_id")).alias("vendor_id"),
         F.when(F.col("event_id") % 17 != 0, F.col("ts")).alias("pickup_ts"),
         (F.col("value") - 2.0).cast("decimal(12,2)").alias("trip_distance"),
