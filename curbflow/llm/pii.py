@@ -27,25 +27,57 @@ MIN_SEEDS = 3
 MIN_SCORE = 0.8
 MIN_CHARS = 5
 CONTEXT = 200
+BLOCK = 256
 _SPAN = "array<struct<k:int,s:int,e:int>>"
 _MARK = "array<struct<k:int,s:int,e:int,v:string,left:string,shape:string>>"
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, though ``use`` names it many times."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def found(text: Column, pattern: str) -> Column:
-    """array<struct<seen, v, s>>: matches with the CONTEXT characters before each in the text and their start."""
+    """array<struct<seen, v, s>>: matches with the CONTEXT characters before each in the text and their start.
+
+    Matches are worked through in blocks, each begun with the length and the end of the text before it, so that
+    no list grows by one match at a time; a block of matches is longer than CONTEXT.
+    """
     gaps, matches = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pairs = F.zip_with(F.slice(gaps, 1, F.size(matches)), matches, lambda g, m: F.struct(g.alias("before"), m.alias("v")))
+    return bound(pairs, _in_blocks)
+
+
+def _in_blocks(pairs: Column) -> Column:
     empty = F.array().cast("array<struct<seen:string,v:string,s:int>>")
-    state = F.struct(F.lit(0).alias("at"), F.lit("").alias("tail"), empty.alias("out"))
     last = lambda *parts: F.right(F.concat(*parts), F.lit(CONTEXT))
+    length = lambda p: F.length(p["before"]) + F.length(p["v"])
     step = lambda acc, p: F.struct(
-        (acc["at"] + F.length(p["before"]) + F.length(p["v"])).alias("at"),
-        last(acc["tail"], p["before"], p["v"]).alias("tail"),
+        (acc["at"] + length(p)).alias("at"), last(acc["tail"], p["before"], p["v"]).alias("tail"),
         F.array_append(acc["out"], F.struct(
             last(acc["tail"], p["before"]).alias("seen"), p["v"].alias("v"), (acc["at"] + F.length(p["before"])).alias("s")
         )).alias("out"),
     )
-    return F.aggregate(pairs, state, step)["out"]
+    numbers = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.size(pairs) / BLOCK).cast("int") - 1))
+    blocks = F.transform(numbers, lambda k: F.slice(pairs, k * BLOCK + 1, F.lit(BLOCK)))
+    text = lambda own: F.array_join(F.transform(own, lambda p: F.concat(p["before"], p["v"])), "")
+    told = F.transform(blocks, lambda own: F.struct(
+        own.alias("own"), F.aggregate(own, F.lit(0), lambda n, p: n + length(p)).alias("chars"), F.right(text(own), F.lit(CONTEXT)).alias("end")
+    ))
+
+    def work(told: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(told, zero, lambda acc, b: F.struct(
+            (acc["at"] + b["chars"]).alias("at"), F.array_append(acc["starts"], acc["at"]).alias("starts")
+        ))["starts"]
+        ends = F.transform(told, lambda b: b["end"])
+        before = F.concat(F.array(F.lit("")), ends)
+        joined = F.arrays_zip(F.transform(told, lambda b: b["own"]).alias("own"), starts.alias("at"), F.slice(before, 1, F.size(told)).alias("tail"))
+        return F.flatten(F.transform(joined, lambda b: F.aggregate(
+            b["own"], F.struct(b["at"].alias("at"), b["tail"].alias("tail"), empty.alias("out")), step
+        )["out"]))
+
+    return F.when(F.size(pairs) > 0, bound(told, work)).otherwise(empty)
 
 
 def _digits(v: Column) -> Column:
