@@ -18,7 +18,7 @@ GROUPS = (("11101111", "110101111", "11110010011"), ("11011011",), ("1101101",),
 MAX_PROVED = 10_000
 WINDOW = 13
 MIN_EQUAL = 0.84
-MIN_WORDS = 5
+MIN_WORDS = 1
 SEED_ROWS = 200_000
 _SEPARATOR = r"[^\p{L}\p{N}]+"
 
@@ -57,29 +57,41 @@ def masks_for(width: int, misses: int) -> tuple[str, ...]:
 
 
 def test_seeds(items: DataFrame, masks: dict[int, tuple[str, ...]], window: int) -> DataFrame:
-    """(seed, item_id, item_at, item): every seed of every item with where it starts; ``masks`` by compared words."""
+    """(seed, item_id, item_at, first, near, width): every seed of every item with where it starts; ``masks`` by compared words.
+
+    ``near`` holds the item's words from ``first`` on that can share a window with the seed, so a seed of a
+    long item is no larger than another.
+    """
     frames = []
     for width, group in masks.items():
         fit = items.where(F.least(F.size("item"), F.lit(window)) == width)
         for mask in group:
             places = fit.select("item_id", "item", F.explode(F.sequence(F.lit(0), F.size("item") - len(mask))).alias("item_at"))
-            frames.append(places.select(_seed("item", F.col("item_at"), mask).alias("seed"), "item_id", "item_at", "item"))
+            first = F.greatest(F.lit(0), F.col("item_at") + len(mask) - width)
+            last = F.least(F.size("item"), F.col("item_at") + width) - 1
+            frames.append(places.select(
+                _seed("item", F.col("item_at"), mask).alias("seed"), "item_id", "item_at", first.alias("first"),
+                F.transform(F.sequence(first, last), lambda k: F.get("item", k)).alias("near"), F.lit(width).alias("width"),
+            ))
     out = frames[0]
     for frame in frames[1:]:
         out = out.union(frame)
     return out
 
 
-def overlap(words: Column, shift: Column, item: Column, window: int) -> Column:
-    """Most equal words in any ``window`` of the item laid over the document at ``shift``, as (equal, length, at)."""
-    same = F.transform(F.sequence(F.lit(0), F.size(item) - 1), lambda k: F.when(
-        F.coalesce(F.try_element_at(words, F.when(shift + k >= 0, shift + k + 1).otherwise(F.size(words) + 1)) == F.get(item, k), F.lit(False)), 1
+def overlap(words: Column, shift: Column, near: Column, first: Column, width: Column) -> Column:
+    """Most equal words in any ``width`` of an item's words ``near`` a hit, laid over the document, as (equal, length, at).
+
+    Every window of the item that holds the hit's seed lies in ``near``; a pair that is accepted has a hit in its best window.
+    """
+    place = lambda k: shift + first + k
+    same = F.transform(F.sequence(F.lit(0), F.size(near) - 1), lambda k: F.when(
+        F.coalesce(F.try_element_at(words, F.when(place(k) >= 0, place(k) + 1).otherwise(F.size(words) + 1)) == F.get(near, k), F.lit(False)), 1
     ).otherwise(0))
-    width = F.least(F.lit(window), F.size(item))
-    starts = F.sequence(F.lit(0), F.size(item) - width)
-    return F.array_max(F.transform(starts, lambda a: F.struct(
-        F.aggregate(F.slice(same, a + 1, width), F.lit(0), lambda s, x: s + x).alias("equal"), width.alias("length"), (-a).alias("at")
+    windows = lambda told: F.array_max(F.transform(F.sequence(F.lit(0), F.size(told) - width), lambda a: F.struct(
+        F.aggregate(F.slice(told, a + 1, width), F.lit(0), lambda s, x: s + x).alias("equal"), width.alias("length"), (-(first + a)).alias("at")
     )))
+    return F.get(F.transform(F.array(same), windows), F.lit(0))  # worked out once, though each window reads it
 
 
 def find_contamination(
@@ -90,8 +102,8 @@ def find_contamination(
 
     Words are lower-cased runs of letters and digits. A document contains an item if, laid over it at some shift
     without gaps, some ``window`` consecutive words of the item (all of a shorter one)
-    equal it in at least ``min_equal`` of the places: one of 7 to 12 words may differ, two of 13. Items
-    under ``min_words`` words are not looked for. The best window is returned, once per document and item.
+    equal it in at least ``min_equal`` of the places: one of 7 to 12 words may differ, two of 13, and
+    shorter items must agree in full. Items under ``min_words`` words, none by default, are not looked for. The best window is returned, once per document and item.
 
     Every place of a document gives a hash for each mask, which ignores some words, and meets the hashes of the
     benchmark by equality; the masks leave a hit in every pair the rule accepts. Around each hit the words are compared there and then, so neither
@@ -123,7 +135,7 @@ def find_contamination(
         keys = F.array(*[F.when(F.col("at") + len(mask) <= F.size("words"), _seed("words", F.col("at"), mask)) for mask in used])
         hits = places.select("id", "words", "at", F.explode(keys).alias("seed")).join(part, "seed")
         shift = F.col("at") - F.col("item_at")
-        checked = hits.select("id", "item_id", shift.alias("shift"), overlap(F.col("words"), shift, F.col("item"), window).alias("o"))
+        checked = hits.select("id", "item_id", shift.alias("shift"), overlap(F.col("words"), shift, F.col("near"), F.col("first"), F.col("width")).alias("o"))
         # tested after the aggregate: as a join condition it would copy the words of every place
         best = checked.groupBy("id", "item_id").agg(
             F.max(F.struct("o.equal", "o.length", "o.at", (-F.col("shift")).alias("shift"))).alias("b")

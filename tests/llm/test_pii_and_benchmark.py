@@ -8,6 +8,7 @@ from math import comb
 import pytest
 from pyspark.sql import functions as F
 
+from curbflow.llm import pii
 from curbflow.llm.decontaminate import covers, find_contamination, masks_for, misses_of
 from curbflow.llm.pii import find_pii, redact
 from curbflow.llm.queries import QUERIES
@@ -144,7 +145,8 @@ def test_short_items_nulls_and_empty_tables(spark):
     items = [(7, "a b c d e f"), (8, "p q r"), (None, None), (9, "")]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     tests = spark.createDataFrame(items, "item_id long, text string")
-    assert sorted((r.doc_id or 0, r.item_id) for r in find_contamination(frame, tests).collect()) == [(0, 7), (1, 7)]
+    assert sorted((r.doc_id or 0, r.item_id) for r in find_contamination(frame, tests, min_words=5).collect()) == [(0, 7), (1, 7)]
+    assert sorted((r.doc_id or 0, r.item_id) for r in find_contamination(frame, tests).collect()) == [(0, 7), (1, 7), (4, 8)]
     assert find_contamination(frame.limit(0), tests).collect() == []
     assert find_contamination(frame, tests.limit(0)).collect() == []
 
@@ -166,3 +168,37 @@ def test_given_documents_hold_what_a_search_for_exact_runs_finds(spark, sf_dir):
             want |= {(r.doc_id, i) for i in runs.get(tuple(w[k : k + 13]), ())}
     got = {(r.doc_id, r.item_id) for r in QUERIES["op6_decontaminate"](spark, sf_dir).collect()}
     assert want and want <= got and len(got) <= len(want) + 2
+
+
+def test_many_candidates_in_one_text_take_time_in_proportion(spark):
+    import re
+    import time
+
+    text = " ".join(f"w3 {1234500 + i}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.perf_counter()
+    (row,) = docs.select(pii.found(F.col("text"), "[0-9]+").alias("m")).collect()
+    assert time.perf_counter() - start < 60
+    want = [(text[max(0, m.start() - pii.CONTEXT) : m.start()], m.group(), m.start()) for m in re.finditer("[0-9]+", text)]
+    assert [tuple(m) for m in row.m] == want
+
+
+def test_a_long_item_is_compared_around_its_hits(spark):
+    import random
+
+    draw = random.Random(2)
+    words = [f"w{draw.randrange(3000)}" for _ in range(2000)]
+    changed = [w if i % 7 else "other" for i, w in enumerate(words)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = spark.createDataFrame([(7, " ".join(["x"] * 3 + words)), (8, " ".join(changed)), (9, " ".join(words[1500:1513]))], "doc_id long, text string")
+    found = {r.doc_id: (r.equal_words, r.window_words, r.item_start, r.doc_start) for r in find_contamination(docs, items).collect()}
+    assert found[7] == (13, 13, 0, 3) and found[8][:2] == (12, 13)  # a window between two changed words and one of them
+    assert found[9] == (13, 13, 1500, 0) and set(found) == {7, 8, 9}
+
+
+def test_items_of_one_to_four_words_must_agree_in_full(spark):
+    items = spark.createDataFrame([(1, "alpha"), (2, "beta gamma"), (3, "one two three"), (4, "red green blue white"), (5, "")], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "an Alpha here"), (2, "beta, gamma"), (3, "one two four three"), (4, "x red green blue white"), (5, "red green blue black"), (6, None),
+    ], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in find_contamination(docs, items).collect()) == [(1, 1), (2, 2), (4, 4)]
