@@ -159,15 +159,17 @@ class PartEncoder:
         if len(self.known) + len(new) > self.most and len(self.known):
             self._clear()
             return self._coded(parts)
+        numbers = codes.fill_null(-1).to_numpy()
         if len(new):
+            numbers = numbers.copy()
+            numbers[numbers < 0] = np.arange(len(self.known), len(self.known) + len(new))
             self.known = pa.concat_arrays([self.known, new])
             # without lead only the first part of a text can start with a blank, set below to tell it apart
             spaced = pc.binary_join_element_wise("", new, " ") if self.lead else pc.replace_substring_regex(
                 pc.binary_join_element_wise("", new, " "), "^  ", "")
             for table, encode in zip(self.tables, self.encoders):
                 table.add(*encode(spaced))
-            codes = pc.index_in(parts, value_set=self.known)
-        return codes.to_numpy()
+        return numbers
 
     def _gather(self, codes: np.ndarray, parts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Per encoder (ids, number of ids of each text) of texts with so many parts."""
