@@ -25,6 +25,14 @@ BROADCAST_IDS = 2_000_000
 ORACLE_SQL = None
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the documents don't use."""
+    used = {c.lower() for c in docs.columns}
+    while name in used:
+        name += "_"
+    return name
+
+
 def _without(docs: DataFrame, gone: DataFrame, key: str) -> DataFrame:
     """Rows of ``docs`` whose key isn't in ``gone``: texts stay where they are while the keys are few."""
     gone = stage(gone, "pipeline-gone")  # measured and joined: computed once
@@ -56,19 +64,21 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that contain a passage of the benchmark; rows without an id are told apart by text."""
     own = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text:"), F.sha2(F.coalesce("text", F.lit("")), 256)))
-    keyed = docs.withColumn("_row_key", own)
-    hits = find_contamination(keyed.select("_row_key", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row_key")
-    return _without(keyed, hits.select("_row_key").distinct(), "_row_key").select(*[F.col(f"`{c}`") for c in docs.columns])
+    key = _free(docs, "_row_key")
+    keyed = docs.withColumn(key, own)
+    hits = find_contamination(keyed.select(key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col=key)
+    return _without(keyed, hits.select(key).distinct(), key).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by ``[PII]``; ``n_chars`` follows the text. No document goes."""
     found = find_pii(docs.select("doc_id", "text")).where(F.size("all_spans") > 0)
-    spans = found.groupBy(F.col("text_key").alias("_text_key")).agg(F.first("all_spans").alias("_spans"))
-    keyed = docs.withColumn("_text_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    marked = lookup_join(keyed, spans, ["_text_key"])
-    clean = F.when(F.col("_spans").isNotNull(), redact(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))
-    changed = {"text": clean, "n_chars": F.when(F.col("_spans").isNotNull(), F.length(clean)).otherwise(F.col("n_chars")).cast("bigint")}
+    key, marks = _free(docs, "_text_key"), _free(docs, "_spans")
+    spans = found.groupBy(F.col("text_key").alias(key)).agg(F.first("all_spans").alias(marks))
+    keyed = docs.withColumn(key, F.xxhash64(F.coalesce("text", F.lit(""))))
+    marked = lookup_join(keyed, spans, [key])
+    clean = F.when(F.col(marks).isNotNull(), redact(F.col("text"), F.col(marks))).otherwise(F.col("text"))
+    changed = {"text": clean, "n_chars": F.when(F.col(marks).isNotNull(), F.length(clean)).otherwise(F.col("n_chars")).cast("bigint")}
     return marked.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
 
 

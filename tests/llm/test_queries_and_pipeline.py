@@ -14,9 +14,9 @@ import brute
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def test_ten_queries_and_the_pipeline_are_registered():
+def test_all_queries_and_the_pipeline_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11)) and set(QUERIES) | {"pipeline"} <= set(queries())
+    assert numbers == list(range(1, 14)) and set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(ORACLE) <= set(oracle_sql()) and "pipeline" not in oracle_sql()
 
 
@@ -65,3 +65,13 @@ def test_stages_on_odd_rows(spark, sf_dir, tmp_path):
             if name == "redact_pii" and n == 0:
                 assert sorted((r.doc_id or 0, "[PII]" in r.text) for r in frame.collect()) == [(0, False), (1, False), (6, True)]
         assert frame.count() == (3 if n == 0 else 0)
+
+
+def test_columns_named_like_the_pipelines_own_come_back_unchanged(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60)
+    for step, names in ((corpus_pipeline.decontaminate, ["_row_key"]), (corpus_pipeline.redact_pii, ["_text_key", "_spans"])):
+        named = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+        kept = step(spark, named, sf_dir)
+        assert kept.columns == named.columns
+        rows = kept.collect()
+        assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
