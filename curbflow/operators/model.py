@@ -17,6 +17,8 @@ from curbflow.session import delete_path, ensure_checkpoint_dir, scratch_path
 from curbflow.spec import FEATURES, TARGET, require_columns
 
 _WEIGHT = "weight"
+# Merged rows a task of the fit holds; every round passes over all of them once per tree level.
+_ROWS_PER_TASK = 100_000
 
 
 def fit_demand_model(
@@ -42,12 +44,13 @@ def fit_demand_model(
 
     Each round depends on the one before, so every tenth is checkpointed in
     the shared folder: a lost executor then costs ten rounds at most.
-    Adaptive execution sizes the partitions of the merged rows; ``tasks``
-    fixes their number instead.
+    The merged rows are dealt into one task per ``_ROWS_PER_TASK`` of them,
+    not the shuffle's partitions, which every round would otherwise pass
+    over; ``tasks`` fixes their number instead.
     """
     require_columns(train, [*features, target])
     ensure_checkpoint_dir(train.sparkSession)
-    combined = combine_equal_rows(train, features, target).persist(StorageLevel.MEMORY_AND_DISK)
+    combined = fit_rows(train, features, target, tasks)
     try:
         assembler = VectorAssembler(inputCols=list(features), outputCol="features")
         trees = GBTRegressor(
@@ -55,11 +58,19 @@ def fit_demand_model(
             lossType="squared", maxIter=rounds, maxDepth=depth, stepSize=learning_rate, maxBins=bins,
             seed=seed, checkpointInterval=10,
         )
-        return Pipeline(stages=[assembler, trees]).fit(combined if tasks is None else combined.coalesce(tasks))
+        return Pipeline(stages=[assembler, trees]).fit(combined)
     finally:
         combined.unpersist()
 
 
+def fit_rows(train: DataFrame, features: Sequence[str], target: str = TARGET, tasks: int | None = None) -> DataFrame:
+    """The merged rows a fit reads, persisted in ``tasks`` partitions, or as many as their number asks for."""
+    combined = combine_equal_rows(train, features, target)
+    if tasks is None:
+        tasks = max(1, -(-combined.count() // _ROWS_PER_TASK))
+    return combined.coalesce(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def combine_equal_rows(rows: DataFrame, features: Sequence[str], target: str = TARGET) -> DataFrame:
     """One row per combination of features: mean target and number of rows."""
     return (

@@ -193,3 +193,19 @@ def test_the_first_cut_is_the_best_of_all_cuts(signal):
         check(own.right, right)
 
     check(0, table)
+
+
+def test_fit_rows_take_tasks_by_their_number_not_the_shuffle(spark):
+    rows = spark.createDataFrame([(h % 7, h % 24, float(h)) for h in range(500)], "day_of_week int, pickup_hour int, trip_count double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        held = model_module.fit_rows(rows, ["day_of_week", "pickup_hour"], "trip_count")
+        try:
+            assert held.rdd.getNumPartitions() == 1
+            merged = combine_equal_rows(rows, ["day_of_week", "pickup_hour"], "trip_count")
+            assert sorted(held.collect()) == sorted(merged.collect())
+        finally:
+            held.unpersist()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
