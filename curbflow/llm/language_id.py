@@ -16,6 +16,8 @@ NODES = 200_000
 CONFIDENT_BYTES = 60
 UNDETERMINED = "und"
 _CHUNK = 4 << 20
+_PIECE = 1 << 20  # letter bytes scored or counted at once: a long text goes in pieces, each behind its 3 bytes before
+_DENSE = 4 << 20  # cells of the direct gram table, 16 MB in each worker
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -35,6 +37,13 @@ def _padded(data: bytes) -> bytes:
     return b"   " + data
 
 
+def _pieces(data: bytes):
+    """The padded text in pieces of at most _PIECE grams; their grams together are those of the whole."""
+    padded = _padded(data)
+    for start in range(0, len(data), _PIECE):
+        yield padded[start : start + _PIECE + 3]
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) over the whole texts of ``docs`` (lang, text)."""
     def over(batches):
@@ -54,10 +63,9 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                data = letters(text)
-                if data:
-                    held.setdefault(lang, []).append(_padded(data))
-                    sizes[lang] = sizes.get(lang, 0) + len(data)
+                for piece in _pieces(letters(text)):
+                    held.setdefault(lang, []).append(piece)
+                    sizes[lang] = sizes.get(lang, 0) + len(piece)
                     if sizes[lang] >= _CHUNK:
                         fold(lang)
         for lang in list(held):
@@ -82,6 +90,7 @@ class ByteTree:
     """
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray):
+        self.grams, self.counts = grams, counts
         self.levels = []
         for order in range(ORDER, -1, -1):
             mask = (1 << (8 * (order + 1))) - 1
@@ -93,6 +102,9 @@ class ByteTree:
             escape = -np.log2(kinds / (total + kinds))
             self.levels.append((keys, seen, contexts, escape))
 
+    def __reduce__(self):
+        return ByteTree, (self.grams, self.counts)  # sent as its counts, built again where it is used
+
     def bits(self, grams: np.ndarray) -> np.ndarray:
         """Code length of each gram's last byte."""
         out = np.zeros(len(grams))
@@ -114,6 +126,7 @@ class Scorer:
     """All trees at once: code lengths of known grams from one table, of others computed and remembered."""
 
     def __init__(self, trees: dict[str, ByteTree]):
+        self.given = trees
         self.langs = sorted(trees)
         self.trees = [trees[lang] for lang in self.langs]
         self.grams = np.unique(np.concatenate([t.levels[0][0] for t in self.trees])).astype(np.int64)
@@ -125,10 +138,13 @@ class Scorer:
         self.tail_slot = np.full(1 << 16, -1, dtype=np.int32)
         self.tail_slot[tails] = np.arange(len(tails))
         self.dense = None
-        if len(heads) * len(tails) <= 32 << 20:
+        if len(heads) * len(tails) <= _DENSE:
             self.dense = np.full((len(heads), len(tails)), -1, dtype=np.int32)
             self.dense[self.slot[self.grams >> 16], self.tail] = np.arange(len(self.grams))
 
+    def __reduce__(self):
+        return Scorer, (self.given,)  # each worker builds its tables once from the trees' counts
+
     def _place(self, grams: np.ndarray) -> np.ndarray:
         if self.dense is None:
             at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
@@ -137,27 +153,41 @@ class Scorer:
         return np.where((head < 0) | (tail < 0), -1, self.dense[head, tail])
 
     def totals(self, texts: list[bytes]) -> np.ndarray:
-        """Code length in bits of each text (rows) under each language (columns)."""
-        joined = np.frombuffer(b"".join(_padded(t) for t in texts), dtype=np.uint8)
-        lengths = np.array([len(t) + 3 for t in texts])
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        """Code length in bits of each text (rows) under each language (columns), _PIECE bytes at a time."""
         out = np.zeros((len(texts), len(self.langs)))
+        rows, pieces, size = [], [], 0
+        for i, text in enumerate(texts):
+            for piece in _pieces(text) if text else [_padded(text)]:
+                if pieces and size + len(piece) > _PIECE + 3:
+                    self._add(out, rows, pieces)
+                    rows, pieces, size = [], [], 0
+                rows.append(i)
+                pieces.append(piece)
+                size += len(piece)
+        if pieces:
+            self._add(out, rows, pieces)
+        return out
+
+    def _add(self, out: np.ndarray, rows: list[int], pieces: list[bytes]) -> None:
+        """Add the code lengths of padded pieces to their texts' rows of ``out``."""
+        joined = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        lengths = np.array([len(p) for p in pieces])
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
         grams = _grams(joined).astype(np.int64)
-        row = np.repeat(np.arange(len(texts)), lengths)[3:]
+        row = np.repeat(np.array(rows, dtype=np.int64), lengths)[3:]
         inside = np.ones(len(grams), dtype=bool)
-        for back in range(1, 4):  # a gram must not reach over the start of its text
+        for back in range(1, 4):  # a gram must not reach over the start of its piece
             at = starts[1:] - back
             inside[at[(at >= 0) & (at < len(grams))]] = False
         grams, row = grams[inside], row[inside]
         place = self._place(grams)
         known = place >= 0
         for k in range(len(self.langs)):
-            out[:, k] = np.bincount(row[known], weights=self.table[place[known], k], minlength=len(texts))
+            out[:, k] += np.bincount(row[known], weights=self.table[place[known], k], minlength=len(out))
         odd, at = np.unique(grams[~known], return_inverse=True)
         if len(odd):
             for k, tree in enumerate(self.trees):
-                out[:, k] += np.bincount(row[~known], weights=tree.bits(odd)[at], minlength=len(texts))
-        return out
+                out[:, k] += np.bincount(row[~known], weights=tree.bits(odd)[at], minlength=len(out))
 
 
 def fit_languages(docs: DataFrame, nodes: int = NODES) -> dict[str, ByteTree]:
@@ -194,21 +224,14 @@ def predict_language(docs: DataFrame, trees: dict[str, ByteTree], keep: list[str
             data = [letters(t) for t in batch.column("text").to_pylist()]
             langs, scores = [UNDETERMINED] * len(data), np.zeros(len(data))
             rows = [i for i, d in enumerate(data) if d] if model else []
-            start = 0
-            while start < len(rows):
-                stop, size = start, 0
-                while stop < len(rows) and (stop == start or size + len(data[rows[stop]]) <= _CHUNK):
-                    size += len(data[rows[stop]])
-                    stop += 1
-                part = rows[start:stop]
-                bits = model.totals([data[i] for i in part])
-                sizes = np.array([len(data[i]) for i in part])
+            if rows:
+                bits = model.totals([data[i] for i in rows])
+                sizes = np.array([len(data[i]) for i in rows])
                 scaled = bits * (np.minimum(sizes, CONFIDENT_BYTES) / sizes)[:, None]
                 best = scaled.argmin(axis=1)
                 odds = np.exp2(scaled.min(axis=1, keepdims=True) - scaled)
-                for i, b, p in zip(part, best, 1 / odds.sum(axis=1)):
+                for i, b, p in zip(rows, best, 1 / odds.sum(axis=1)):
                     langs[i], scores[i] = model.langs[b], p
-                start = stop
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=[*keep, "lang_pred", "score"],

@@ -149,3 +149,21 @@ def test_rows_of_weights_are_averaged_over_their_own_tokens(spark):
         a, b, c = (getattr(m, name) for m in (alone, other, both))
         own = a.any(axis=1) & ~b.any(axis=1)
         assert own.sum() >= 5 and np.array_equal(c[own], a[own])
+
+
+def test_long_text_is_scored_in_bounded_memory_and_alike():
+    import pickle
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    grams = np.unique(rng.integers(97, 105, (300, 4)) @ np.array([1 << 24, 1 << 16, 1 << 8, 1]))
+    scorer = pickle.loads(pickle.dumps(Scorer({"a": ByteTree(grams, np.ones(len(grams))), "b": ByteTree(grams[:50], np.ones(50))})))
+    text = b" " + bytes(rng.integers(97, 106, 8 << 20).astype(np.uint8)) + b" "
+    tracemalloc.start()
+    long = scorer.totals([b" ab ", text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 160 << 20  # the whole text at once held over 500 MB
+    padded = np.frombuffer(b"   " + text, dtype=np.uint8).astype(np.int64)
+    every = (padded[:-3] << 24) | (padded[1:-2] << 16) | (padded[2:-1] << 8) | padded[3:]
+    assert [t.bits(every).sum() for t in scorer.trees] == pytest.approx(long[1].tolist(), rel=1e-9)
