@@ -167,3 +167,30 @@ def test_long_text_is_scored_in_bounded_memory_and_alike():
     padded = np.frombuffer(b"   " + text, dtype=np.uint8).astype(np.int64)
     every = (padded[:-3] << 24) | (padded[1:-2] << 16) | (padded[2:-1] << 8) | padded[3:]
     assert [t.bits(every).sum() for t in scorer.trees] == pytest.approx(long[1].tolist(), rel=1e-9)
+
+
+def test_every_word_of_the_table_has_an_output_of_its_own(spark, monkeypatch):
+    """Beyond 1,024 words the grid of classes and slots grows; it was fixed at 32 by 32."""
+    seen = []
+    monkeypatch.setattr(lm_scoring, "train", lambda texts, model: seen.append(model) or model)
+    words = [f"w{i}" for i in range(1500)]
+    docs = spark.createDataFrame([(i, " ".join(words[i : i + 50])) for i in range(0, 1500, 10)], "doc_id long, text string")
+    got = score_texts(docs, F.lit(False)).collect()
+    model = seen[0]
+    assert len(got) == 150 and model.classes * model.slots >= 1501
+    assert int((model.counts.ranks < model.classes * model.slots).sum()) == 1501
+
+
+def test_model_probabilities_sum_to_one_over_a_grown_grid():
+    rng = np.random.default_rng(7)
+    hashes = np.sort(rng.integers(1, 1 << 63, 3000, dtype=np.uint64))
+    counts = rng.integers(1, 500, len(hashes))
+    ranks = np.argsort(np.argsort(-counts, kind="stable"), kind="stable")
+    model = MaxEnt(Counts(int(counts.sum()), len(hashes), hashes, counts, ranks), words=len(hashes))
+    assert model.classes * model.slots >= 3000
+    model.class_weights[:] = rng.standard_normal(model.class_weights.shape) * 0.3
+    model.word_weights[:] = rng.standard_normal(model.word_weights.shape) * 0.3
+    raw = [np.full(len(hashes) + 1, v, dtype=np.uint64) for v in (5, 6, 7)]
+    logs = model.log_probs(raw, np.append(ranks, 1 << 30))
+    chance = np.exp(logs) * np.append(np.ones(len(hashes)), 0.5 / model.rare_mass)
+    assert chance.sum() == pytest.approx(1, abs=1e-4)
