@@ -194,3 +194,17 @@ def test_model_probabilities_sum_to_one_over_a_grown_grid():
     logs = model.log_probs(raw, np.append(ranks, 1 << 30))
     chance = np.exp(logs) * np.append(np.ones(len(hashes)), 0.5 / model.rare_mass)
     assert chance.sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_training_broadcast_leaves_out_zero_weights_of_a_grown_grid():
+    import pickle
+
+    rng = np.random.default_rng(8)
+    hashes = np.sort(rng.integers(1, 1 << 63, 60000, dtype=np.uint64))
+    counts = rng.integers(1, 500, len(hashes))
+    ranks = np.argsort(np.argsort(-counts, kind="stable"), kind="stable")
+    model = MaxEnt(Counts(int(counts.sum()), len(hashes), hashes, counts, ranks), words=len(hashes))
+    weights = model.class_weights.nbytes + model.word_weights.nbytes
+    assert len(pickle.dumps(lm_scoring.shipped(model))) < weights / 4
+    model.word_weights[3, 1] = 0.5
+    assert lm_scoring.shipped(model) is model
