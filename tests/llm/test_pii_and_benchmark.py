@@ -8,7 +8,7 @@ from math import comb
 import pytest
 from pyspark.sql import functions as F
 
-from curbflow.llm import pii
+from curbflow.llm import decontaminate, pii
 from curbflow.llm.decontaminate import covers, find_contamination, masks_for, misses_of
 from curbflow.llm.pii import find_pii, redact
 from curbflow.llm.queries import QUERIES
@@ -202,3 +202,26 @@ def test_items_of_one_to_four_words_must_agree_in_full(spark):
         (1, "an Alpha here"), (2, "beta, gamma"), (3, "one two four three"), (4, "x red green blue white"), (5, "red green blue black"), (6, None),
     ], "doc_id long, text string")
     assert sorted((r.doc_id, r.item_id) for r in find_contamination(docs, items).collect()) == [(1, 1), (2, 2), (4, 4)]
+
+
+def test_blocks_of_the_benchmark_are_not_held_together(spark, monkeypatch):
+    """Many blocks leave no broadcast in the result's plan, seeds carry no words, and pieces, blocks and equal texts give the same pairs."""
+    import random
+
+    draw = random.Random(4)
+    words = [f"w{draw.randrange(400)}" for _ in range(300)]
+    items = [(i, " ".join(words[20 * i : 20 * i + 9 + i])) for i in range(12)] + [(50, " ".join(words)), (None, " ".join(words[:9])), (51, " ".join(words[:9])), (51, "q")]
+    docs = [(i, " ".join(["x"] * i + words[10 * i : 10 * i + 40])) for i in range(25)] + [(None, " ".join(words)), (3, "q")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(str, find_contamination(frame, tests).collect()))
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 7, raising=False)
+    parts = find_contamination(frame, tests, seed_rows=200)
+    assert sorted(map(str, parts.collect())) == whole and len(whole) > 40
+    assert sum(r.item_id is None for r in parts.collect()) == sum(r.item_id == 0 for r in parts.collect()) > 0
+    plan = str(parts._jdf.queryExecution().executedPlan()).partition("Initial Plan")[0]
+    assert plan.count("BroadcastExchange") <= 1  # of the ids alone
+    pieces = decontaminate.test_pieces(tests.select("item_id", decontaminate.tokens(F.col("text")).alias("item")), 13)
+    seeds = decontaminate.test_seeds(pieces, {w: masks_for(w, misses_of(w, 0.84)) for w in (1, 9, 10, 11, 12, 13)})
+    assert all(kind in ("bigint", "int") for _, kind in seeds.dtypes)
+    assert decontaminate.blocks_of(seeds, 200) > 4 and decontaminate.blocks_of(seeds, 100_000) == 1
