@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from curbflow.session import ensure_checkpoint_dir, scratch_path
 SPACE = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 8 << 20
 _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -159,6 +160,20 @@ def grouped(
         yield held_key, pa.Table.from_batches(held)
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``fn`` over the batches of each task. A worker waits for later tasks beside work that needs none: it keeps no freed memory."""
+    def over(batches):
+        yield from fn(batches)
+        give_back()
+
     bound_batches(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(over, schema)

@@ -75,3 +75,24 @@ def test_columns_named_like_the_pipelines_own_come_back_unchanged(spark, sf_dir)
         assert kept.columns == named.columns
         rows = kept.collect()
         assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
+def test_workers_give_back_what_a_task_has_freed(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from curbflow.llm import common
+
+    resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+    held = [bytes(1000) for _ in range(200_000)]
+    last, full = held[-1], resident()
+    del held  # the block behind all others is still in use
+    common.give_back()
+    assert len(last) == 1000 and full - resident() > 100 << 20
+
+    seen = []
+    monkeypatch.setattr(common, "give_back", lambda: seen.append("given back"))
+    frame = SimpleNamespace(sparkSession=spark, mapInArrow=lambda fn, schema: fn)
+    task = common.map_arrow(frame, lambda batches: (b for b in batches), "x long")
+    for batch in task(iter([1, 2])):
+        seen.append(batch)
+    assert seen == [1, 2, "given back"]
